@@ -1,8 +1,9 @@
 """Text to integer with the accepted forms of Python's int().
 
 Surrounding blanks, a sign, leading zeros and single underscores between digits are accepted;
-fractions, exponents, other bases and empty text are not. Two declared limits: digits and blanks
-must be ASCII, and a value has at most 38 digits.
+fractions, exponents, other bases and empty text are not. Blanks are space, tab, line feed,
+vertical tab, form feed and carriage return. Two declared limits: digits and blanks must be
+ASCII, and a value has at most 38 digits.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 INTEGER = "decimal(38,0)"
 
 # The accepted integer form, and the blanks and separators around its digits.
-INTEGER_FORM = r"\A[\s\x1c-\x1f]*[+-]?[0-9]+(_[0-9]+)*[\s\x1c-\x1f]*\z"
-NOT_DIGITS = r"[\s\x1c-\x1f_]"
+INTEGER_FORM = r"\A\s*[+-]?[0-9]+(_[0-9]+)*\s*\z"
+NOT_DIGITS = r"[\s_]"
 
 # First second of year 1 and last second of year 9999, UTC.
 EPOCH_MIN = -62135596800

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from hypothesis import Phase, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import month_label, ratio, relabel, to_epoch, to_integer
+from ledgerloom.functions.labels import MONTH_SHORT_YEAR, MONTH_SLASH_YEAR, MONTH_YEAR
+
+
+def read(spark, convert, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i int, text string")
+    out = df.select("i", convert(F.col("text")).alias("n")).orderBy("i").collect()
+    return [None if r.n is None else int(r.n) for r in out]
+
+
+ACCEPTED = {
+    " 12 ": 12,
+    "+5": 5,
+    "-5": -5,
+    "-0": 0,
+    "007": 7,
+    "1_000": 1000,
+    "\t\n8\r\x0b\x0c": 8,
+    "9223372036854775808": 9223372036854775808,
+    "1" * 38: int("1" * 38),
+    "0" * 40 + "5": 5,
+}
+REJECTED = [
+    "", " ", "1.5", "1e5", "0x10", "bad", "__1", "1__0", "1_", "_1", "+", "- 5", "1 2", "\x0112", "\x1c8", "8\x1f",
+    "1" * 39, "١", "12\u0085", "12 ", "NaN", "Infinity", "1d", "1L",
+]
+
+
+def test_accepted_forms(spark):
+    assert read(spark, to_integer, list(ACCEPTED)) == list(ACCEPTED.values())
+
+
+@pytest.mark.parametrize("convert", [to_integer, to_epoch])
+def test_rejected_forms(spark, convert):
+    assert read(spark, convert, REJECTED) == [None] * len(REJECTED)
+
+
+def test_null_stays_null(spark):
+    assert read(spark, to_integer, [None]) == [None]
+
+
+def test_epoch_is_null_beyond_64_bits(spark):
+    assert read(spark, to_epoch, ["1438387199", " -7 ", "9223372036854775808"]) == [
+        1438387199, -7, None,
+    ]
+
+
+def python_int(text: str):
+    try:
+        value = int(text)
+    except ValueError:
+        return None
+    return value if abs(value) < 10**38 else None
+
+
+@settings(max_examples=5, deadline=None, phases=[Phase.generate])
+@given(st.lists(st.text("0123456789_+-. \t\x0b\x1c\x1fex", max_size=8), min_size=300, max_size=400))
+def test_same_forms_as_python(spark, texts):
+    expected = [python_int(t) for t in texts]
+    differing = [x for x in zip(texts, read(spark, to_integer, texts), expected) if x[1] != x[2]]
+    assert differing[:5] == []
+
+
+def label(spark, ts, pattern):
+    df = spark.createDataFrame([(ts,)], "ts bigint")
+    return df.select(month_label(F.col("ts"), pattern).alias("m")).first().m
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_labels_are_utc_in_every_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert label(spark, 1438387199, MONTH_SHORT_YEAR) == "07 15"
+        assert label(spark, 1438387200, MONTH_YEAR) == "08 2015"
+        assert label(spark, 1438387200, MONTH_SLASH_YEAR) == "08/2015"
+        assert label(spark, -1, MONTH_YEAR) == "12 1969"
+        assert label(spark, 0, MONTH_SLASH_YEAR) == "01/1970"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_labels_at_the_ends_of_the_range(spark):
+    assert label(spark, -62135596800, MONTH_YEAR) == "01 1"
+    assert label(spark, 253402300799, MONTH_YEAR) == "12 9999"
+    assert label(spark, -62135596800, MONTH_SHORT_YEAR) == "01 01"
+
+
+def test_ratio_and_relabel(spark):
+    df = spark.createDataFrame([(Decimal(10**30), 4, "08/2015")], "t decimal(38,0), n bigint, m string")
+    row = df.select(ratio(F.col("t"), F.col("n")).alias("r"), relabel(F.col("m")).alias("m")).first()
+    assert row.r == pytest.approx(10**30 / 4, rel=1e-15)
+    assert row.m == "08,2015"

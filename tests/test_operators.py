@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledger import averages, joined, sums
+from ledgerloom import operators as ops
+
+
+def as_dict(df):
+    return {row[0]: row[1] for row in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def keyed(spark):
+    rows = [(k, v) for k, v in zip("aabbbc" * 7, range(42))]
+    return rows, spark.createDataFrame(rows, "k string, v bigint")
+
+
+def test_groups(keyed):
+    rows, df = keyed
+    assert as_dict(ops.group_sum(df, ["k"], "v")) == sums(rows)
+    assert as_dict(ops.group_count(df, ["k"])) == sums((k, 1) for k, _ in rows)
+    assert as_dict(ops.group_avg(df, ["k"], "v")) == averages(rows)
+
+
+def test_average_with_parts(keyed):
+    _, df = keyed
+    row = ops.group_avg(df, ["k"], "v", "mean", parts=True).where("k = 'c'").first()
+    assert row.mean == float(row.total) / row.n
+
+
+def test_sum_overflow_raises_instead_of_wrapping(spark):
+    df = spark.createDataFrame([("a", Decimal("9" * 38))] * 2, "k string, v decimal(38,0)")
+    with pytest.raises(Exception, match="(?i)overflow|ARITHMETIC|cannot be represented"):
+        ops.group_sum(df, ["k"], "v").collect()
+
+
+def test_ties_go_to_the_smaller_key(spark):
+    df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9), ("d", 5)], "k string, v bigint")
+    assert [tuple(r) for r in ops.top_k(df, "v", "k", 3).collect()] == [("c", 9), ("a", 5), ("b", 5)]
+
+
+def test_label_order_is_not_chronological(spark):
+    df = spark.createDataFrame([("12 15", 1), ("01 16", 2), ("01 15", 3)], "m string, v int")
+    assert [r.m for r in ops.by_key(df, "m").collect()] == ["01 15", "01 16", "12 15"]
+    assert [r.m for r in ops.bounded(df, "m", 2).collect()] == ["01 15", "01 16"]
+
+
+def test_markers_keep_duplicates(spark):
+    amounts = spark.createDataFrame([("a", 3), ("a", 3), ("", 1)], "k string, v bigint")
+    listed = spark.createDataFrame([("a",), ("a",), ("z",)], "k string")
+    rows = sorted(map(tuple, ops.add_markers(amounts, listed, "k", "v").collect()))
+    assert rows == [("", 1), ("a", 1), ("a", 1), ("a", 3), ("a", 3), ("z", 1)]
+
+
+def random_tables(seed):
+    """A third of the facts and a third of the list share the empty address."""
+    draw = random.Random(seed)
+
+    def address():
+        return "" if draw.random() < 1 / 3 else f"0x{draw.randrange(12)}"
+
+    facts = [
+        {"address": address(), "month": f"0{draw.randrange(1, 4)} 15", "value": draw.randrange(-50, 10**6)}
+        for _ in range(400)
+    ]
+    listed = [
+        {"address": address(), "category": draw.choice("pqr"), "id": draw.randrange(5)}
+        for _ in range(60)
+    ]
+    return facts, [e for e in listed if e["address"] not in ("0x1", "0x2")]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize(
+    "fact_keys, list_keys",
+    [(["month"], []), ([], ["category"]), ([], ["id", "category"]), (["month"], ["id"]), ([], [])],
+)
+def test_matched_totals_equal_the_pairwise_join(spark, seed, fact_keys, list_keys, broadcast_bytes):
+    facts, listed = random_tables(seed)
+    pairs = [
+        (tuple([t[k] for k in fact_keys] + [e[k] for k in list_keys]), t["value"])
+        for t, e in joined(facts, listed)
+    ]
+    expected_n = sums((key, 1) for key, _ in pairs)
+    got = ops.matched_totals(
+        spark.createDataFrame(facts), spark.createDataFrame(listed), "address", "value",
+        fact_keys, list_keys, broadcast_bytes,
+    ).collect()
+    keys = fact_keys + list_keys
+    assert {tuple(r[k] for k in keys): int(r.total) for r in got} == sums(pairs)
+    assert {tuple(r[k] for k in keys): int(r.n) for r in got} == expected_n
+
+
+def test_size_check_measures_rows_and_bytes(spark):
+    small = spark.range(10).select(F.col("id").cast("string").alias("k"))
+    assert ops.fits_broadcast(small)
+    assert not ops.fits_broadcast(small, 100)
+    assert not ops.fits_broadcast(small, 0)
+    assert ops.fits_broadcast(small.where("k = 'none'"))
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("k"))
+    assert not ops.fits_broadcast(wide, 10_000)
+    assert ops.fits_broadcast(wide, 11_000)
+
+
+def test_size_limit_is_a_session_setting(spark):
+    small = spark.range(10).select(F.col("id").cast("string").alias("k"))
+    spark.conf.set("spark.ledgerloom.broadcastBytes", "10")
+    try:
+        assert not ops.fits_broadcast(small)
+    finally:
+        spark.conf.unset("spark.ledgerloom.broadcastBytes")
+
+
+def test_only_listed_keeps_rows_once(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    listed = spark.createDataFrame([("a",), ("a",)], "k string")
+    assert [tuple(r) for r in ops.only_listed(df, listed, "k").collect()] == [("a", 1)]
+
+
+def test_ratio_join(keyed):
+    rows, df = keyed
+    totals, counts = ops.group_sum(df, ["k"], "v"), ops.group_count(df, ["k"])
+    assert as_dict(ops.ratio_join(totals, counts, "k")) == averages(rows)
+
+
