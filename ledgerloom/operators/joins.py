@@ -1,8 +1,8 @@
 """Joins of a large fact table with a list of keys.
 
-The reports only need totals over the join, so facts are summed per key before they meet the list
-and the list is counted per key. An inner join multiplies rows by the number of times a key is
-listed; here that number is a factor, and no pair of rows is ever produced.
+The reports only need totals over the join. An inner join repeats a fact for every time its key is
+listed; here the list is counted per key first, and that number is a factor of the fact's amount,
+so repeated entries never multiply rows.
 """
 
 from __future__ import annotations
@@ -19,6 +19,10 @@ BROADCAST_SETTING = "spark.ledgerloom.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
 
+# A fact row meets at most this many rows of a broadcast list; beyond it facts are summed per key
+# first.
+DIRECT_LABELS = 8
+
 
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
@@ -47,6 +51,12 @@ def only_listed(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     return df.join(keys, key, "left_semi")
 
 
+def _most_labels(copies: DataFrame, key: str) -> int:
+    """Largest number of rows a key has in ``copies``."""
+    most = copies.groupBy(key).count().agg(F.max("count").alias("most")).first()["most"]
+    return most or 0
+
+
 def matched_totals(
     facts: DataFrame,
     listed: DataFrame,
@@ -58,23 +68,38 @@ def matched_totals(
 ) -> DataFrame:
     """``total`` and ``n`` of the inner join on ``key``, grouped by ``fact_keys`` + ``list_keys``.
 
-    A list of measured small size is broadcast and drops unlisted facts inside the scan stage. A
-    larger one is joined by shuffle, after facts were reduced to one row per key and fact keys;
-    a key with a large share of the facts is then a handful of rows.
+    Three exact ways, chosen by measuring the list:
+
+    * small, few labels per key: the counted list is broadcast and facts go from the scan straight
+      into the partial sums of the result; no fact row is shuffled;
+    * small, some key with many labels: the keys are broadcast to drop unlisted facts, and facts
+      are summed per key before they meet the labels;
+    * large: as before without the broadcast. A key with a large share of the facts is a handful
+      of rows by the time of the shuffled join.
     """
     listed = listed.select(key, *list_keys)
+    copies = listed.groupBy(key, *list_keys).agg(F.count("*").alias("copies"))
     small = fits_broadcast(listed, broadcast_bytes)
     if small:
-        facts = facts.join(F.broadcast(listed.select(key)), key, "left_semi")
-    per_key = facts.groupBy(key, *fact_keys).agg(
-        F.sum(F.col(amount).cast(INTEGER)).alias("key_total"),
-        F.count("*").cast(INTEGER).alias("key_n"),
+        copies = F.broadcast(copies)
+    amounts = facts.select(
+        key,
+        *fact_keys,
+        F.col(amount).cast(INTEGER).alias("sum_amount"),
+        F.lit(1).cast("bigint").alias("sum_rows"),
     )
-    copies = listed.groupBy(key, *list_keys).agg(F.count("*").cast("decimal(20,0)").alias("copies"))
-    joined = per_key.join(F.broadcast(copies) if small else copies, key, "inner")
-    return joined.groupBy(*fact_keys, *list_keys).agg(
-        F.sum(F.col("key_total") * F.col("copies")).alias("total"),
-        F.sum(F.col("key_n") * F.col("copies")).alias("n"),
+    if not (small and (not list_keys or _most_labels(copies, key) <= DIRECT_LABELS)):
+        if small:
+            amounts = amounts.join(F.broadcast(listed.select(key)), key, "left_semi")
+        amounts = amounts.groupBy(key, *fact_keys).agg(
+            F.sum("sum_amount").alias("sum_amount"), F.count("*").alias("sum_rows")
+        )
+    # Most keys are listed once; the test spares their rows a decimal multiplication.
+    once = F.col("copies") == 1
+    repeated = (F.col("sum_amount") * F.col("copies")).cast(INTEGER)
+    return amounts.join(copies, key, "inner").groupBy(*fact_keys, *list_keys).agg(
+        F.sum(F.when(once, F.col("sum_amount")).otherwise(repeated)).alias("total"),
+        F.sum(F.col("sum_rows") * F.col("copies")).alias("n"),
     )
 
 

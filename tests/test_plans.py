@@ -72,11 +72,22 @@ def joined(files, limit):
     return ops.matched_totals(rows, listed, "address", "value", [], ["id"], limit)
 
 
-def test_small_list_drops_unlisted_facts_before_any_shuffle(files):
+def test_small_list_is_joined_inside_the_scan_stage(files):
     text = plan(joined(files, None))
-    # Printed top down: the semi join lies below the partial sums of the facts.
-    assert text.index("partial_sum(value") < text.index("LeftSemi")
-    assert "SortMergeJoin" not in text
+    # Printed top down: no exchange of facts between the join and the scan of the transactions.
+    facts = text[text.index("BroadcastHashJoin") : text.index("BroadcastExchange")]
+    assert "Exchange" not in facts and "FileScan" in facts
+    assert text.index("partial_sum") < text.index("BroadcastHashJoin")
+    assert "LeftSemi" not in text and "SortMergeJoin" not in text
+
+
+def test_many_labels_per_key_meet_facts_already_summed(lines):
+    many = lines(*[scam(str(i)) for i in range(20)])
+    rows = pick(lines(tx()), TRANSACTIONS, "address", "value")
+    listed = pick(many, SCAMS, "id", "address")
+    text = plan(ops.matched_totals(rows, listed, "address", "value", [], ["id"]))
+    first_join, sums, semi = (text.index(t) for t in ("Inner", "partial_sum(sum_amount", "LeftSemi"))
+    assert first_join < sums < semi and "SortMergeJoin" not in text
 
 
 def test_large_list_meets_facts_already_summed(spark, files):
@@ -87,7 +98,7 @@ def test_large_list_meets_facts_already_summed(spark, files):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Broadcast" not in text and "LeftSemi" not in text
-    assert text.index("SortMergeJoin") < text.index("partial_sum(value")
+    assert text.index("SortMergeJoin") < text.index("partial_sum(sum_amount")
 
 
 def test_contract_markers_add_no_second_shuffle(files):
