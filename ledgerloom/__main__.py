@@ -4,22 +4,53 @@ from __future__ import annotations
 
 import argparse
 
-from ledgerloom.plans.reports import NAMES, write_reports
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.plans.reports import NAMES, tables_of, write_reports
 from ledgerloom.session import build_session
-from ledgerloom.sources import read_lines
+from ledgerloom.sources import (
+    BLOCKS,
+    CONTRACTS,
+    SCAMS,
+    TRANSACTIONS,
+    load_table,
+    read_lines,
+    save_table,
+)
 
-TABLES = ("transactions", "contracts", "scams", "blocks")
+TABLES = {table.name: table for table in (TRANSACTIONS, CONTRACTS, SCAMS, BLOCKS)}
 
 
-def main(argv: list[str] | None = None) -> None:
+def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgerloom")
-    for table in TABLES:
-        parser.add_argument(f"--{table}", help=f"comma text of {table}")
+    for name in TABLES:
+        parser.add_argument(f"--{name}", help=f"comma text of {name}")
+    parser.add_argument(
+        "--typed",
+        help="directory of typed copies: written from the exports given, read for the others",
+    )
     parser.add_argument("--out", required=True, help="directory for the results")
     parser.add_argument("reports", nargs="*", help=f"default: all of {', '.join(NAMES)}")
-    args = parser.parse_args(argv)
+    return parser.parse_args(argv)
+
+
+def read_input(spark: SparkSession, name: str, text: str | None, typed: str | None) -> DataFrame:
+    if typed is None:
+        return read_lines(spark, text)
+    path = f"{typed.rstrip('/')}/{name}"
+    if text:
+        save_table(read_lines(spark, text), TABLES[name], path)
+    return load_table(spark, TABLES[name], path)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = arguments(argv)
     spark = build_session()
-    inputs = {t: read_lines(spark, getattr(args, t)) for t in TABLES if getattr(args, t)}
+    inputs = {}
+    for name in sorted(tables_of(args.reports)):
+        text = getattr(args, name)
+        if text or args.typed:
+            inputs[name] = read_input(spark, name, text, args.typed)
     for name, path in write_reports(inputs, args.out, args.reports).items():
         print(name, path)
 

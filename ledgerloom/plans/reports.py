@@ -7,6 +7,7 @@ scan of the transactions, the five scam reports out of one scan and join.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -52,30 +53,64 @@ def _series(category: str) -> Callable[[DataFrame], DataFrame]:
 
 Step = Callable[[DataFrame], DataFrame]
 
-# Per shared aggregate: the reports that come out of it.
-REPORTS: dict[Callable[[Inputs], DataFrame], dict[str, Step]] = {
-    _monthly_base: {
-        "monthly_count": lambda base: bounded(monthly_summary(base).count, "month"),
-        "monthly_avg_value": lambda base: bounded(monthly_summary(base).avg_value, "month"),
-        "monthly_avg_gas_price": lambda base: bounded(monthly_summary(base).avg_gas_price, "month"),
-    },
-    _gas_base: {
-        "monthly_avg_contract_gas": lambda base: bounded(base, "month"),
-        "top_gas_months": lambda base: top_k(base, "avg_gas", "month", 10),
-    },
-    _scam_base: {
-        "top_scam_categories": lambda base: top_k(roll_up(base, "category"), "total", "category", 3),
-        "top_scam_ids": lambda base: top_k(roll_up(base, "id"), "total", "id", 10),
-        **{
-            "scam_series_" + category.lower().replace(" ", "_"): _series(category)
-            for category in SERIES_CATEGORIES
+
+@dataclass(frozen=True)
+class Group:
+    """Reports that come out of one aggregate, and the tables it reads."""
+
+    tables: tuple[str, ...]
+    base: Callable[[Inputs], DataFrame]
+    steps: dict[str, Step]
+
+
+GROUPS = [
+    Group(
+        ("transactions",),
+        _monthly_base,
+        {
+            "monthly_count": lambda base: bounded(monthly_summary(base).count, "month"),
+            "monthly_avg_value": lambda base: bounded(monthly_summary(base).avg_value, "month"),
+            "monthly_avg_gas_price": lambda base: bounded(
+                monthly_summary(base).avg_gas_price, "month"
+            ),
         },
-    },
-    _addresses: {"top_addresses_by_value": lambda base: base},
-    _miners: {"top_miners_by_size": lambda base: base},
-}
+    ),
+    Group(
+        ("transactions", "contracts"),
+        _gas_base,
+        {
+            "monthly_avg_contract_gas": lambda base: bounded(base, "month"),
+            "top_gas_months": lambda base: top_k(base, "avg_gas", "month", 10),
+        },
+    ),
+    Group(
+        ("transactions", "scams"),
+        _scam_base,
+        {
+            "top_scam_categories": lambda base: top_k(
+                roll_up(base, "category"), "total", "category", 3
+            ),
+            "top_scam_ids": lambda base: top_k(roll_up(base, "id"), "total", "id", 10),
+            **{
+                "scam_series_" + category.lower().replace(" ", "_"): _series(category)
+                for category in SERIES_CATEGORIES
+            },
+        },
+    ),
+    Group(("transactions", "contracts"), _addresses, {"top_addresses_by_value": lambda base: base}),
+    Group(("blocks",), _miners, {"top_miners_by_size": lambda base: base}),
+]
 
-NAMES = [name for steps in REPORTS.values() for name in steps]
+NAMES = [name for group in GROUPS for name in group.steps]
+
+
+def tables_of(names: Iterable[str] = ()) -> set[str]:
+    """Tables the named reports (all by default) read."""
+    chosen = list(names) or NAMES
+    unknown = [name for name in chosen if name not in NAMES]
+    if unknown:
+        raise ValueError(f"unknown reports: {', '.join(unknown)}")
+    return {t for g in GROUPS if any(name in chosen for name in g.steps) for t in g.tables}
 
 
 def write_reports(
@@ -83,20 +118,21 @@ def write_reports(
 ) -> dict[str, str]:
     """Writes the named reports (all by default) under ``out``; returns name -> directory."""
     chosen = list(names) or NAMES
-    unknown = [name for name in chosen if name not in NAMES]
-    if unknown:
-        raise ValueError(f"unknown reports: {', '.join(unknown)}")
+    missing = sorted(tables_of(chosen) - set(inputs))
+    if missing:
+        raise ValueError(f"tables missing: {', '.join(missing)}")
     written = {}
-    for base_of, steps in REPORTS.items():
-        wanted = [name for name in steps if name in chosen]
+    for group in GROUPS:
+        wanted = [name for name in group.steps if name in chosen]
         if not wanted:
             continue
-        base = base_of(inputs)
+        base = group.base(inputs)
         # One row per month, or per month and flagged id; recomputed if an executor is lost.
-        if len(wanted) > 1:
+        shared = len(wanted) > 1
+        if shared:
             base = base.persist()
         for name in wanted:
-            written[name] = write_result(steps[name](base), out, name, now=now)
-        if len(wanted) > 1:
+            written[name] = write_result(group.steps[name](base), out, name, now=now)
+        if shared:
             base.unpersist()
     return written

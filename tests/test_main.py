@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import pytest
+
+from ledger import block, contract, scam, tx
+from ledgerloom.__main__ import main
+from ledgerloom.plans.reports import NAMES, tables_of
+from ledgerloom.session import DEFAULTS, build_session
+from ledgerloom.sources import read_pairs
+
+
+@pytest.fixture
+def exports(tmp_path):
+    paths = {}
+    for name, line in {
+        "transactions": tx(value="7"), "contracts": contract(), "scams": scam(), "blocks": block(),
+    }.items():
+        (tmp_path / f"{name}.csv").write_text(line + "\n")
+        paths[name] = str(tmp_path / f"{name}.csv")
+    return paths
+
+
+def options(exports, *names):
+    return [part for name in names for part in (f"--{name}", exports[name])]
+
+
+def written(capsys):
+    return dict(line.split(" ", 1) for line in capsys.readouterr().out.splitlines())
+
+
+def test_one_report(spark, exports, tmp_path, capsys):
+    main([*options(exports, "transactions"), "--out", str(tmp_path / "out"), "monthly_avg_value"])
+    paths = written(capsys)
+    assert list(paths) == ["monthly_avg_value"]
+    assert read_pairs(spark, paths["monthly_avg_value"]).collect() == [("07 2015", 7.0)]
+
+
+def test_typed_copies_are_written_once_and_read_again(spark, exports, tmp_path, capsys):
+    typed = str(tmp_path / "typed")
+    out = str(tmp_path / "out")
+    main([*options(exports, *exports), "--typed", typed, "--out", out])
+    assert sorted(written(capsys)) == sorted(NAMES)
+    main(["--typed", typed, "--out", out + "2", "top_scam_ids"])
+    path = written(capsys)["top_scam_ids"]
+    assert read_pairs(spark, path).collect() == [("1", 7.0)]
+
+
+def test_missing_export_is_named(spark, exports, tmp_path):
+    with pytest.raises(ValueError, match="scams"):
+        main([*options(exports, "transactions"), "--out", str(tmp_path), "top_scam_ids"])
+
+
+def test_tables_of_reports():
+    assert tables_of(["monthly_count"]) == {"transactions"}
+    assert tables_of() == {"transactions", "contracts", "scams", "blocks"}
+
+
+def test_session_defaults_and_options(spark):
+    session = build_session(env={}, options={"spark.sql.shuffle.partitions": "8"})
+    for key, value in DEFAULTS.items():
+        assert session.conf.get(key) == value
