@@ -29,6 +29,12 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+SPARK_TYPES = {
+    "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double",
+    "DECIMAL(38,0)": "decimal(38,0)",
+}
+
+
 def rows_of(names: list[str], rows) -> list[tuple]:
     """Rows with columns by name and sorted, for an order-free comparison."""
     order = sorted(range(len(names)), key=lambda i: names[i])
@@ -43,6 +49,9 @@ def difference(spark: SparkSession, connection, sf_dir: str, name: str) -> str |
     theirs = rows_of(names, result.fetchall())
     if sorted(names) != sorted(frame.columns):
         return f"columns {frame.columns} != {names}"
+    types = {c[0]: SPARK_TYPES.get(str(c[1]), str(c[1])) for c in result.description}
+    if types != dict(frame.dtypes):
+        return f"types {dict(frame.dtypes)} != {types}"
     if not theirs:
         return "the SQL gives no row"
     if len(ours) != len(theirs):

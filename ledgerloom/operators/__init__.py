@@ -1,7 +1,7 @@
 """Relational building blocks; columns are passed by name."""
 
 from ledgerloom.operators.grouping import group_avg, group_count, group_sum
-from ledgerloom.operators.joins import fits_broadcast, matched_totals, only_listed, ratio_join
+from ledgerloom.operators.joins import list_size, matched_totals, only_listed, ratio_join
 from ledgerloom.operators.ordering import bounded, by_amount, by_key, top_k
 from ledgerloom.operators.unions import add_markers
 
@@ -10,10 +10,10 @@ __all__ = [
     "bounded",
     "by_amount",
     "by_key",
-    "fits_broadcast",
     "group_avg",
     "group_count",
     "group_sum",
+    "list_size",
     "matched_totals",
     "only_listed",
     "ratio_join",

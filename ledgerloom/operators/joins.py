@@ -8,6 +8,7 @@ so repeated entries never multiply rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,37 +25,40 @@ ROW_OVERHEAD = 64
 DIRECT_LABELS = 8
 
 
+class ListSize(NamedTuple):
+    """Bytes of a counted list, and the largest number of rows a key has in it."""
+
+    bytes: int
+    labels: int
+
+
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Measures ``df`` with one aggregate over its rows and compares it with a byte limit.
+def list_size(copies: DataFrame, key: str) -> ListSize:
+    """Measures a counted list with one aggregate over its rows.
 
     The file size is no bound (compressed text, Parquet dictionaries), so rows and bytes are
-    counted. One row of numbers comes back. The limit is a session setting unless given.
+    counted. One row of numbers comes back.
     """
-    if limit is None:
-        limit = broadcast_limit(df)
-    if limit <= 0:
-        return False
     width = F.lit(ROW_OVERHEAD).cast("bigint")
-    for name in df.columns:
+    for name in copies.columns:
         width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
-    return measured["bytes"] <= limit
+    per_key = copies.groupBy(key).agg(F.sum(width).alias("bytes"), F.count("*").alias("labels"))
+    size = per_key.agg(F.sum("bytes").alias("bytes"), F.max("labels").alias("labels")).first()
+    return ListSize(size["bytes"] or 0, size["labels"] or 0)
 
 
 def only_listed(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is listed, each once."""
-    keys = listed.select(key).distinct()
-    return df.join(keys, key, "left_semi")
+    """Rows whose key is listed, each once; for frames already grouped by ``key``, which then need
+    no further shuffle.
 
-
-def _most_labels(copies: DataFrame, key: str) -> int:
-    """Largest number of rows a key has in ``copies``."""
-    most = copies.groupBy(key).count().agg(F.max("count").alias("most")).first()["most"]
-    return most or 0
+    An inner join with distinct keys: a semi join would be pushed below the grouping and shuffle
+    the ungrouped rows.
+    """
+    keys = listed.select(key).distinct().hint("merge")
+    return df.join(keys, key, "inner")
 
 
 def matched_totals(
@@ -68,29 +72,29 @@ def matched_totals(
 ) -> DataFrame:
     """``total`` and ``n`` of the inner join on ``key``, grouped by ``fact_keys`` + ``list_keys``.
 
-    Three exact ways, chosen by measuring the list:
+    Three exact ways, chosen by measuring the counted list:
 
     * small, few labels per key: the counted list is broadcast and facts go from the scan straight
       into the partial sums of the result; no fact row is shuffled;
     * small, some key with many labels: the keys are broadcast to drop unlisted facts, and facts
       are summed per key before they meet the labels;
-    * large: as before without the broadcast. A key with a large share of the facts is a handful
-      of rows by the time of the shuffled join.
+    * large: as before without any broadcast; the hint keeps the planner from one on its estimate.
+      A key with a large share of the facts is a handful of rows by the time of the sorted join.
     """
-    listed = listed.select(key, *list_keys)
     copies = listed.groupBy(key, *list_keys).agg(F.count("*").alias("copies"))
-    small = fits_broadcast(listed, broadcast_bytes)
-    if small:
-        copies = F.broadcast(copies)
+    limit = broadcast_limit(listed) if broadcast_bytes is None else broadcast_bytes
+    size = list_size(copies, key) if limit > 0 else None
+    small = size is not None and size.bytes <= limit
+    copies = F.broadcast(copies) if small else copies.hint("merge")
     amounts = facts.select(
         key,
         *fact_keys,
         F.col(amount).cast(INTEGER).alias("sum_amount"),
         F.lit(1).cast("bigint").alias("sum_rows"),
     )
-    if not (small and (not list_keys or _most_labels(copies, key) <= DIRECT_LABELS)):
+    if not small or size.labels > DIRECT_LABELS:
         if small:
-            amounts = amounts.join(F.broadcast(listed.select(key)), key, "left_semi")
+            amounts = amounts.join(F.broadcast(copies.select(key)), key, "left_semi")
         amounts = amounts.groupBy(key, *fact_keys).agg(
             F.sum("sum_amount").alias("sum_amount"), F.count("*").alias("sum_rows")
         )

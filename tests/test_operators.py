@@ -97,22 +97,31 @@ def test_matched_totals_equal_the_pairwise_join(spark, seed, fact_keys, list_key
     assert {tuple(r[k] for k in keys): int(r.n) for r in got} == expected_n
 
 
-def test_size_check_measures_rows_and_bytes(spark):
-    small = spark.range(10).select(F.col("id").cast("string").alias("k"))
-    assert ops.fits_broadcast(small)
-    assert not ops.fits_broadcast(small, 100)
-    assert not ops.fits_broadcast(small, 0)
-    assert ops.fits_broadcast(small.where("k = 'none'"))
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("k"))
-    assert not ops.fits_broadcast(wide, 10_000)
-    assert ops.fits_broadcast(wide, 11_000)
-
-
-def test_size_limit_is_a_session_setting(spark):
-    small = spark.range(10).select(F.col("id").cast("string").alias("k"))
-    spark.conf.set("spark.ledgerloom.broadcastBytes", "10")
+def test_list_size_counts_rows_bytes_and_labels(spark):
+    rows = [("a", 1), ("a", 2), ("a", 30), ("b", 1), ("", 1)]
+    size = ops.list_size(spark.createDataFrame(rows, "k string, id int"), "k")
+    assert size == (5 * 64 + 4 + 6, 3)
+    assert ops.list_size(spark.createDataFrame([], "k string"), "k") == (0, 0)
+
+
+def ways(df):
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    return "broadcast" in text, "LeftSemi" in text
+
+
+def test_way_follows_the_measured_size(spark):
+    facts, listed = (spark.createDataFrame(rows) for rows in random_tables(5))
+
+    def total(list_keys, limit=None):
+        return ops.matched_totals(facts, listed, "address", "value", [], list_keys, limit)
+
+    assert ways(total(["category"])) == (True, False)
+    assert ways(total(["id", "category"])) == (True, True)
+    assert ways(total(["category"], 100)) == (False, False)
+    assert ways(total(["category"], 0)) == (False, False)
+    spark.conf.set("spark.ledgerloom.broadcastBytes", "100")
     try:
-        assert not ops.fits_broadcast(small)
+        assert ways(total(["category"])) == (False, False)
     finally:
         spark.conf.unset("spark.ledgerloom.broadcastBytes")
 

@@ -90,17 +90,19 @@ def test_many_labels_per_key_meet_facts_already_summed(lines):
     assert first_join < sums < semi and "SortMergeJoin" not in text
 
 
-def test_large_list_meets_facts_already_summed(spark, files):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(joined(files, 0))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_large_list_meets_facts_already_summed(files):
+    text = plan(joined(files, 0))
     assert "Broadcast" not in text and "LeftSemi" not in text
     assert text.index("SortMergeJoin") < text.index("partial_sum(sum_amount")
 
 
+def test_contracts_only_filters_sums_without_moving_them_again(files):
+    text = plan(plans.top_addresses_by_value(files["tx"], files["ct"], contracts_only=True))
+    assert "Broadcast" not in text
+    # One exchange for the sums, one for the listed keys.
+    assert text.count("Exchange hashpartitioning") == 2
+
+
 def test_contract_markers_add_no_second_shuffle(files):
     text = plan(plans.top_addresses_by_value(files["tx"], files["ct"]))
     assert text.count("Exchange hashpartitioning") == 1

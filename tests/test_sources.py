@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -80,6 +81,29 @@ def test_seconds_outside_the_years_are_malformed(lines):
     assert values(kept, "ts") == [-62135596800, 253402300799]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_random_lines_against_python(lines, seed):
+    draw = random.Random(seed)
+    texts = ["1", " 12", "+3", "-04", "1_0", "", "1.5", "x", "1__0", "9" * 20, '"a', "1e3"]
+    made = {
+        ",".join(draw.choice(texts) for _ in range(draw.choice([5, 6, 6, 6, 7]))) for _ in range(500)
+    }
+
+    def integer(text):
+        try:
+            return isinstance(int(text), int)
+        except ValueError:
+            return False
+
+    for wanted in ([], [0], [2, 5], [5, 1, 3]):
+        expected = []
+        for line in made:
+            parts = line.split(",")
+            if len(parts) == 6 and all(integer(parts[i]) for i in wanted):
+                expected.append(line)
+        assert values(valid_lines(lines(*made), 6, wanted), "line") == sorted(expected)
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"one\r\ntwo\n\n")
     (tmp_path / "b.csv").write_text('"x,y",z')
