@@ -1,0 +1,78 @@
+"""DuckDB SQL of the operators that SQL can express."""
+
+from __future__ import annotations
+
+TOP_K = """
+with v as (
+    select row_number() over () as rid, vec_id,
+           list_transform(embedding, lambda x: floor(64 * x::double)) as v
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+scored as (
+    select q.rid, q.vec_id as query_id, c.vec_id,
+           cast(list_dot_product(q.v, c.v) as bigint) as score
+    from v q join v c on q.rid <> c.rid
+    where q.vec_id % 20 = 0
+)
+select query_id,
+       cast(row_number() over (partition by rid order by score desc, vec_id) as int) as rank,
+       vec_id, score
+from scored
+qualify rank <= 20
+"""
+
+MIXING = r"""
+with sized as (
+    select doc_id, source, coalesce(text, '') as t,
+           cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+    from documents
+),
+keyed as (
+    select doc_id, source, size,
+           -ln((cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|' || t), 1, 13)
+                as bigint) + 0.5::double) / 4503599627370496.0::double)
+           / greatest(0.05::double, coalesce(
+                 length(regexp_replace(t, '[^\p{L}\x20\n]', '', 'g'))::double
+                 / nullif(length(t), 0), 0.05::double)) as k
+    from sized
+),
+weighted as (
+    select source, cast(sum(size) as bigint) as source_size,
+           [5, 2, 1][1 + (row_number() over (order by source is null, source) - 1) % 3] as weight
+    from keyed group by source
+),
+ranked as (
+    select *, sum(source_size) over () as everything, 3 * source_size as cap,
+           sum(source_size) over ()
+               - coalesce(sum(3 * source_size) over before, 0) as remaining,
+           sum(weight) over () - coalesce(sum(weight) over before, 0) as heavy
+    from weighted
+    window before as (order by 3 * source_size / weight, source is null, source
+                      rows between unbounded preceding and 1 preceding)
+),
+capped as (select *, weight * remaining > cap * heavy as full_ from ranked),
+goal as (
+    select source, source_size,
+           case when full_ then cap::double
+                else (weight * (everything - sum(case when full_ then cap else 0 end) over ()))::double
+                     / (sum(case when full_ then 0 else weight end) over ())::double end as target
+    from capped
+),
+placed as (
+    select k.*, g.source_size, g.target,
+           coalesce(sum(size) over (partition by k.source order by k, doc_id, size
+                    rows between unbounded preceding and 1 preceding), 0) as before,
+           coalesce(floor(g.target / nullif(g.source_size, 0)), 0) as epochs
+    from keyed k join goal g on k.source is not distinct from g.source
+)
+select doc_id, size, source_size, target,
+       cast(epochs * size + least(greatest(floor(target - epochs * source_size) - before, 0), size)
+            as bigint) as taken
+from placed
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op7_source_mixing": MIXING, "op9_top_k": TOP_K}

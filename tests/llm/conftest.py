@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+#: Column names that operators use inside; none may leak in or out.
+CLASHING = ["id", "fp", "row", "key", "hash", "size", "target", "score", "mix", "words", "chunk"]
+
+
+@pytest.fixture(scope="session")
+def odd_texts():
+    """Null, empty, blank, very long, repeated and odd texts."""
+    return [
+        None, "", " \t\n", "one", "one two", "a " * 3000, "x" * 30000, "7 " * 2000, "é ü ß 漢字 😀",
+        "Same text here and there", "Same text here and there", "\x00\x0b\x0c\x1f\x85\xa0 end",
+    ]
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Frame of documents out of texts or (text, source) pairs, numbered from 0."""
+
+    def make(texts, ids=None):
+        rows = []
+        for i, t in enumerate(texts):
+            text, source = t if isinstance(t, tuple) else (t, f"s{i % 3}")
+            rows.append((i if ids is None else ids[i], text, "en", source, len(text or "")))
+        return spark.createDataFrame(rows, DOCUMENTS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd(documents, odd_texts):
+    """Odd documents, some rows twice, some with null ids and sources, and clashing columns."""
+    from pyspark.sql import functions as F
+
+    texts = [(t, None if i % 4 == 0 else f"s{i % 2}") for i, t in enumerate(odd_texts)]
+    ids = [None if i % 5 == 4 else i for i in range(len(texts))]
+    df = documents([*texts, *texts[:3]], [*ids, *ids[:3]])
+    return df.select("*", *(F.lit(i).alias(name) for i, name in enumerate(CLASHING)))
+
+
+@pytest.fixture(scope="session")
+def none(documents):
+    return documents([])
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def sample(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")

@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ledgerloom.llm.decontamination import decontaminate
+from ledgerloom.llm.secrets import MARK, Novelty, scan
+from ledgerloom.llm.simhash import near_duplicates
+from ledgerloom.llm.toxicity import fit, score_column
+
+SF = "/root/testdata/sf0.01"
+STAGES = dict(corpus_pipeline.STAGES)
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def ids(df):
+    return sorted(r["doc_id"] for r in df.select("doc_id").collect())
+
+
+def test_each_stage_decides_as_its_operator(spark, docs):
+    kept = STAGES["toxicity"](spark, docs, SF)
+    weights = fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    scored = docs.select("doc_id", score_column(spark, F.col("text"), weights).alias("p"))
+    assert ids(kept) == ids(scored.where("p < 0.5")) and kept.columns == COLUMNS
+
+    kept = STAGES["simhash_near_dedup"](spark, docs, SF)
+    assert ids(kept) == ids(near_duplicates(docs).where("doc_id = component_id"))
+    assert kept.columns == COLUMNS
+
+    kept = STAGES["decontamination"](spark, docs, SF)
+    found = decontaminate(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert ids(kept) == ids(found.where("contaminated = 0")) and kept.columns == COLUMNS
+
+    clean = {r["doc_id"]: r for r in STAGES["secret_scan"](spark, docs, SF).collect()}
+    novelty = Novelty()
+    for r in docs.collect():
+        spans = scan(r["text"], novelty)
+        if spans:
+            assert MARK in clean[r["doc_id"]]["text"] and clean[r["doc_id"]]["n_chars"] == len(clean[r["doc_id"]]["text"])
+        else:
+            assert clean[r["doc_id"]] == r
+
+    out = STAGES["mixing"](spark, docs, SF).collect()
+    assert out[0].__fields__ == [*COLUMNS, "size", "source_size", "target", "taken"]
+    assert all(0 < r["taken"] <= 3 * r["size"] for r in out)
+    assert abs(sum(r["taken"] for r in out) - sum(len((r["text"] or "").split()) for r in docs.collect())) < 100
+
+
+def test_run_is_the_stages_in_turn(spark, docs):
+    out = docs
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, SF)
+    assert ids(out) == ids(corpus_pipeline.run(spark, SF))
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stages_take_odd_and_no_rows(spark, odd, none, name):
+    out = STAGES[name](spark, odd, SF)
+    assert out.count() <= odd.count()
+    extra = 4 if name == "mixing" else 0
+    lost = {"size", "target"} if name == "mixing" else set()
+    assert out.columns[: len(out.columns) - extra] == [c for c in odd.columns if c not in lost]
+    assert STAGES[name](spark, none, SF).count() == 0
