@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracles, queries
 from checks.compare import difference, oracle_connection
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
@@ -18,7 +19,9 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(queries.queries()) == set(oracles.oracle_sql())
+    assert set(queries.queries()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_gives_three_categories(spark):
@@ -26,6 +29,6 @@ def test_entry_gives_three_categories(spark):
     assert df.columns == ["category", "total"] and df.count() == 3
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query_equals_its_sql(spark, connection, name):
     assert difference(spark, connection, SF_DIR, name) is None
