@@ -7,7 +7,9 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +82,43 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(29))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def compressed_text(text: Column) -> Column:
+    """A text as compressed bytes, for a shuffle that carries whole texts."""
+
+    @F.pandas_udf("binary")
+    def small(texts: pd.Series) -> pd.Series:
+        compressor = zstandard.ZstdCompressor(level=1)
+        return pd.Series([compressor.compress(t.encode()) for t in texts], dtype=object)
+
+    return small(text)
+
+
+def plain_text(data: bytes) -> str:
+    return zstandard.decompress(data).decode()
+
+
+def packed(sorted_values: np.ndarray) -> bytes:
+    """Sorted 64-bit integers as differences, by byte planes, compressed."""
+    return packed_counts(np.diff(sorted_values, prepend=np.uint64(0)))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_counts(data).view(np.uint64), dtype=np.uint64)
+
+
+def packed_counts(values: np.ndarray) -> bytes:
+    """64-bit integers by byte planes, compressed: small ones take little."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def place(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a 64-bit hash; buckets follow the order of the hashes."""
+    return ((values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)

@@ -6,11 +6,13 @@ import math
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import checkpointed, hashes, mixed, remainder, text_of, words
+from ledgerloom.llm.common import (
+    checkpointed, compressed_text, hashes, mixed, packed, packed_counts, place, plain_text, remainder,
+    text_of, unpacked, unpacked_counts, words,
+)
 
 FOLDS = 10
 #: Of the training texts, those with this remainder tune the mixture weights.
@@ -26,42 +28,24 @@ END = hashes([b" "])[0]
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def packed(sorted_values: np.ndarray) -> bytes:
-    """Sorted 64-bit integers as differences, by byte planes, compressed."""
-    steps = np.diff(sorted_values, prepend=np.uint64(0)).astype("<u8")
-    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
-    return zstandard.compress(planes.tobytes(), 1)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
-
-
-def packed_counts(counts: np.ndarray) -> bytes:
-    planes = np.ascontiguousarray(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T)
-    return zstandard.compress(planes.tobytes(), 1)
-
-
-def unpacked_counts(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<i8").ravel()
-
-
 class Chunk:
     """The tokens of some texts, end to end, and their distinct unigrams and bigrams."""
 
     def __init__(self, texts) -> None:
-        split = [words(t) for t in texts]
-        self.sizes = np.array([len(s) + 1 for s in split], np.int64)
+        """``texts``: compressed ones. A few at a time are words; the rest of the time, hashes."""
+        parts, sizes = [], []
+        for low in range(0, len(texts), 200):
+            split = [words(plain_text(t)) for t in texts[low : low + 200]]
+            ends = np.cumsum([len(s) for s in split])
+            own = hashes([w for s in split for w in s])
+            parts.append(np.insert(own, ends, END))
+            sizes += [len(s) + 1 for s in split]
+        token = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        self.sizes = np.array(sizes, np.int64)
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
-        token = np.full(int(self.sizes.sum()), END, np.uint64)
-        inside = np.ones(len(token), bool)
-        inside[self.ends - 1] = False
-        token[inside] = hashes([w for s in split for w in s])
         context = np.concatenate([[END], token[:-1]]).astype(np.uint64)  # an end starts the next
-        self.doc = np.repeat(np.arange(len(split)), self.sizes)
+        self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
         self.unigrams, self.at1 = np.unique(token, return_inverse=True)
         self.bigrams, self.at2 = np.unique(mixed(context * _FACTOR + token), return_inverse=True)
         self.context = np.concatenate([[0], self.at1[:-1]])
@@ -77,15 +61,10 @@ def bucket_of(frequency: np.ndarray) -> np.ndarray:
     return np.where(frequency > 0, np.minimum(bits, BUCKETS - 1), 0)
 
 
-def place(values: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of a hash; buckets follow the order of the hashes."""
-    return ((values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
 def _requests(group: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """One row per level and bucket: the distinct n-grams of a chunk that fall there, and how often
     they occur in its training texts."""
-    chunk, train = Chunk(group["text"]), group["train"].to_numpy(bool)
+    chunk, train = Chunk(group["text"].tolist()), group["train"].to_numpy(bool)
     rows = []
     for level, values, at in chunk.levels():
         counts = np.bincount(at, train[chunk.doc], minlength=len(values)).astype(np.int64)
@@ -123,7 +102,7 @@ def _counts(replies: pd.DataFrame, level: int) -> np.ndarray:
 
 def _tuning_cells(texts: pd.DataFrame, replies: pd.DataFrame, n: int, v: int) -> pd.DataFrame:
     """Held-out counts: how often which estimates met, with each text's own counts deleted."""
-    chunk = Chunk(texts["text"])
+    chunk = Chunk(texts["text"].tolist())
 
     def others(at: np.ndarray, counts: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Counts of the n-grams ``of`` less those in the same text; ``at``: all n-grams."""
@@ -183,7 +162,7 @@ def mixture(cells: pd.DataFrame, v: int, rounds: int = 100) -> np.ndarray:
 
 
 def _scores(texts: pd.DataFrame, replies: pd.DataFrame, n: int, v: int, weights: np.ndarray):
-    chunk = Chunk(texts["text"])
+    chunk = Chunk(texts["text"].tolist())
     c1, c2 = _counts(replies, 1), _counts(replies, 2)
     token, pair, seen = c1[chunk.at1], c2[chunk.at2], c1[chunk.context]
     w = weights[bucket_of(seen)]
@@ -238,6 +217,8 @@ def score_texts(
     )
     rows = rows.withColumn("chunk", chunk.cast("int"))
 
+    # Compressed after the size and the chunk are known, which need the text itself.
+    rows = rows.withColumn("text", compressed_text(F.col("text")))
     asked = rows.select("chunk", "text", "train").groupBy("chunk").applyInPandas(
         lambda group: _requests(group, buckets),
         "level int, bucket int, values binary, counts binary, chunk int",
