@@ -86,6 +86,7 @@ OPERATORS = {
     "source_blocks": "select case when o_orderstatus = 'O' and o_orderpriority = '5-LOW' then 18 else 19 end as arity, count(*) + case when arity = 19 then 1 else 0 end as n from orders group by 1",
     "source_typed_transactions": "select address, count(*) as lines, count(*) filter (ok3) as c3, count(*) filter (ok7) as value, count(*) filter (ok8) as gas_used, count(*) filter (ok9) as gas_price, count(*) filter (ok11) as ts from tx group by 1 union all select 'address', 1, 0, 0, 0, 0, 0",  # the header has 15 fields
     "source_pairs": f"select strftime(ts, '%m %Y') as key, {_AVG.format('gas_price')} as value from tx where ok9 and ok11 group by 1",
+    "sink_all_pairs": "select cast(o_custkey as varchar) as key, count(*) as value from orders group by 1",
     "sink_pairs": "select miner as key, cast(sum(size) as bigint) as value from bl group by 1 order by 2 desc, 1 limit 100",
     "filter_count_form": "select address, count(*) as n from tx where ok11 group by 1",
     "filter_value_form": "select address, count(*) as n from tx where ok7 and ok11 group by 1",
@@ -125,7 +126,7 @@ OPERATORS = {
     "sort_saved_series": "select strftime(o_orderdate, '%m/%Y') as label, cast(count(*) as double) as value from orders group by 1 order by 1",
     "top_k_amount": "select l_partkey, cast(sum(cast(round(l_extendedprice * 100) as bigint)) as bigint) as total from lineitem group by 1 order by 2 desc, 1 limit 10",
     "first_of_sorted": "select o_custkey, count(*) as n from orders group by 1 order by 1 limit 100",
-    "bounded_result": "select c_nationkey, cast(sum(cast(round(c_acctbal * 100) as bigint)) as bigint) as total from customer group by 1 order by 1 limit 100",
+    "bounded_result": "select c_nationkey, cast(sum(cast(round(c_acctbal * 100) as bigint)) as bigint) as total from customer group by 1 order by 1 limit 10",
     "union_markers": "select address, value from tx where ok3 and ok7 union all select address, 1 from ct",
     "shared_monthly_count": "select strftime(ts, '%m/%Y') as month, count(*) as n from tx where ok11 group by 1",
     "shared_monthly_avg_value": f"select strftime(ts, '%m %Y') as month, {_AVG.format('value')} as avg_value from tx where ok7 and ok11 group by 1",

@@ -75,17 +75,17 @@ def _series(category: str) -> Query:
     return lambda s, d: _total(plans.scam_series(tx(s, d), sc(s, d), category))
 
 
-def _saved(spark: SparkSession, df: DataFrame, name: str, limit: int = 100) -> str:
-    return write_result(df, scratch(spark), name, limit)
+def _saved(spark: SparkSession, df: DataFrame, name: str) -> str:
+    return write_result(df, scratch(spark), name)
 
 
 def _sorted_average(spark: SparkSession, sf: str) -> DataFrame:
-    averages = ops.bounded(plans.monthly_avg_value(tx(spark, sf)), "month")
+    averages = plans.monthly_avg_value(tx(spark, sf))
     return plans.sorted_series(read_pairs(spark, _saved(spark, averages, "average")))
 
 
 def _sorted_count(spark: SparkSession, sf: str) -> DataFrame:
-    counts = ops.bounded(plans.monthly_count(tx(spark, sf)), "month")
+    counts = plans.monthly_count(tx(spark, sf))
     return plans.sorted_series(read_pairs(spark, _saved(spark, counts, "count")), commas=True)
 
 
@@ -139,7 +139,7 @@ def _typed_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _saved_price(spark: SparkSession, sf: str) -> DataFrame:
-    averages = ops.bounded(plans.monthly_avg_gas_price(tx(spark, sf)), "month")
+    averages = plans.monthly_avg_gas_price(tx(spark, sf))
     return read_pairs(spark, _saved(spark, averages, "price"))
 
 
@@ -148,6 +148,12 @@ def _saved_miners(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     return read_pairs(spark, _saved(spark, top, "miners"), kind)
 
 
+def _saved_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """A result of one row per customer, all of them written and read back."""
+    orders = _table(spark, sf, "orders").groupBy(F.col("o_custkey").cast("string").alias("key"))
+    return read_pairs(spark, _saved(spark, orders.agg(F.count("*").alias("value")), "orders"), "bigint")
+
+
 SOURCES: dict[str, Query] = {
     "source_transactions": _read_back("transactions"),
     "source_contracts": _read_back("contracts"),
@@ -156,6 +162,7 @@ SOURCES: dict[str, Query] = {
     "source_typed_transactions": _typed_counts,
     "source_pairs": _saved_price,
     "sink_pairs": lambda s, d: _saved_miners(s, d, "bigint"),
+    "sink_all_pairs": _saved_customers,
 }
 
 # --- filters ---------------------------------------------------------------------------------
@@ -347,7 +354,7 @@ AGGREGATIONS: dict[str, Query] = {
 
 def _saved_order_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = ops.group_count(_orders(spark, sf, MONTH_SLASH_YEAR), ["month"])
-    path = _saved(spark, ops.bounded(counts, "month"), "orders")
+    path = _saved(spark, counts, "orders")
     return plans.sorted_series(read_pairs(spark, path))
 
 
@@ -375,7 +382,7 @@ ORDERS: dict[str, Query] = {
     "first_of_sorted": lambda s, d: ops.by_key(
         ops.group_count(_table(s, d, "orders"), ["o_custkey"]), "o_custkey"
     ).limit(100),
-    "bounded_result": lambda s, d: _total(ops.bounded(_nation_balances(s, d), "c_nationkey")),
+    "bounded_result": lambda s, d: _total(ops.bounded(_nation_balances(s, d), "c_nationkey", 10)),
     "union_markers": lambda s, d: _as_bigint(_marked(s, d), "value"),
 }
 

@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.plans.reports import NAMES, tables_of, write_reports
+from ledgerloom.plans.series import sorted_series
 from ledgerloom.session import build_session
 from ledgerloom.sources import (
     BLOCKS,
@@ -15,7 +16,9 @@ from ledgerloom.sources import (
     TRANSACTIONS,
     load_table,
     read_lines,
+    read_pairs,
     save_table,
+    write_result,
 )
 
 TABLES = {table.name: table for table in (TRANSACTIONS, CONTRACTS, SCAMS, BLOCKS)}
@@ -30,6 +33,13 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         help="directory of typed copies: written from the exports given, read for the others",
     )
     parser.add_argument("--out", required=True, help="directory for the results")
+    parser.add_argument(
+        "--series",
+        action="append",
+        default=[],
+        metavar="RESULT",
+        help="a saved result in --out to write as a label-sorted series; labels of counts get a comma",
+    )
     parser.add_argument("reports", nargs="*", help=f"default: all of {', '.join(NAMES)}")
     return parser.parse_args(argv)
 
@@ -46,6 +56,15 @@ def read_input(spark: SparkSession, name: str, text: str | None, typed: str | No
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session()
+    if args.reports or not args.series:
+        write_all(spark, args)
+    for name in args.series:
+        pairs = read_pairs(spark, f"{args.out.rstrip('/')}/{name}")
+        series = sorted_series(pairs, commas=name.startswith("monthly_count"))
+        print("series", write_result(series, args.out, f"series_{name}_"))
+
+
+def write_all(spark: SparkSession, args: argparse.Namespace) -> None:
     inputs = {}
     for name in sorted(tables_of(args.reports)):
         text = getattr(args, name)

@@ -14,14 +14,24 @@ MONTH_SHORT_YEAR = "MM yy"
 SECONDS_PER_DAY = 86400
 
 
-def month_label(epoch: Column, pattern: str) -> Column:
-    """Label of the UTC month an epoch second lies in.
+def month_start(epoch: Column) -> Column:
+    """First day of the UTC month an epoch second lies in: the key to group rows by.
 
-    Goes through the UTC date, so the label does not depend on the session time zone.
+    Goes through the UTC date, so it does not depend on the session time zone. Seconds that a date
+    cannot hold raise.
     """
-    seconds_into_day = F.pmod(epoch, F.lit(SECONDS_PER_DAY))
-    day = ((epoch - seconds_into_day) / SECONDS_PER_DAY).cast("int")
-    return F.date_format(F.date_from_unix_date(day), pattern)
+    day = F.floor(epoch / SECONDS_PER_DAY).cast("int")
+    return F.trunc(F.date_from_unix_date(day), "MM")
+
+
+def start_label(start: Column, pattern: str) -> Column:
+    """Label of a month; formatting is dear, so only grouped rows get one."""
+    return F.date_format(start, pattern)
+
+
+def month_label(epoch: Column, pattern: str) -> Column:
+    """Label of the UTC month an epoch second lies in."""
+    return start_label(month_start(epoch), pattern)
 
 
 def ratio(total: Column, count: Column) -> Column:

@@ -26,6 +26,18 @@ def group_sum(df: DataFrame, keys: Keys, amount: str, name: str = "total") -> Da
     return df.groupBy(*keys).agg(F.sum(F.col(amount).cast(INTEGER)).alias(name))
 
 
+def known_sum(total: Column) -> Column:
+    """A sum by try_sum where it is used: raises where it went beyond 38 digits."""
+    beyond = F.raise_error(F.lit("ARITHMETIC_OVERFLOW: a sum exceeds 38 digits"))
+    return F.when(total.isNull(), beyond.cast(INTEGER)).otherwise(total)
+
+
+def whole_sum(total: str, has_rows: Column) -> Column:
+    """Sum of sums by try_sum, NULL if one of those with rows is NULL, and never an error."""
+    lost = F.max(F.when(has_rows & F.col(total).isNull(), 1))
+    return F.when(lost.isNull(), F.try_sum(total))
+
+
 def group_avg(
     df: DataFrame, keys: Keys, amount: str, name: str = "average", parts: bool = False
 ) -> DataFrame:

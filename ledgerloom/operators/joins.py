@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.integers import INTEGER
 from ledgerloom.functions.labels import ratio
+from ledgerloom.operators.grouping import known_sum
 
 BROADCAST_SETTING = "spark.ledgerloom.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -72,7 +73,8 @@ def matched_totals(
 ) -> DataFrame:
     """``total`` and ``n`` of the inner join on ``key``, grouped by ``fact_keys`` + ``list_keys``.
 
-    Three exact ways, chosen by measuring the counted list:
+    Three exact ways, chosen by measuring the counted list; in each, only sums of listed keys can
+    exceed 38 digits and raise:
 
     * small, few labels per key: the counted list is broadcast and facts go from the scan straight
       into the partial sums of the result; no fact row is shuffled;
@@ -95,14 +97,16 @@ def matched_totals(
     if not small or size.labels > DIRECT_LABELS:
         if small:
             amounts = amounts.join(F.broadcast(copies.select(key)), key, "left_semi")
+        # try_sum: the sum of a key that nobody listed must not decide whether the job succeeds.
         amounts = amounts.groupBy(key, *fact_keys).agg(
-            F.sum("sum_amount").alias("sum_amount"), F.count("*").alias("sum_rows")
+            F.try_sum("sum_amount").alias("sum_amount"), F.count("*").alias("sum_rows")
         )
     # Most keys are listed once; the test spares their rows a decimal multiplication.
     once = F.col("copies") == 1
-    repeated = (F.col("sum_amount") * F.col("copies")).cast(INTEGER)
+    amount_ = F.col("sum_amount") if small and size.labels <= DIRECT_LABELS else known_sum(F.col("sum_amount"))
+    repeated = (amount_ * F.col("copies")).cast(INTEGER)
     return amounts.join(copies, key, "inner").groupBy(*fact_keys, *list_keys).agg(
-        F.sum(F.when(once, F.col("sum_amount")).otherwise(repeated)).alias("total"),
+        F.sum(F.when(once, amount_).otherwise(repeated)).alias("total"),
         F.sum(F.col("sum_rows") * F.col("copies")).alias("n"),
     )
 

@@ -19,6 +19,6 @@ def top_k(df: DataFrame, amount: str, key: str, k: int) -> DataFrame:
     return by_amount(df, amount, key).limit(k)
 
 
-def bounded(df: DataFrame, key: str, n: int = 100) -> DataFrame:
+def bounded(df: DataFrame, key: str, n: int) -> DataFrame:
     """The first n rows by key."""
     return by_key(df, key).limit(n)

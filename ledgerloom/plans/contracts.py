@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.labels import MONTH_SHORT_YEAR, month_label, ratio
+from ledgerloom.functions.labels import MONTH_SHORT_YEAR, month_start, ratio, start_label
 from ledgerloom.operators.grouping import group_sum
 from ledgerloom.operators.joins import matched_totals, only_listed
 from ledgerloom.operators.ordering import top_k
@@ -17,10 +17,13 @@ def monthly_avg_contract_gas(transactions: DataFrame, contracts: DataFrame) -> D
     """``month`` (MM yy), ``avg_gas`` over the join of transactions with contracts; a contract
     listed twice counts twice."""
     rows = pick(transactions, TRANSACTIONS, "address", "gas_used", "ts").select(
-        "address", "gas_used", month_label(F.col("ts"), MONTH_SHORT_YEAR).alias("month")
+        "address", "gas_used", month_start(F.col("ts")).alias("start")
     )
     listed = pick(contracts, CONTRACTS, "address")
-    totals = matched_totals(rows, listed, "address", "gas_used", fact_keys=["month"])
+    totals = matched_totals(rows, listed, "address", "gas_used", fact_keys=["start"])
+    # Two-digit years: months of different centuries have one label.
+    month = start_label(F.col("start"), MONTH_SHORT_YEAR).alias("month")
+    totals = totals.groupBy(month).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     return totals.select("month", ratio(F.col("total"), F.col("n")).alias("avg_gas"))
 
 
@@ -38,7 +41,7 @@ def top_addresses_by_value(
     when one row per address is left.
     """
     listed = pick(contracts, CONTRACTS, "address")
-    values = pick(transactions, TRANSACTIONS, "address", "c3", "value").select("address", "value")
+    values = pick(transactions, TRANSACTIONS, "address", "value", checked=["c3"])
     totals = group_sum(add_markers(values, listed, "address", "value"), ["address"], "value")
     if contracts_only:
         totals = only_listed(totals, listed, "address")

@@ -2,65 +2,95 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.labels import MONTH_SLASH_YEAR, MONTH_YEAR, month_label, ratio
-from ledgerloom.operators.grouping import group_avg, group_count
+from ledgerloom.functions.integers import INTEGER
+from ledgerloom.functions.labels import (
+    MONTH_SLASH_YEAR,
+    MONTH_YEAR,
+    month_start,
+    ratio,
+    start_label,
+)
+from ledgerloom.operators.grouping import group_count, known_sum, whole_sum
 from ledgerloom.sources.tables import TRANSACTIONS, pick
 
 
+def _start():
+    return month_start(F.col("ts")).alias("start")
+
+
 def _month(pattern: str):
-    return month_label(F.col("ts"), pattern).alias("month")
+    return start_label(F.col("start"), pattern).alias("month")
+
+
+def _average(rows: DataFrame, amount: str, parts: bool) -> DataFrame:
+    """Sums per month of the calendar, then per label: rows are grouped by a date, and only the few
+    groups get a label (labels of different years can coincide before year 1)."""
+    sums = rows.groupBy(_start()).agg(F.sum(F.col(amount).cast(INTEGER)).alias("total"), F.count("*").alias("n"))
+    sums = sums.groupBy(_month(MONTH_YEAR)).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    sums = sums.withColumn(f"avg_{amount}", ratio(F.col("total"), F.col("n")))
+    return sums if parts else sums.drop("total", "n")
 
 
 def monthly_count(transactions: DataFrame) -> DataFrame:
     """``month`` (MM/yyyy), ``n``."""
-    return group_count(pick(transactions, TRANSACTIONS, "ts"), [_month(MONTH_SLASH_YEAR)])
+    counts = group_count(pick(transactions, TRANSACTIONS, "ts"), [_start()])
+    return counts.groupBy(_month(MONTH_SLASH_YEAR)).agg(F.sum("n").alias("n"))
 
 
 def monthly_avg_value(transactions: DataFrame, parts: bool = False) -> DataFrame:
     """``month`` (MM yyyy), ``avg_value``; ``parts`` adds the exact ``total`` and ``n``."""
-    rows = pick(transactions, TRANSACTIONS, "value", "ts")
-    return group_avg(rows, [_month(MONTH_YEAR)], "value", "avg_value", parts)
+    return _average(pick(transactions, TRANSACTIONS, "value", "ts"), "value", parts)
 
 
 def monthly_avg_gas_price(transactions: DataFrame, parts: bool = False) -> DataFrame:
     """``month`` (MM yyyy), ``avg_gas_price``; ``parts`` adds the exact ``total`` and ``n``."""
-    rows = pick(transactions, TRANSACTIONS, "gas_price", "ts")
-    return group_avg(rows, [_month(MONTH_YEAR)], "gas_price", "avg_gas_price", parts)
+    return _average(pick(transactions, TRANSACTIONS, "gas_price", "ts"), "gas_price", parts)
 
 
 @dataclass(frozen=True)
 class MonthlySummary:
     count: DataFrame
-    avg_value: DataFrame
-    avg_gas_price: DataFrame
+    avg_value: DataFrame | None
+    avg_gas_price: DataFrame | None
 
 
-def monthly_totals(transactions: DataFrame) -> DataFrame:
-    """Sums and counts behind the three monthly reports, from one scan.
+def monthly_totals(
+    transactions: DataFrame, amounts: Sequence[str] = ("value", "gas_price")
+) -> DataFrame:
+    """Sums of the ``amounts`` and counts behind the three monthly reports, from one scan.
 
     A malformed value or price is NULL in ``transactions`` and is skipped by its own sum and
-    count only, which is what dropping the line does in the single reports.
+    count only, which is what dropping the line does in the single reports. A sum beyond 38 digits
+    is NULL here and raises in the report that uses it, not in the others.
     """
-    return transactions.where(F.col("ts").isNotNull()).groupBy(_month(MONTH_YEAR)).agg(
+    rows = transactions.where(F.col("ts").isNotNull()).groupBy(_start())
+    sums = rows.agg(
         F.count("*").alias("n"),
-        F.sum("value").alias("value"),
-        F.count("value").alias("n_value"),
-        F.sum("gas_price").alias("gas_price"),
-        F.count("gas_price").alias("n_gas_price"),
+        *(F.try_sum(a).alias(a) for a in amounts),
+        *(F.count(a).alias(f"n_{a}") for a in amounts),
+    )
+    return sums.groupBy(_month(MONTH_YEAR)).agg(
+        F.sum("n").alias("n"),
+        *(whole_sum(a, F.col(f"n_{a}") > 0).alias(a) for a in amounts),
+        *(F.sum(f"n_{a}").alias(f"n_{a}") for a in amounts),
     )
 
 
 def monthly_summary(totals: DataFrame) -> MonthlySummary:
-    """The three monthly reports out of ``monthly_totals``."""
+    """The three monthly reports out of ``monthly_totals``; those whose sums it lacks are None."""
 
-    def average(amount: str) -> DataFrame:
+    def average(amount: str) -> DataFrame | None:
+        if amount not in totals.columns:
+            return None
         some = totals.where(F.col(f"n_{amount}") > 0)
-        return some.select("month", ratio(F.col(amount), F.col(f"n_{amount}")).alias(f"avg_{amount}"))
+        total = known_sum(F.col(amount))
+        return some.select("month", ratio(total, F.col(f"n_{amount}")).alias(f"avg_{amount}"))
 
     slashed = F.translate("month", " ", "/").alias("month")
     return MonthlySummary(

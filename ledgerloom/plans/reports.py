@@ -6,13 +6,13 @@ scan of the transactions, the five scam reports out of one scan and join.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.operators.ordering import bounded, by_key, top_k
+from ledgerloom.operators.ordering import by_key, top_k
 from ledgerloom.plans.blocks import top_miners_by_size
 from ledgerloom.plans.contracts import monthly_avg_contract_gas, top_addresses_by_value
 from ledgerloom.plans.monthly import monthly_summary, monthly_totals
@@ -24,26 +24,28 @@ from ledgerloom.sources.tables import TRANSACTIONS, parse
 Inputs = dict[str, DataFrame]
 
 
-def _monthly_base(inputs: Inputs) -> DataFrame:
+def _monthly_base(inputs: Inputs, wanted: Sequence[str]) -> DataFrame:
+    """Sums of the amounts that the asked reports use, and of no others."""
     transactions = inputs["transactions"]
+    amounts = [a for a in ("value", "gas_price") if f"monthly_avg_{a}" in wanted]
     if transactions.columns == [LINE]:
-        transactions = parse(transactions, TRANSACTIONS, ["value", "gas_price", "ts"])
-    return monthly_totals(transactions)
+        transactions = parse(transactions, TRANSACTIONS, [*amounts, "ts"])
+    return monthly_totals(transactions, amounts)
 
 
-def _gas_base(inputs: Inputs) -> DataFrame:
+def _gas_base(inputs: Inputs, wanted: Sequence[str]) -> DataFrame:
     return monthly_avg_contract_gas(inputs["transactions"], inputs["contracts"])
 
 
-def _scam_base(inputs: Inputs) -> DataFrame:
+def _scam_base(inputs: Inputs, wanted: Sequence[str]) -> DataFrame:
     return scam_totals(inputs["transactions"], inputs["scams"])
 
 
-def _addresses(inputs: Inputs) -> DataFrame:
+def _addresses(inputs: Inputs, wanted: Sequence[str]) -> DataFrame:
     return top_addresses_by_value(inputs["transactions"], inputs["contracts"])
 
 
-def _miners(inputs: Inputs) -> DataFrame:
+def _miners(inputs: Inputs, wanted: Sequence[str]) -> DataFrame:
     return top_miners_by_size(inputs["blocks"])
 
 
@@ -59,7 +61,7 @@ class Group:
     """Reports that come out of one aggregate, and the tables it reads."""
 
     tables: tuple[str, ...]
-    base: Callable[[Inputs], DataFrame]
+    base: Callable[[Inputs, Sequence[str]], DataFrame]
     steps: dict[str, Step]
 
 
@@ -68,9 +70,9 @@ GROUPS = [
         ("transactions",),
         _monthly_base,
         {
-            "monthly_count": lambda base: bounded(monthly_summary(base).count, "month"),
-            "monthly_avg_value": lambda base: bounded(monthly_summary(base).avg_value, "month"),
-            "monthly_avg_gas_price": lambda base: bounded(
+            "monthly_count": lambda base: by_key(monthly_summary(base).count, "month"),
+            "monthly_avg_value": lambda base: by_key(monthly_summary(base).avg_value, "month"),
+            "monthly_avg_gas_price": lambda base: by_key(
                 monthly_summary(base).avg_gas_price, "month"
             ),
         },
@@ -79,7 +81,7 @@ GROUPS = [
         ("transactions", "contracts"),
         _gas_base,
         {
-            "monthly_avg_contract_gas": lambda base: bounded(base, "month"),
+            "monthly_avg_contract_gas": lambda base: by_key(base, "month"),
             "top_gas_months": lambda base: top_k(base, "avg_gas", "month", 10),
         },
     ),
@@ -126,7 +128,7 @@ def write_reports(
         wanted = [name for name in group.steps if name in chosen]
         if not wanted:
             continue
-        base = group.base(inputs)
+        base = group.base(inputs, wanted)
         # One row per month, or per month and flagged id; recomputed if an executor is lost.
         shared = len(wanted) > 1
         if shared:

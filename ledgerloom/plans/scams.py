@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.labels import MONTH_SHORT_YEAR, month_label
+from ledgerloom.functions.labels import MONTH_SHORT_YEAR, month_start, start_label
 from ledgerloom.operators.grouping import group_sum
 from ledgerloom.operators.joins import matched_totals
 from ledgerloom.operators.ordering import by_key, top_k
@@ -18,13 +18,11 @@ SERIES_CATEGORIES = ("Scamming", "Phishing", "Fake ICO")
 
 
 def _received(transactions: DataFrame, monthly: bool) -> DataFrame:
-    # gas_used is only checked: a line with a malformed one takes no part.
-    rows = pick(transactions, TRANSACTIONS, "address", "value", "gas_used", "ts")
+    # Fields that are only checked: a line with a malformed one takes no part.
     if not monthly:
-        return rows.select("address", "value")
-    return rows.select(
-        "address", "value", month_label(F.col("ts"), MONTH_SHORT_YEAR).alias("month")
-    )
+        return pick(transactions, TRANSACTIONS, "address", "value", checked=["gas_used", "ts"])
+    rows = pick(transactions, TRANSACTIONS, "address", "value", "ts", checked=["gas_used"])
+    return rows.select("address", "value", month_start(F.col("ts")).alias("start"))
 
 
 def scam_totals(
@@ -40,10 +38,14 @@ def scam_totals(
     listed = pick(scams, SCAMS, "id", "category", "address")
     if category is not None:
         listed = listed.where(F.col("category") == category)
-    monthly = [c for c in by if c == "month"]
+    monthly = ["start"] if "month" in by else []
     flagged = [c for c in by if c != "month"]
     rows = _received(transactions, bool(monthly))
-    return matched_totals(rows, listed, "address", "value", monthly, flagged).drop("n")
+    totals = matched_totals(rows, listed, "address", "value", monthly, flagged).drop("n")
+    if not monthly:
+        return totals
+    month = start_label(F.col("start"), MONTH_SHORT_YEAR).alias("month")
+    return group_sum(totals, [month, *flagged], "total")
 
 
 def top_scam_categories(transactions: DataFrame, scams: DataFrame, k: int = 3) -> DataFrame:

@@ -27,4 +27,9 @@ def build_session(
     builder = SparkSession.builder.appName(name)
     for key, value in {**DEFAULTS, **s3a_options(env), **(options or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    # A session that already ran ignores what the builder says about its file systems.
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for key, value in s3a_options(env).items():
+        hadoop.set(key.removeprefix("spark.hadoop."), value)
+    return spark

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.integers import to_integer
+from ledgerloom.functions.integers import is_integer
 
 LINE = "line"
 ARITY = "arity"
@@ -38,7 +38,7 @@ def field(position: int) -> Column:
 
 def valid_lines(lines: DataFrame, arity: int, int_fields: Sequence[int] = ()) -> DataFrame:
     """Lines with exactly ``arity`` fields whose ``int_fields`` are all integers."""
-    checks = {f"int_{i}": to_integer(field(i)).isNotNull() for i in int_fields}
+    checks = {f"int_{i}": is_integer(field(i)) for i in int_fields}
     checked = fields(lines, checks, keep_line=True)
     valid = F.col(ARITY) == arity
     for name in checks:

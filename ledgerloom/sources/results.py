@@ -1,4 +1,4 @@
-"""Saved results: short JSON lists of [key, value] pairs."""
+"""Saved results: JSON lines of [key, value] pairs."""
 
 from __future__ import annotations
 
@@ -20,25 +20,22 @@ def _json(name: str) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
-def pairs_text(df: DataFrame, limit: int = 100) -> DataFrame:
-    """One line ``[[key, value], ...]`` of the first ``limit`` rows, in the order of ``df``."""
+def pairs_text(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """One line ``["key", value]`` for each row, or for the first ``limit`` rows, of ``df``."""
     key, value = df.columns
     pair = F.concat(F.lit("["), _json(key), F.lit(", "), _json(value), F.lit("]"))
-    rows = df.limit(limit).coalesce(1)
-    numbered = rows.select(F.monotonically_increasing_id().alias("position"), pair.alias("pair"))
-    ordered = F.sort_array(F.collect_list(F.struct("position", "pair")))
-    return numbered.agg(
-        F.concat(F.lit("["), F.array_join(ordered["pair"], ", "), F.lit("]")).alias("value")
-    )
+    return (df if limit is None else df.limit(limit)).select(pair.alias("value"))
 
 
 def write_result(
-    df: DataFrame, base: str, name: str, limit: int = 100, now: datetime | None = None
+    df: DataFrame,
+    base: str,
+    name: str,
+    limit: int | None = None,
+    now: datetime | None = None,
 ) -> str:
-    """Writes the first ``limit`` rows of a two-column result; returns the new directory.
-
-    Results are reports of bounded length, so one task and one line hold them.
-    """
+    """Writes every row of a two-column result, or its first ``limit`` rows; returns the new
+    directory. Part files follow one another in the order of ``df``."""
     stamp = (now or datetime.now()).strftime(STAMP)
     path = f"{base.rstrip('/')}/{name}{stamp}"
     pairs_text(df, limit).write.text(path)
@@ -46,9 +43,13 @@ def write_result(
 
 
 def read_pairs(spark: SparkSession, path: str, kind: str = "double") -> DataFrame:
-    """``key`` and ``value`` of a saved result; text that is not a list of pairs raises."""
-    text = spark.read.text(path, wholetext=True)
-    pairs = F.from_json(F.col("value"), PAIRS, {"mode": "FAILFAST"})
+    """``key`` and ``value`` of a saved result, in lines of one pair or of a list of pairs; other
+    text raises."""
+    line = F.trim(F.col("value"))
+    text = spark.read.text(path).where(F.length(line) > 0)
+    whole = line.startswith("[[") | (line == "[]")  # the older form: all pairs in one line
+    listed = F.when(whole, line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
+    pairs = F.from_json(listed, PAIRS, {"mode": "FAILFAST"})
     exploded = text.select(F.explode(pairs).alias("pair"))
     return exploded.select(
         F.trim(F.col("pair")[0]).alias("key"), F.col("pair")[1].cast(kind).alias("value")

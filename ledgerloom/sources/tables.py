@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.integers import EPOCH_MAX, EPOCH_MIN, to_epoch, to_integer
+from ledgerloom.functions.integers import is_integer, to_epoch, to_integer
 from ledgerloom.sources.lines import ARITY, LINE, field, fields
 
 TEXT, INTEGER, EPOCH = "text", "integer", "epoch"
@@ -53,41 +53,44 @@ BLOCKS = Table("blocks", 19, {"miner": (9, TEXT), "size": (12, INTEGER)})
 _READERS = {TEXT: lambda text: text, INTEGER: to_integer, EPOCH: to_epoch}
 
 
-def _in_range(name: str, kind: str) -> Column:
-    value = F.col(name)
-    if kind == EPOCH:
-        value = F.when(value.between(EPOCH_MIN, EPOCH_MAX), value)
-    return value.alias(name)
-
-
-def parse(lines: DataFrame, table: Table, columns: Sequence[str] | None = None) -> DataFrame:
+def parse(
+    lines: DataFrame,
+    table: Table,
+    columns: Sequence[str] | None = None,
+    checked: Sequence[str] = (),
+) -> DataFrame:
     """Typed rows of the lines with the right arity; NULL for a malformed integer.
 
-    Only ``columns`` are converted, so ask for what the query uses.
+    Only ``columns`` are converted, so ask for what the query uses. The ``checked`` columns come as
+    true or NULL: their text is matched, not converted.
     """
     wanted = {name: table.fields[name] for name in columns or table.columns}
     picked = {name: _READERS[kind](field(i)) for name, (i, kind) in wanted.items()}
-    rows = fields(lines, picked).where(F.col(ARITY) == table.arity)
-    return rows.select(*[_in_range(name, kind) for name, (_, kind) in wanted.items()])
+    for name in checked:
+        picked[name] = F.when(is_integer(field(table.fields[name][0])), True)
+    return fields(lines, picked).where(F.col(ARITY) == table.arity).select(*picked)
 
 
-def pick(source: DataFrame, table: Table, *columns: str) -> DataFrame:
-    """The named columns of the rows whose named integers are all valid.
+def pick(
+    source: DataFrame, table: Table, *columns: str, checked: Sequence[str] = ()
+) -> DataFrame:
+    """The named columns of the rows whose named and ``checked`` integers are all valid.
 
     ``source`` is either raw lines or a typed table; for the latter both the column choice and
     the NULL test reach the Parquet scan.
     """
     if source.columns == [LINE]:
-        rows = parse(source, table, columns)
+        rows = parse(source, table, columns, checked)
     else:
-        rows = source.select(*columns)
-    for name in table.integers(columns):
+        rows = source.select(*columns, *checked)
+    for name in [*table.integers(columns), *checked]:
         rows = rows.where(F.col(name).isNotNull())
-    return rows
+    return rows.select(*columns)
 
 
 def save_table(lines: DataFrame, table: Table, path: str) -> None:
-    """Converts raw lines once to typed Parquet, for runs that ask several questions."""
+    """Converts raw lines once to typed Parquet, for runs that ask several questions. Every column
+    counts as used: an integer that does not fit raises."""
     parse(lines, table).write.parquet(path)
 
 
