@@ -11,14 +11,19 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import checkpointed, hashes, mixed, text_of, words
+from ledgerloom.llm.common import (
+    checkpointed, compressed_text, hashes, mixed, packed_counts, place, plain_text, text_of,
+    unpacked_counts, words,
+)
 from ledgerloom.llm.components import components
 
 #: Words of a shingle, of the shortest passage; least Jaccard similarity of two passages' shingles.
 WIDTH, LEAST, SIMILARITY = 5, 50, 0.8
 #: A pair of passages that similar shares no signature with probability 0.2**HASHES at most.
 HASHES = 4
-#: Words on a side of a shingle that tell apart the windows that did not match their first partner.
+#: Words beside a shingle that must agree on one side before texts are compared; of an exact passage
+#: of 50 words, 22 stand on one side at least. Windows whose texts share no passage with their first
+#: partner's meet again by the larger number of words.
 CONTEXTS = (8, 16)
 #: Words that an edit inside a passage may insert, drop or replace at a time.
 GAP = 4
@@ -77,14 +82,17 @@ def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
 
 
 def windows_of(texts: list[str | None], count: int, width: int, least: int) -> list[np.ndarray]:
-    """Arrays (text, key, centre, left, right) of the windows of some texts, for ``count`` hashes.
+    """Arrays (text, key, centre, left, right, before, after) of the windows of some texts, for
+    ``count`` hashes. before and after: 16 bits of a hash of the words beside the centre's shingle,
+    or -1 where the text has too few.
 
     The texts stand end to end; shingles that would cross an end get a value below all others, and
     no window holds one of those. Ends are counted in shingles of the text.
     """
     split = [words(t) for t in texts]
     sizes = np.array([len(s) for s in split], np.int64)
-    sh = shingles(hashes([w for s in split for w in s]), width)
+    h = hashes([w for s in split for w in s])
+    sh, beside = shingles(h, width), shingles(h, CONTEXTS[0])
     starts = np.cumsum(sizes) - sizes
     doc = np.repeat(np.arange(len(split)), sizes)[: len(sh)]
     position = np.arange(len(sh)) - starts[doc]
@@ -98,171 +106,246 @@ def windows_of(texts: list[str | None], count: int, width: int, least: int) -> l
         c, left, right = c[real], left[real], right[real]
         # All hashes share the shingle's places; their keys must not meet.
         key = mixed(value[c] + np.uint64(k))
-        out.append((doc[c], key, position[c], left - starts[doc[c]], right - starts[doc[c]]))
+        at, low = position[c], CONTEXTS[0]
+        size, base = sizes[doc[c]], starts[doc[c]]
+        before, after = np.full((2, len(c)), -1, np.int64)
+        fit = at >= low
+        before[fit] = beside[c[fit] - low] >> np.uint64(48)
+        fit = at + width + low <= size
+        after[fit] = beside[c[fit] + width] >> np.uint64(48)
+        out.append((doc[c], key, at, left - base, right - base, before, after))
     return [np.concatenate(x) for x in zip(*out)]
 
 
-ROWS_SCHEMA = (
-    "key long, doc long, size int, c int, l int, r int, link boolean, other long, other_c int,"
-    " fits boolean"
-)
-ROWS = [column.split()[0] for column in ROWS_SCHEMA.split(",")]
+WINDOW = ("key", "doc", "size", "c", "l", "r", "before", "after")
+LINK = ("a", "b", "ac", "bc", "size")
 
 
-def linked(rows: pd.DataFrame, least: int) -> pd.DataFrame:
-    """``rows`` by key, each but a key's first linked to that first one (the shortest text).
+def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int):
+    """Of the windows ``rows``: pairs (first, other) with the same key and words on a side, first
+    the one of the shortest text; the first windows; those without room for a passage with theirs.
 
-    Of a text's windows with one key only the first counts. ``fits``: the intervals of both windows
-    around the shared shingle have room for a passage.
+    There is room if the intervals of both around the shared shingle overlap that far.
     """
-    rows = rows.sort_values(["key", "size", "doc", "c"], kind="stable")
-    key, doc = rows["key"].to_numpy(), rows["doc"].to_numpy()
-    again = np.zeros(len(rows), bool)
-    again[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1])
-    rows = rows[~again].copy()
-    key, doc = rows["key"].to_numpy(), rows["doc"].to_numpy()
-    first = np.searchsorted(key, key)
-    c, left, right = (rows[x].to_numpy() for x in ("c", "l", "r"))
-    room = np.minimum(c - left, (c - left)[first]) + np.minimum(right - c, (right - c)[first]) + 1
-    rows["other"], rows["other_c"] = doc[first], c[first]
-    rows["fits"] = room >= least - WIDTH + 1
-    rows["link"] = first != np.arange(len(rows))
-    return rows
-
-
-def _signatures(rows: DataFrame, count: int, least: int) -> DataFrame:
-    """Windows and links (``link``) of the texts.
-
-    Within a batch, windows of a key are linked at once and only the first one stands for the key
-    beyond it: a key that is in every text has one row for each batch, not for each text. Links
-    are dealt out by their texts.
+    rows = rows[w[side][rows] >= 0]
+    rows = rows[np.lexsort([w[x][rows] for x in ("c", "doc", "size", side, "key")])]
+    same = np.zeros(len(rows), bool)
+    key, words_ = w["key"][rows], w[side][rows]
+    same[1:] = (key[1:] == key[:-1]) & (words_[1:] == words_[:-1])
+    first = rows[np.maximum.accumulate(np.where(same, 0, np.arange(len(rows))))]
+    to_left, to_right = w["c"] - w["l"], w["r"] - w["c"]
+    room = np.minimum(to_left[rows], to_left[first]) + np.minimum(to_right[rows], to_right[first]) + 1
+    fits = room >= least - WIDTH + 1
+    good = same & fits & (w["doc"][rows] != w["doc"][first])
+    return (first[good], rows[good]), rows[~same], rows[same & ~fits]
+
+
+def _as_links(w: dict[str, np.ndarray], pairs: list[tuple]) -> dict[str, np.ndarray]:
+    a, b = (np.concatenate(x) for x in zip(*pairs))
+    return {"a": w["doc"][a], "b": w["doc"][b], "ac": w["c"][a], "bc": w["c"][b], "size": w["size"][b]}
+
+
+def _dealt(kind: int, rows: dict[str, np.ndarray], by: np.ndarray, parts: int) -> Iterator[tuple]:
+    """Packed rows, one pack for each part that has any; ``by``: the hash that deals them."""
+    order = np.argsort(by, kind="stable")
+    rows = {name: x[order] for name, x in rows.items()}
+    part = place(by[order], parts)
+    cut = np.flatnonzero(np.diff(part)) + 1
+    names = list(rows)
+    for i, own in enumerate(np.split(part, cut)):
+        if len(own):
+            low = cut[i - 1] if i else 0
+            packs = [packed_counts(rows[x][low : low + len(own)].view(np.int64)) for x in names]
+            yield kind, int(own[0]), packs
+
+
+PACK_SCHEMA = "kind int, part int, packs array<binary>"
+
+
+def _unpacked(packs: list, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    own = {n: [unpacked_counts(p[i]) for p in packs] for i, n in enumerate(names)}
+    out = {n: np.concatenate(x) if x else np.empty(0, np.int64) for n, x in own.items()}
+    if "key" in out:
+        out["key"] = out["key"].view(np.uint64)
+    return out
+
+
+def _packs(windows: dict[str, np.ndarray], least: int, parts: int) -> pd.DataFrame:
+    pairs, stays = [], np.zeros(len(windows["key"]), bool)
+    for side in ("before", "after"):
+        own, first, alone = meet(windows, np.arange(len(stays)), side, least)
+        pairs.append(own)
+        stays[first] = stays[alone] = True
+    links = _as_links(windows, pairs)
+    windows = {name: x[stays] for name, x in windows.items()}
+    a, b = links["a"].view(np.uint64), links["b"].view(np.uint64)
+    rows = [*_dealt(0, windows, windows["key"], parts)]
+    rows += _dealt(1, links, mixed(b ^ mixed(a)), parts)
+    return pd.DataFrame(rows, columns=["kind", "part", "packs"])
+
+
+def _signatures(rows: DataFrame, count: int, least: int, parts: int) -> DataFrame:
+    """Packed windows (kind 0) and links (kind 1) of the texts.
+
+    Within a batch, windows meet at once; only those that must stand for their key go beyond it: a
+    passage that is in every text has one window for each batch, not for each text. Links are dealt
+    out by their texts.
     """
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            parts_ = []
             for low in range(0, len(batch), 1000):
                 part = batch.iloc[low : low + 1000]
-                at, key, c, left, right = windows_of(part["text"].tolist(), count, WIDTH, least)
-                own = pd.DataFrame(
-                    {
-                        "key": key.view(np.int64), "doc": part["doc"].to_numpy()[at],
-                        "size": part["size"].to_numpy()[at], "c": c, "l": left, "r": right,
-                    }
-                )
-                own = linked(own, least)
-                doc, other = (own[x].to_numpy().view(np.uint64) for x in ("doc", "other"))
-                spread = mixed(doc ^ mixed(other)).view(np.int64)
-                own["key"] = np.where(own["link"].to_numpy(), spread, own["key"].to_numpy())
-                yield own[ROWS]
-
-    return rows.mapInPandas(found, ROWS_SCHEMA)
+                at, key, *rest = windows_of(part["text"].tolist(), count, WIDTH, least)
+                doc, size = (part[x].to_numpy()[at].astype(np.int64) for x in ("doc", "size"))
+                parts_.append((key, doc, size, *rest))
+            if parts_:
+                own = dict(zip(WINDOW, (np.concatenate(x) for x in zip(*parts_))))
+                yield _packs(own, least, parts)
 
+    return rows.mapInPandas(found, PACK_SCHEMA)
 
-LINK_SCHEMA = "a long, b long, ac int, bc int, fits boolean, size int"
 
+def _links(packs: DataFrame, least: int) -> DataFrame:
+    """Links (a, b, ac, bc, size): text b has at bc the shingle that text a has at ac.
 
-def _links(rows: DataFrame, least: int, parts: int) -> DataFrame:
-    """Links (a, b, ac, bc, fits, size): text b has at bc the shingle that text a has at ac."""
-
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = list(batches)
-        if not own:
-            return
-        rows = pd.concat(own)
-        done = rows["link"].to_numpy()
-        met = linked(rows[~done], least)
-        for part in (rows[done], met[met["link"]]):
-            part = part[["other", "doc", "other_c", "c", "fits", "size"]]
-            yield part.set_axis(["a", "b", "ac", "bc", "fits", "size"], axis=1)
-
-    return rows.repartition(parts, "key").mapInPandas(found, LINK_SCHEMA)
-
-
-def _run(a: np.ndarray, b: np.ndarray) -> int:
-    """Equal values at the start of both."""
-    n = min(len(a), len(b))
-    different = a[:n] != b[:n]
-    return int(different.argmax()) if different.any() else n
-
-
-def _grow(a, b, i: int, j: int, width: int) -> list[tuple[int, int]]:
-    """Ends (i, j) that a passage from (i, j) on can have: after its first run of equal words, and
-    after each further run that follows an edit of at most GAP words on either side."""
-    n = _run(a[i:], b[j:])
-    ends = [(i + n, j + n)]
-    while True:
-        i, j = ends[-1]
-        steps = sorted(
-            ((x, y) for x in range(GAP + 1) for y in range(GAP + 1) if x or y), key=lambda s: sum(s)
-        )
-        for x, y in steps:
-            if (
-                i + x + width <= len(a)
-                and j + y + width <= len(b)
-                and _run(a[i + x : i + x + width], b[j + y : j + y + width]) == width
-            ):
-                n = _run(a[i + x :], b[j + y :])
-                ends.append((i + x + n, j + y + n))
-                break
-        else:
-            return ends
+    The windows of a part meet until none is left that had no room with its first partner.
+    """
 
+    def found(group: pd.DataFrame) -> pd.DataFrame:
+        kind = group["kind"].to_numpy()
+        packs = group["packs"].to_numpy()
+        windows = _unpacked([p for p, k in zip(packs, kind) if k == 0], WINDOW)
+        out = [_unpacked([p for p, k in zip(packs, kind) if k == 1], LINK)]
+        for side in ("before", "after"):
+            left = np.arange(len(windows["key"]))
+            while len(left):
+                pairs, _, left = meet(windows, left, side, least)
+                out.append(_as_links(windows, [pairs]))
+        rows = {name: np.concatenate([x[name] for x in out]) for name in LINK}
+        return pd.DataFrame(rows)
+
+    return packs.groupBy("part").applyInPandas(
+        found, "a long, b long, ac long, bc long, size long"
+    )
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two passages' shingles."""
-    x, y = np.unique(shingles(a)), np.unique(shingles(b))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / max(1, len(x) + len(y) - both)
 
+def _run(a: np.ndarray, b: np.ndarray, i: int, j: int, step: int) -> int:
+    """Equal values from a[i] and b[j] on, or, with step -1, right before them and back."""
+    limit = min(len(a) - i, len(b) - j) if step > 0 else min(i, j)
+    n, size = 0, 64
+    while n < limit:
+        m = min(size, limit - n)
+        if step > 0:
+            different = a[i + n : i + n + m] != b[j + n : j + n + m]
+        else:
+            different = (a[i - n - m : i - n] != b[j - n - m : j - n])[::-1]
+        k = int(different.argmax())
+        if different[k]:
+            return n + k
+        n, size = n + m, size * 4
+    return n
+
+
+def _word_values(own: list[bytes]) -> np.ndarray:
+    """A number for each word, the same for equal words within one process."""
+    return np.fromiter(map(hash, own), np.int64, len(own)).view(np.uint64)
+
+
+def _joined(h: np.ndarray) -> np.ndarray:
+    """A number for each shingle, the same for equal ones within one process."""
+    n = max(0, len(h) - WIDTH + 1)
+    total = h[:n].copy()
+    for i in range(1, WIDTH):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += h[i : i + n]
+    return total
 
-def passage(a, b, ac: int, bc: int, least: int = LEAST, limit: float = SIMILARITY):
-    """The passage (a_start, a_end, b_start, b_end) around a shingle at ac and bc, or None.
 
-    It takes the run of equal words there and, in turn on either side, the runs beyond the next
-    edit, as long as the similarity of all of it stays within the limit.
-    """
-    after = _grow(a, b, ac, bc, WIDTH)
-    before = [(ac - x, bc - y) for x, y in _grow(a[:ac][::-1], b[:bc][::-1], 0, 0, WIDTH)]
-    lo, hi, best = 0, 0, None
-    while True:
-        (i, j), (k, m) = before[lo], after[hi]
-        if min(k - i, m - j) >= least and (lo + hi == 0 or similarity(a[i:k], b[j:m]) >= limit):
-            best = (i, k, j, m)
-        elif best is not None:
-            # The last edit was one too many: the passage ends before it, on that side.
-            break
-        if lo + 1 < len(before) and (hi + 1 >= len(after) or lo <= hi):
-            lo += 1
-        elif hi + 1 < len(after):
-            hi += 1
-        else:
-            break
-    return best
+class Pair:
+    """Two texts' word hashes and shingles, and the search for passages that they share."""
 
+    def __init__(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a, self.b = a, b
+        self.sa, self.sb = _joined(a), _joined(b)
 
-def verify(text_a: str, text_b: str, places, least: int, context: int):
-    """Passages shared by two texts around the places, and the places that are in none, with keys
-    that add the words on either side of the shingle."""
-    a, b = hashes(words(text_a)), hashes(words(text_b))
-    spans, failed = [], []
-    for ac, bc, fits in sorted(places, key=lambda p: (p[1], p[0])):
+    def ends(self, i: int, j: int, step: int) -> list[tuple[int, int]]:
+        """Where a passage from (i, j) can end: after the first run of equal words, and after each
+        further run of a shingle or more that follows an edit of at most GAP words in either."""
+        out = []
+        while True:
+            n = _run(self.a, self.b, i, j, step) * step
+            i, j = i + n, j + n
+            out.append((i, j))
+            if step > 0:
+                x, y = self.sa[i : i + GAP + 1], self.sb[j : j + GAP + 1]
+            else:
+                low = max(0, i - WIDTH - GAP), max(0, j - WIDTH - GAP)
+                x = self.sa[low[0] : max(0, i - WIDTH + 1)][::-1]
+                y = self.sb[low[1] : max(0, j - WIDTH + 1)][::-1]
+            p, q = np.nonzero(x[:, None] == y[None, :])
+            if not len(p):
+                return out
+            k = int((p + q).argmin())
+            i, j = i + step * int(p[k]), j + step * int(q[k])
+
+    def similarity(self, i: int, k: int, j: int, m: int) -> float:
+        """Jaccard similarity of the shingles of a[i:k] and b[j:m]."""
+        x, y = np.unique(self.sa[i : k - WIDTH + 1]), np.unique(self.sb[j : m - WIDTH + 1])
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both / max(1, len(x) + len(y) - both)
+
+    def passage(self, ac: int, bc: int, least: int = LEAST, limit: float = SIMILARITY):
+        """The passage (a_start, a_end, b_start, b_end) around a shingle at ac and bc, or None.
+
+        It takes the run of equal words there and, in turn on either side, the runs beyond the next
+        edit, as long as the similarity of all of it stays within the limit.
+        """
+        after, before = self.ends(ac, bc, 1), self.ends(ac, bc, -1)
+        lo, hi, best = 0, 0, None
+        if min(after[-1][0] - before[-1][0], after[-1][1] - before[-1][1]) < least:
+            return None
+        while True:
+            (i, j), (k, m) = before[lo], after[hi]
+            if min(k - i, m - j) >= least and (lo + hi == 0 or self.similarity(i, k, j, m) >= limit):
+                best = (i, k, j, m)
+            elif best is not None:
+                return best  # the last edit was one too many
+            if lo + 1 < len(before) and (hi + 1 >= len(after) or lo <= hi):
+                lo += 1
+            elif hi + 1 < len(after):
+                hi += 1
+            else:
+                return best
+
+
+def verify(a: np.ndarray, own: list[bytes], places, least: int, context: int):
+    """Passages shared by two texts (values of the first one's words, words of the second) around
+    the places, and the places in none, with keys that add ``context`` words on either side."""
+    b = _word_values(own)
+    pair = Pair(a, b)
+    spans, failed, tried = [], [], {}
+    for ac, bc in sorted(places, key=lambda p: (p[1], p[0])):
         if any(s[0] <= ac < s[1] and s[2] <= bc < s[3] for s in spans):
             continue
-        got = passage(a, b, ac, bc, least) if fits else None
-        if got is not None:
-            spans.append(got)
-            continue
+        # All places in one run of equal words lead to the same passage.
+        if bc >= tried.get(ac - bc, 0):
+            got = pair.passage(ac, bc, least)
+            if got is not None:
+                spans.append(got)
+                continue
+            tried[ac - bc] = bc + _run(a, b, ac, bc, 1)
         for side, low, high in ((1, bc, bc + WIDTH + context), (2, bc - context, bc + WIDTH)):
             if context and low >= 0 and high <= len(b):
-                key = xxhash.xxh64_digest(b[low:high].tobytes(), side)
-                failed.append((int.from_bytes(key, "big", signed=True), bc))
+                failed.append((xxhash.xxh64_intdigest(b" ".join(own[low:high]), side), bc))
     return spans, failed
 
 
 def _verified(links: DataFrame, texts: DataFrame, least: int, context: int) -> DataFrame:
-    """Rows (a, b, size, spans, failed), one for each pair of linked texts."""
+    """Rows (a, b, size, spans, keys, at), one for each pair of linked texts."""
     pairs = links.groupBy("a", "b").agg(
-        F.collect_set(F.struct("ac", "bc", "fits")).alias("places"), F.first("size").alias("size")
+        F.collect_set(F.struct("ac", "bc")).alias("places"), F.first("size").alias("size")
     )
     side = lambda n: texts.select(F.col("doc").alias(f"{n}_doc"), F.col("text").alias(f"text_{n}"))
     pairs = pairs.join(side("b"), F.col("b") == F.col("b_doc")).drop("b_doc")
@@ -270,55 +353,68 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int) -> D
 
     @F.pandas_udf(
         "spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>,"
-        " failed array<struct<key:long,c:int>>"
+        " keys array<long>, at array<long>"
     )
-    def verified(text_a: pd.Series, text_b: pd.Series, places: pd.Series) -> pd.DataFrame:
+    def verified(
+        text_a: pd.Series, text_b: pd.Series, at_a: pd.Series, at_b: pd.Series
+    ) -> pd.DataFrame:
         names = ["a_start", "a_end", "b_start", "b_end"]
-        out = []
-        for a, b, own in zip(text_a, text_b, places):
-            places_ = [(p["ac"], p["bc"], p["fits"]) for p in own]
-            spans, failed = verify(a, b, places_, least, context)
+        out, last = [], (None, None)
+        for a, b, ac, bc in zip(text_a, text_b, at_a, at_b):
+            if a != last[0]:  # pairs come by their first text
+                last = (a, _word_values(words(plain_text(a))))
+            places = zip(ac.tolist(), bc.tolist())
+            spans, failed = verify(last[1], words(plain_text(b)), places, least, context)
             out.append(
                 (
                     [dict(zip(names, map(int, s))) for s in spans],
-                    [{"key": k, "c": int(c)} for k, c in failed],
+                    np.array([k for k, _ in failed], np.uint64).view(np.int64),
+                    np.array([c for _, c in failed], np.int64),
                 )
             )
-        return pd.DataFrame(out, columns=["spans", "failed"])
+        return pd.DataFrame(out, columns=["spans", "keys", "at"])
 
-    done = pairs.select("a", "b", "size", verified("text_a", "text_b", "places").alias("v"))
+    args = "text_a", "text_b", F.col("places.ac"), F.col("places.bc")
+    done = pairs.select("a", "b", "size", verified(*args).alias("v"))
     return done.select("a", "b", "size", "v.*")
 
 
+def _packed_again(failed: DataFrame, least: int, parts: int) -> DataFrame:
+    """Places (key, doc, size, c) as windows that only their key restricts."""
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            w = {n: batch[n].to_numpy().astype(np.int64) for n in ("key", "doc", "size", "c")}
+            w["key"] = w["key"].view(np.uint64)
+            zero = np.zeros(len(batch), np.int64)
+            w |= {"l": zero, "r": zero + 2**40, "before": zero, "after": zero - 1}
+            w["l"] = zero - 2**40
+            yield _packs({n: w[n] for n in WINDOW}, least, parts)
+
+    return failed.mapInPandas(found, PACK_SCHEMA)
+
+
 def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) -> DataFrame:
     """Verified passages (a, b, a_start, a_end, b_start, b_end) between different texts of rows
     (doc, text, size); doc identifies the text. Every text with a passage is linked to others that
     have it, not to all of them.
 
-    Windows with the same signature are compared with the shortest text among them. Those that
-    match nothing there meet again under keys that add the words beside the shingle.
+    Windows with the same signature and words on a side are compared with the shortest text among
+    them. Those that share no passage with it meet again by more words.
     """
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / PART_BYTES))
     # Copies collapse before any text is shuffled: each task keeps one of each.
-    texts = rows.groupBy("doc").agg(F.first("text").alias("text"))
-    links = _links(_signatures(rows.select("doc", "text", "size"), count, least), least, parts)
-    found = None
-    for context in (*CONTEXTS, 0):
-        checked = checkpointed(_verified(links, texts, least, context))
+    small = rows.select("doc", compressed_text(F.col("text")).alias("text"))
+    texts = small.groupBy("doc").agg(F.first("text").alias("text"))
+    packs, found = _signatures(rows.select("doc", "text", "size"), count, least, parts), None
+    for context in (*CONTEXTS[1:], 0):
+        checked = checkpointed(_verified(_links(packs, least), texts, least, context))
         spans = checked.select("a", "b", F.explode("spans").alias("s")).select("a", "b", "s.*")
         found = spans if found is None else found.union(spans)
-        if not context:
-            return found
-        failed = checked.select(F.col("b").alias("doc"), "size", F.explode("failed").alias("f"))
-        # No interval restricts these: the words beside the shingle agree.
-        everywhere = [F.lit(0).alias("l"), F.lit(2**30).alias("r")]
-        failed = failed.select("f.key", "doc", "size", "f.c", *everywhere).distinct()
-        failed = failed.select(
-            "*", F.lit(False).alias("link"), F.lit(0).cast("long").alias("other"),
-            F.lit(0).alias("other_c"), F.lit(True).alias("fits"),
-        )
-        links = _links(failed, least, parts)
+        again = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("at").alias("c")))
+        failed = checked.select(F.col("b").alias("doc"), "size", again.alias("f"))
+        packs = _packed_again(failed.select("f.key", "doc", "size", "f.c").distinct(), least, parts)
     return found
 
 
