@@ -23,21 +23,31 @@ _WORD = re.compile(r"\w+")
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+def features(
+    texts: list[str | None], bits: int = BITS, used: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(text, coordinate) pairs, distinct and in order: words, their STEMS first letters, word pairs
-    and pairs with one word between them, each hashed to one of 2**bits coordinates."""
+    and pairs with one word between them, each hashed to one of 2**bits coordinates. Only those that
+    ``used`` marks, if given: few have a weight, and the others need no sorting."""
     split = [_WORD.findall((t or "").lower()) for t in texts]
     own = np.repeat(np.arange(len(split)), [len(s) for s in split])
     coded = pa.array([w for s in split for w in s], pa.string()).dictionary_encode()
     at, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
     h = hashes([w.encode() for w in distinct])[at]
-    stems = [mixed(hashes([f"{w[:n]} {n}".encode() for w in distinct])[at]) for n in STEMS]
+    stems = [hashes([f"{w[:n]} {n}".encode() for w in distinct]) for n in STEMS]
     near, far = own[1:] == own[:-1], own[2:] == own[:-2]
     pairs = mixed(h[:-1] * _PAIR + h[1:])[near]
     skips = mixed(h[:-2] * _SKIP + h[2:])[far]
-    at = np.concatenate([own] * (1 + len(STEMS)) + [own[1:][near], own[2:][far]]).astype(np.int64)
-    coordinate = np.concatenate([mixed(h), *stems, pairs, skips]) >> np.uint64(64 - bits)
-    keys = np.unique(at << bits | coordinate.astype(np.int64))
+    kinds = [(own, mixed(h)), *((own, mixed(s)[at]) for s in stems)]
+    kinds += [(own[1:][near], pairs), (own[2:][far], skips)]
+    keys = []
+    for text, value in kinds:
+        coordinate = (value >> np.uint64(64 - bits)).astype(np.int64)
+        if used is not None:
+            kept = used[coordinate]
+            text, coordinate = text[kept], coordinate[kept]
+        keys.append(text.astype(np.int64) << bits | coordinate)
+    keys = np.unique(np.concatenate(keys))
     return keys >> bits, keys & ((1 << bits) - 1)
 
 
@@ -128,11 +138,12 @@ def score_column(spark, text, weights: dict[int, float], bits: int = BITS):
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = np.zeros((1 << bits) + 1)
         w[model.value[0]] = model.value[1]
+        used = w[:-1] != 0
         for texts in batches:
             out = []
             for start in range(0, len(texts), 500):
                 part = list(texts[start : start + 500])
-                at, coordinate = features(part, bits)
+                at, coordinate = features(part, bits, used)
                 z = np.bincount(at, w[coordinate], minlength=len(part)) + w[-1]
                 out.append(1 / (1 + np.exp(-np.clip(z, -35, 35))))
             scores = np.concatenate(out) if out else np.empty(0)
