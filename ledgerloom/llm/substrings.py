@@ -128,6 +128,12 @@ def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int):
     There is room if the intervals of both around the shared shingle overlap that far.
     """
     rows = rows[w[side][rows] >= 0]
+    rows = rows[np.argsort(w["key"][rows])]
+    again = np.zeros(len(rows) + 1, bool)
+    again[1:-1] = w["key"][rows[1:]] == w["key"][rows[:-1]]
+    several = again[1:] | again[:-1]
+    # Most keys have one window; only the others need the order of all columns.
+    alone, rows = rows[~several], rows[several]
     rows = rows[np.lexsort([w[x][rows] for x in ("c", "doc", "size", side, "key")])]
     same = np.zeros(len(rows), bool)
     key, words_ = w["key"][rows], w[side][rows]
@@ -137,7 +143,7 @@ def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int):
     room = np.minimum(to_left[rows], to_left[first]) + np.minimum(to_right[rows], to_right[first]) + 1
     fits = room >= least - WIDTH + 1
     good = same & fits & (w["doc"][rows] != w["doc"][first])
-    return (first[good], rows[good]), rows[~same], rows[same & ~fits]
+    return (first[good], rows[good]), np.concatenate([alone, rows[~same]]), rows[same & ~fits]
 
 
 def _as_links(w: dict[str, np.ndarray], pairs: list[tuple]) -> dict[str, np.ndarray]:
@@ -263,12 +269,39 @@ def _joined(h: np.ndarray) -> np.ndarray:
     return total
 
 
+class Words:
+    """Numbers of a text's words and of its shingles."""
+
+    def __init__(self, own: list[bytes]) -> None:
+        self.values = _word_values(own)
+        self.shingles = _joined(self.values).tolist()
+
+
+class Growing:
+    """Jaccard similarity of the shingles of two stretches whose ends only move out."""
+
+    def __init__(self, a: list[int], b: list[int]) -> None:
+        self.own, self.seen = (a, b), (set(), set())
+        self.ends: list[tuple[int, int] | None] = [None, None]
+        self.both = 0
+
+    def similarity(self, i: int, k: int, j: int, m: int) -> float:
+        """Of the words a[i:k] and b[j:m]; what an earlier call counted is not counted again."""
+        for side, low, high in ((0, i, k - WIDTH + 1), (1, j, m - WIDTH + 1)):
+            had, values = self.ends[side] or (high, high), self.own[side]
+            new = {*values[low : had[0]], *values[had[1] : high]} - self.seen[side]
+            self.both += len(new & self.seen[1 - side])
+            self.seen[side].update(new)
+            self.ends[side] = low, high
+        return self.both / max(1, len(self.seen[0]) + len(self.seen[1]) - self.both)
+
+
 class Pair:
-    """Two texts' word hashes and shingles, and the search for passages that they share."""
+    """Two texts and the search for passages that they share."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray) -> None:
-        self.a, self.b = a, b
-        self.sa, self.sb = _joined(a), _joined(b)
+    def __init__(self, a: Words, b: Words) -> None:
+        self.a, self.b = a.values, b.values
+        self.sa, self.sb = a.shingles, b.shingles
 
     def ends(self, i: int, j: int, step: int) -> list[tuple[int, int]]:
         """Where a passage from (i, j) can end: after the first run of equal words, and after each
@@ -284,17 +317,11 @@ class Pair:
                 low = max(0, i - WIDTH - GAP), max(0, j - WIDTH - GAP)
                 x = self.sa[low[0] : max(0, i - WIDTH + 1)][::-1]
                 y = self.sb[low[1] : max(0, j - WIDTH + 1)][::-1]
-            p, q = np.nonzero(x[:, None] == y[None, :])
-            if not len(p):
+            if set(x).isdisjoint(y):
                 return out
-            k = int((p + q).argmin())
-            i, j = i + step * int(p[k]), j + step * int(q[k])
-
-    def similarity(self, i: int, k: int, j: int, m: int) -> float:
-        """Jaccard similarity of the shingles of a[i:k] and b[j:m]."""
-        x, y = np.unique(self.sa[i : k - WIDTH + 1]), np.unique(self.sb[j : m - WIDTH + 1])
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return both / max(1, len(x) + len(y) - both)
+            same = ((p, q) for p, u in enumerate(x) for q, v in enumerate(y) if u == v)
+            p, q = min(same, key=sum)
+            i, j = i + step * p, j + step * q
 
     def passage(self, ac: int, bc: int, least: int = LEAST, limit: float = SIMILARITY):
         """The passage (a_start, a_end, b_start, b_end) around a shingle at ac and bc, or None.
@@ -306,9 +333,10 @@ class Pair:
         lo, hi, best = 0, 0, None
         if min(after[-1][0] - before[-1][0], after[-1][1] - before[-1][1]) < least:
             return None
+        grown = Growing(self.sa, self.sb)
         while True:
             (i, j), (k, m) = before[lo], after[hi]
-            if min(k - i, m - j) >= least and (lo + hi == 0 or self.similarity(i, k, j, m) >= limit):
+            if min(k - i, m - j) >= least and (lo + hi == 0 or grown.similarity(i, k, j, m) >= limit):
                 best = (i, k, j, m)
             elif best is not None:
                 return best  # the last edit was one too many
@@ -320,11 +348,10 @@ class Pair:
                 return best
 
 
-def verify(a: np.ndarray, own: list[bytes], places, least: int, context: int):
-    """Passages shared by two texts (values of the first one's words, words of the second) around
-    the places, and the places in none, with keys that add ``context`` words on either side."""
-    b = _word_values(own)
-    pair = Pair(a, b)
+def verify(a: Words, own: list[bytes], places, least: int, context: int):
+    """Passages shared by two texts (the first one's numbers, the words of the second) around the
+    places, and the places in none, with keys that add ``context`` words on either side."""
+    pair = Pair(a, Words(own))
     spans, failed, tried = [], [], {}
     for ac, bc in sorted(places, key=lambda p: (p[1], p[0])):
         if any(s[0] <= ac < s[1] and s[2] <= bc < s[3] for s in spans):
@@ -335,9 +362,9 @@ def verify(a: np.ndarray, own: list[bytes], places, least: int, context: int):
             if got is not None:
                 spans.append(got)
                 continue
-            tried[ac - bc] = bc + _run(a, b, ac, bc, 1)
+            tried[ac - bc] = bc + _run(pair.a, pair.b, ac, bc, 1)
         for side, low, high in ((1, bc, bc + WIDTH + context), (2, bc - context, bc + WIDTH)):
-            if context and low >= 0 and high <= len(b):
+            if context and low >= 0 and high <= len(own):
                 failed.append((xxhash.xxh64_intdigest(b" ".join(own[low:high]), side), bc))
     return spans, failed
 
@@ -362,7 +389,7 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int) -> D
         out, last = [], (None, None)
         for a, b, ac, bc in zip(text_a, text_b, at_a, at_b):
             if a != last[0]:  # pairs come by their first text
-                last = (a, _word_values(words(plain_text(a))))
+                last = (a, Words(words(plain_text(a))))
             places = zip(ac.tolist(), bc.tolist())
             spans, failed = verify(last[1], words(plain_text(b)), places, least, context)
             out.append(
