@@ -111,6 +111,8 @@ OPERATORS = {
     "join_contracts_shuffled": "select strftime(ts, '%m %y') as month, cast(sum(gas_used) as bigint) as total, count(*) as n from tx join ct using (address) where ok8 and ok11 group by 1",
     "join_scams": f"select id, category, {_TOTAL}, count(*) as n {_SCAM_JOIN} group by 1, 2",
     "join_scams_shuffled": f"select id, category, {_TOTAL}, count(*) as n {_SCAM_JOIN} group by 1, 2",
+    "join_many_labels": "select l.l_partkey, cast(sum(cast(round(f.l_quantity) as bigint)) as bigint) as total, count(*) as n from lineitem f join lineitem l using (l_suppkey) group by 1",
+    "join_many_labels_shuffled": "select l.l_partkey, cast(sum(cast(round(f.l_quantity) as bigint)) as bigint) as total, count(*) as n from lineitem f join lineitem l using (l_suppkey) group by 1",
     "join_counts": f"select strftime(ts, '%m %Y') as month, {_AVG.format('value')} as average from tx where ok7 and ok11 group by 1",
     "count_per_key": "select l_partkey, count(*) as n from lineitem group by 1",
     "count_per_month": "select strftime(o_orderdate, '%m/%Y') as month, count(*) as n from orders group by 1",

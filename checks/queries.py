@@ -285,6 +285,21 @@ def _join_scams(broadcast_bytes: int | None) -> Query:
     return run
 
 
+def _join_many_labels(broadcast_bytes: int | None) -> Query:
+    """Quantities of each supplier, once for every part that lists the supplier: most have many."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        lines = _table(spark, sf, "lineitem")
+        rows = lines.select("l_suppkey", F.round("l_quantity").cast("bigint").alias("quantity"))
+        listed = lines.select("l_suppkey", "l_partkey")
+        totals = ops.matched_totals(
+            rows, listed, "l_suppkey", "quantity", [], ["l_partkey"], broadcast_bytes
+        )
+        return _as_bigint(totals, "total", "n")
+
+    return run
+
+
 def _join_counts(spark: SparkSession, sf: str) -> DataFrame:
     rows = pick(tx(spark, sf), TRANSACTIONS, "value", "ts").withColumn(
         "month", month_label(F.col("ts"), MONTH_YEAR)
@@ -298,6 +313,8 @@ JOINS: dict[str, Query] = {
     "join_contracts_shuffled": _join_contracts(0),
     "join_scams": _join_scams(None),
     "join_scams_shuffled": _join_scams(0),
+    "join_many_labels": _join_many_labels(None),
+    "join_many_labels_shuffled": _join_many_labels(0),
     "join_counts": _join_counts,
 }
 
