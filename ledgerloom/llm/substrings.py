@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,9 @@ HASHES = 4
 #: of 50 words, 22 stand on one side at least. Windows whose texts share no passage with their first
 #: partner's meet again by the larger number of words.
 CONTEXTS = (8, 16)
+#: Numbers of words before a shingle that one key stands for, when windows meet by words on both
+#: sides: by all but STEPS[0] - 1 words of the shortest passage first, then by all of them.
+STEPS = (6, 1)
 #: Words that an edit inside a passage may insert, drop or replace at a time.
 GAP = 4
 #: Text bytes whose windows one task groups, on average.
@@ -118,14 +122,17 @@ def windows_of(texts: list[str | None], count: int, width: int, least: int) -> l
 
 
 WINDOW = ("key", "doc", "size", "c", "l", "r", "before", "after")
-LINK = ("a", "b", "ac", "bc", "size")
+#: al, ar, bl, br: words beside the shingle that lie in the windows, as far as a shortest passage.
+LINK = ("a", "b", "ac", "bc", "size", "al", "ar", "bl", "br")
 
 
-def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int):
+def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int, roomy: bool = True):
     """Of the windows ``rows``: pairs (first, other) with the same key and words on a side, first
-    the one of the shortest text; the first windows; those without room for a passage with theirs.
+    the one of the shortest text; the first windows, with those of their texts where no other text
+    is; those without room for a passage with theirs, and the first of each of these.
 
-    There is room if the intervals of both around the shared shingle overlap that far.
+    There is room if the intervals of both around the shared shingle overlap that far, or always
+    unless ``roomy``. Further windows of the first one's text are paired with the next text's.
     """
     rows = rows[w[side][rows] >= 0]
     rows = rows[np.argsort(w["key"][rows])]
@@ -138,17 +145,49 @@ def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int):
     same = np.zeros(len(rows), bool)
     key, words_ = w["key"][rows], w[side][rows]
     same[1:] = (key[1:] == key[:-1]) & (words_[1:] == words_[:-1])
-    first = rows[np.maximum.accumulate(np.where(same, 0, np.arange(len(rows))))]
+    at = np.arange(len(rows))
+    start = np.maximum.accumulate(np.where(same, 0, at))
+    first = rows[start]
+    other = w["doc"][rows] != w["doc"][first]
     to_left, to_right = w["c"] - w["l"], w["r"] - w["c"]
     room = np.minimum(to_left[rows], to_left[first]) + np.minimum(to_right[rows], to_right[first]) + 1
-    fits = room >= least - WIDTH + 1
-    good = same & fits & (w["doc"][rows] != w["doc"][first])
-    return (first[good], rows[good]), np.concatenate([alone, rows[~same]]), rows[same & ~fits]
-
-
-def _as_links(w: dict[str, np.ndarray], pairs: list[tuple]) -> dict[str, np.ndarray]:
-    a, b = (np.concatenate(x) for x in zip(*pairs))
-    return {"a": w["doc"][a], "b": w["doc"][b], "ac": w["c"][a], "bc": w["c"][b], "size": w["size"][b]}
+    fits = (room >= least - WIDTH + 1) | (not roomy)
+    good = same & fits & other
+    second = np.full(len(rows), len(rows))
+    np.minimum.at(second, start[other], at[other])
+    second = second[start]
+    own = same & ~other
+    lent = own & (second < len(rows))
+    pairs = (
+        np.concatenate([first[good], rows[lent]]),
+        np.concatenate([rows[good], rows[second[lent]]]),
+    )
+    firsts = np.concatenate([alone, rows[~same | own & ~lent]])
+    left = same & ~fits
+    return pairs, firsts, rows[left], first[left]
+
+
+def meetings(w: dict[str, np.ndarray], side: str, least: int, roomy: bool):
+    """Pairs of windows that meet until none is left that had no room with its first partner, and
+    the first windows of all rounds, each paired with the first of the round before it."""
+    rows, before = np.arange(len(w["key"])), np.full(len(w["key"]), -1)
+    pairs, firsts = [], []
+    while len(rows):
+        own, first, rows, past = meet(w, rows, side, least, roomy)
+        late = first[before[first] >= 0]
+        late = late[w["doc"][late] != w["doc"][before[late]]]
+        pairs += [own, (before[late], late)]
+        firsts.append(first)
+        before[rows] = past
+    return pairs, np.concatenate([np.empty(0, np.int64), *firsts])
+
+
+def _as_links(w: dict[str, np.ndarray], pairs: list[tuple], least: int) -> dict[str, np.ndarray]:
+    none = np.empty(0, np.int64)
+    a, b = (np.concatenate([none, *x]) for x in zip(*pairs, (none, none)))
+    out = {"a": w["doc"][a], "b": w["doc"][b], "ac": w["c"][a], "bc": w["c"][b], "size": w["size"][b]}
+    reach = [np.minimum(x, least - WIDTH) for x in (w["c"] - w["l"], w["r"] - w["c"])]
+    return out | {"al": reach[0][a], "ar": reach[1][a], "bl": reach[0][b], "br": reach[1][b]}
 
 
 def _dealt(kind: int, rows: dict[str, np.ndarray], by: np.ndarray, parts: int) -> Iterator[tuple]:
@@ -176,13 +215,13 @@ def _unpacked(packs: list, names: tuple[str, ...]) -> dict[str, np.ndarray]:
     return out
 
 
-def _packs(windows: dict[str, np.ndarray], least: int, parts: int) -> pd.DataFrame:
+def _packs(windows: dict[str, np.ndarray], least: int, parts: int, roomy: bool) -> pd.DataFrame:
     pairs, stays = [], np.zeros(len(windows["key"]), bool)
     for side in ("before", "after"):
-        own, first, alone = meet(windows, np.arange(len(stays)), side, least)
-        pairs.append(own)
-        stays[first] = stays[alone] = True
-    links = _as_links(windows, pairs)
+        own, first = meetings(windows, side, least, roomy)
+        pairs += own
+        stays[first] = True
+    links = _as_links(windows, pairs, least)
     windows = {name: x[stays] for name, x in windows.items()}
     a, b = links["a"].view(np.uint64), links["b"].view(np.uint64)
     rows = [*_dealt(0, windows, windows["key"], parts)]
@@ -208,16 +247,13 @@ def _signatures(rows: DataFrame, count: int, least: int, parts: int) -> DataFram
                 parts_.append((key, doc, size, *rest))
             if parts_:
                 own = dict(zip(WINDOW, (np.concatenate(x) for x in zip(*parts_))))
-                yield _packs(own, least, parts)
+                yield _packs(own, least, parts, True)
 
     return rows.mapInPandas(found, PACK_SCHEMA)
 
 
-def _links(packs: DataFrame, least: int) -> DataFrame:
-    """Links (a, b, ac, bc, size): text b has at bc the shingle that text a has at ac.
-
-    The windows of a part meet until none is left that had no room with its first partner.
-    """
+def _links(packs: DataFrame, least: int, roomy: bool) -> DataFrame:
+    """Links (a, b, ac, bc, size, ...): text b has at bc the shingle that text a has at ac."""
 
     def found(group: pd.DataFrame) -> pd.DataFrame:
         kind = group["kind"].to_numpy()
@@ -225,16 +261,11 @@ def _links(packs: DataFrame, least: int) -> DataFrame:
         windows = _unpacked([p for p, k in zip(packs, kind) if k == 0], WINDOW)
         out = [_unpacked([p for p, k in zip(packs, kind) if k == 1], LINK)]
         for side in ("before", "after"):
-            left = np.arange(len(windows["key"]))
-            while len(left):
-                pairs, _, left = meet(windows, left, side, least)
-                out.append(_as_links(windows, [pairs]))
+            out.append(_as_links(windows, meetings(windows, side, least, roomy)[0], least))
         rows = {name: np.concatenate([x[name] for x in out]) for name in LINK}
         return pd.DataFrame(rows)
 
-    return packs.groupBy("part").applyInPandas(
-        found, "a long, b long, ac long, bc long, size long"
-    )
+    return packs.groupBy("part").applyInPandas(found, ", ".join(f"{n} long" for n in LINK))
 
 
 def _run(a: np.ndarray, b: np.ndarray, i: int, j: int, step: int) -> int:
@@ -348,9 +379,9 @@ class Pair:
                 return best
 
 
-def verify(a: Words, own: list[bytes], places, least: int, context: int):
+def verify(a: Words, own: list[bytes], places, least: int):
     """Passages shared by two texts (the first one's numbers, the words of the second) around the
-    places, and the places in none, with keys that add ``context`` words on either side."""
+    places, and the places in none."""
     pair = Pair(a, Words(own))
     spans, failed, tried = [], [], {}
     for ac, bc in sorted(places, key=lambda p: (p[1], p[0])):
@@ -363,62 +394,133 @@ def verify(a: Words, own: list[bytes], places, least: int, context: int):
                 spans.append(got)
                 continue
             tried[ac - bc] = bc + _run(pair.a, pair.b, ac, bc, 1)
-        for side, low, high in ((1, bc, bc + WIDTH + context), (2, bc - context, bc + WIDTH)):
-            if context and low >= 0 and high <= len(own):
-                failed.append((xxhash.xxh64_intdigest(b" ".join(own[low:high]), side), bc))
+        failed.append((ac, bc))
     return spans, failed
 
 
-def _verified(links: DataFrame, texts: DataFrame, least: int, context: int) -> DataFrame:
-    """Rows (a, b, size, spans, keys, at), one for each pair of linked texts."""
+def side_keys(own: list[bytes], at: int, context: int) -> list[int]:
+    """Keys of the shingle at a place with ``context`` words on either side."""
+    sides = ((1, at, at + WIDTH + context), (2, at - context, at + WIDTH))
+    return [
+        xxhash.xxh64_intdigest(b" ".join(own[low:high]), side)
+        for side, low, high in sides
+        if low >= 0 and high <= len(own)
+    ]
+
+
+def step_keys(
+    own: list[bytes], at: int, reach: tuple[int, int], run: tuple[int, int], least: int, step: int
+) -> list[int]:
+    """Keys of the shingle at a place with the words on both sides that all passages of ``least``
+    words have that begin lo to lo + step - 1 words before it, for each lo.
+
+    Only those within ``reach`` words before and after, and only those that are not all within the
+    ``run`` of words that a partner shares.
+    """
+    out, total = [], least - WIDTH
+    for lo in range(0, total + 1, step):
+        hi = min(lo + step - 1, total)
+        if lo > reach[0] or total - hi > reach[1] or hi <= run[0] and total - lo <= run[1]:
+            continue
+        low, high = at - lo, at + WIDTH + total - hi
+        if low >= 0 and high <= len(own):
+            out.append(xxhash.xxh64_intdigest(b" ".join(own[low:high]), 1000 * step + lo))
+    return out
+
+
+def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step: int) -> DataFrame:
+    """Rows (a, b, spans, keys), one for each pair of linked texts.
+
+    keys: (kind, key, doc, size, c, l, r) by which windows meet again. Kind 0 has ``context`` words
+    on a side, for places in no passage; kind 1 has words on both sides, for all places where others
+    can share a passage that the partner lacks. The first text of a pair has those for all places:
+    whatever the others share with it and with no one else, they find it there.
+    """
+    place = ("ac", "bc", "al", "ar", "bl", "br")
     pairs = links.groupBy("a", "b").agg(
-        F.collect_set(F.struct("ac", "bc")).alias("places"), F.first("size").alias("size")
+        F.collect_set(F.struct(*place)).alias("places"), F.first("size").alias("size")
     )
     side = lambda n: texts.select(F.col("doc").alias(f"{n}_doc"), F.col("text").alias(f"text_{n}"))
     pairs = pairs.join(side("b"), F.col("b") == F.col("b_doc")).drop("b_doc")
     pairs = pairs.join(side("a"), F.col("a") == F.col("a_doc")).drop("a_doc")
 
+    def again(a: Words, own_a: list[bytes], own: list[bytes], places, failed, done: set):
+        """(kind, of the second text, key, place, reach before and after)"""
+        both, b_values = [], _word_values(own) if step else None
+        for ac, bc, *reach in places:
+            if context and (ac, bc) in failed:
+                both += [(0, 1, k, bc, *reach[2:]) for k in side_keys(own, bc, context)]
+                if (0, ac) not in done:
+                    both += [(0, 0, k, ac, *reach[:2]) for k in side_keys(own_a, ac, context)]
+                    done.add((0, ac))
+            if step:
+                run = (
+                    _run(a.values, b_values, ac, bc, -1),
+                    _run(a.values, b_values, ac, bc, 1) - WIDTH,
+                )
+                keys = step_keys(own, bc, tuple(reach[2:]), run, least, step)
+                both += [(1, 1, k, bc, *reach[2:]) for k in keys]
+                if (1, ac, *reach[:2]) not in done:
+                    keys = step_keys(own_a, ac, tuple(reach[:2]), (-1, -1), least, step)
+                    both += [(1, 0, k, ac, *reach[:2]) for k in keys]
+                    done.add((1, ac, *reach[:2]))
+        return both
+
     @F.pandas_udf(
-        "spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>,"
-        " keys array<long>, at array<long>"
+        "spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>, size_a long,"
+        " kind array<int>, of_b array<int>, key array<long>, c array<long>, l array<long>, r array<long>"
     )
     def verified(
-        text_a: pd.Series, text_b: pd.Series, at_a: pd.Series, at_b: pd.Series
+        text_a: pd.Series, text_b: pd.Series, places: pd.Series, *columns: pd.Series
     ) -> pd.DataFrame:
         names = ["a_start", "a_end", "b_start", "b_end"]
-        out, last = [], (None, None)
-        for a, b, ac, bc in zip(text_a, text_b, at_a, at_b):
-            if a != last[0]:  # pairs come by their first text
-                last = (a, Words(words(plain_text(a))))
-            places = zip(ac.tolist(), bc.tolist())
-            spans, failed = verify(last[1], words(plain_text(b)), places, least, context)
-            out.append(
-                (
-                    [dict(zip(names, map(int, s))) for s in spans],
-                    np.array([k for k, _ in failed], np.uint64).view(np.int64),
-                    np.array([c for _, c in failed], np.int64),
-                )
-            )
-        return pd.DataFrame(out, columns=["spans", "keys", "at"])
-
-    args = "text_a", "text_b", F.col("places.ac"), F.col("places.bc")
+        out, last = [], None
+        for a, b, *own_places in zip(text_a, text_b, places, *columns):
+            if last is None or a != last[0]:  # pairs come by their first text
+                plain = plain_text(a)
+                own_a = words(plain)
+                last = (a, Words(own_a), own_a, len(plain), set())
+            own = words(plain_text(b))
+            at = list(zip(*(x.tolist() for x in own_places)))
+            spans, failed = verify(last[1], own, {p[:2] for p in at}, least)
+            keys = again(last[1], last[2], own, at, set(failed), last[4])
+            kind, of_b, key, c, l, r = zip(*keys) if keys else ((),) * 6  # noqa: E741
+            key = np.array(key, np.uint64).view(np.int64)
+            out.append(([dict(zip(names, map(int, s))) for s in spans], last[3], kind, of_b, key, c, l, r))
+        return pd.DataFrame(out, columns=["spans", "size_a", "kind", "of_b", "key", "c", "l", "r"])
+
+    args = "text_a", "text_b", *(F.col(f"places.{n}") for n in place)
     done = pairs.select("a", "b", "size", verified(*args).alias("v"))
     return done.select("a", "b", "size", "v.*")
 
 
-def _packed_again(failed: DataFrame, least: int, parts: int) -> DataFrame:
-    """Places (key, doc, size, c) as windows that only their key restricts."""
+def _again(checked: DataFrame) -> DataFrame:
+    """Rows (kind, key, doc, size, c, l, r), one for each key and place."""
+    names = ("kind", "of_b", "key", "c", "l", "r")
+    rows = F.explode(F.arrays_zip(*(F.col(n).alias(n) for n in names)))
+    rows = checked.select("a", "b", "size", "size_a", rows.alias("k"))
+    of = lambda a, b: F.when(F.col("k.of_b") == 1, F.col(b)).otherwise(F.col(a))
+    rows = rows.select(
+        "k.kind", "k.key", of("a", "b").alias("doc"), of("size_a", "size").alias("size"),
+        "k.c", "k.l", "k.r",
+    )
+    return rows.groupBy("kind", "key", "doc", "size", "c").agg(
+        F.max("l").alias("l"), F.max("r").alias("r")
+    )
+
+
+def _packed_again(again: DataFrame, least: int, parts: int) -> DataFrame:
+    """Places (key, doc, size, c, l, r) as windows that only their key restricts."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            w = {n: batch[n].to_numpy().astype(np.int64) for n in ("key", "doc", "size", "c")}
+            w = {n: batch[n].to_numpy().astype(np.int64) for n in ("key", "doc", "size", "c", "l", "r")}
             w["key"] = w["key"].view(np.uint64)
             zero = np.zeros(len(batch), np.int64)
-            w |= {"l": zero, "r": zero + 2**40, "before": zero, "after": zero - 1}
-            w["l"] = zero - 2**40
-            yield _packs({n: w[n] for n in WINDOW}, least, parts)
+            w |= {"l": w["c"] - w["l"], "r": w["c"] + w["r"], "before": zero, "after": zero - 1}
+            yield _packs({n: w[n] for n in WINDOW}, least, parts, False)
 
-    return failed.mapInPandas(found, PACK_SCHEMA)
+    return again.mapInPandas(found, PACK_SCHEMA)
 
 
 def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) -> DataFrame:
@@ -427,22 +529,30 @@ def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) ->
     have it, not to all of them.
 
     Windows with the same signature and words on a side are compared with the shortest text among
-    them. Those that share no passage with it meet again by more words.
+    them. Those that share no passage with it meet again by more words. What may be shared beyond
+    the first text's run meets by words on both sides, until the words are a whole passage: no
+    passage of equal words depends on which text came first.
     """
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / PART_BYTES))
     # Copies collapse before any text is shuffled: each task keeps one of each.
     small = rows.select("doc", compressed_text(F.col("text")).alias("text"))
     texts = small.groupBy("doc").agg(F.first("text").alias("text"))
-    packs, found = _signatures(rows.select("doc", "text", "size"), count, least, parts), None
-    for context in (*CONTEXTS[1:], 0):
-        checked = checkpointed(_verified(_links(packs, least), texts, least, context))
+    found = []
+
+    def compared(packs: DataFrame, roomy: bool, context: int, step: int) -> DataFrame:
+        links = _links(packs, least, roomy)
+        checked = checkpointed(_verified(links, texts, least, context, step))
         spans = checked.select("a", "b", F.explode("spans").alias("s")).select("a", "b", "s.*")
-        found = spans if found is None else found.union(spans)
-        again = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("at").alias("c")))
-        failed = checked.select(F.col("b").alias("doc"), "size", again.alias("f"))
-        packs = _packed_again(failed.select("f.key", "doc", "size", "f.c").distinct(), least, parts)
-    return found
+        found.append(spans)
+        return _again(checked)
+
+    packs = _signatures(rows.select("doc", "text", "size"), count, least, parts)
+    again = checkpointed(compared(packs, True, CONTEXTS[1], STEPS[0]))
+    compared(_packed_again(again.where("kind = 0"), least, parts), False, 0, 0)
+    again = compared(_packed_again(again.where("kind = 1"), least, parts), False, 0, STEPS[1])
+    compared(_packed_again(again, least, parts), False, 0, 0)
+    return reduce(DataFrame.union, found)
 
 
 def repeated_passages(

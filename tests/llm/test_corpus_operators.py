@@ -423,3 +423,20 @@ def test_substrings_of_odd_rows(odd, none):
     rows = substrings.repeated_passages(odd).collect()
     assert all(r["end_word"] - r["start_word"] >= 50 for r in rows)
     assert substrings.repeated_passages(none).count() == 0
+
+
+def test_first_texts_hide_no_passage_of_lines(documents):
+    """Pairs of texts share three lines; all shorter texts have only two of them."""
+    texts = []
+    for t in range(16):
+        one, two, three = (prose(20, 8000 + 50 * t + i) for i in range(3))
+        for i in range(2):
+            own = prose(300, 8010 + 50 * t + i)
+            texts.append(" ".join(own[:150] + one + two + three + own[150:]))
+        for i in range(10):
+            own = prose(160, 8020 + 50 * t + i)
+            texts.append(" ".join(own[:80] + (one + two if i % 2 else two + three) + own[80:]))
+    rows = substrings.repeated_passages(documents(texts)).collect()
+    pairs = [i for i in range(len(texts)) if i % 12 < 2]
+    assert [i for i in pairs if not covered(rows, i, 150, 210)] == []
+    assert {r["doc_id"] for r in rows} == set(pairs)
