@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,11 @@ CONTEXTS = (8, 16)
 #: Numbers of words before a shingle that one key stands for, when windows meet by words on both
 #: sides: by all but STEPS[0] - 1 words of the shortest passage first, then by all of them.
 STEPS = (6, 1)
-#: Words that an edit inside a passage may insert, drop or replace at a time.
+#: A passage takes in the words beyond an edit that inserts, drops or replaces more words than this
+#: at a time only for more shared shingles than the edit costs.
 GAP = 4
+#: Below the least similarity by counts of aligned words that the shingles' own may still exceed.
+SLACK = 0.1
 #: Text bytes whose windows one task groups, on average.
 PART_BYTES = 16 << 20
 _SALT = 0xC2B2AE3D27D4EB4F
@@ -307,24 +311,13 @@ class Words:
         self.values = _word_values(own)
         self.shingles = _joined(self.values).tolist()
 
-
-class Growing:
-    """Jaccard similarity of the shingles of two stretches whose ends only move out."""
-
-    def __init__(self, a: list[int], b: list[int]) -> None:
-        self.own, self.seen = (a, b), (set(), set())
-        self.ends: list[tuple[int, int] | None] = [None, None]
-        self.both = 0
-
-    def similarity(self, i: int, k: int, j: int, m: int) -> float:
-        """Of the words a[i:k] and b[j:m]; what an earlier call counted is not counted again."""
-        for side, low, high in ((0, i, k - WIDTH + 1), (1, j, m - WIDTH + 1)):
-            had, values = self.ends[side] or (high, high), self.own[side]
-            new = {*values[low : had[0]], *values[had[1] : high]} - self.seen[side]
-            self.both += len(new & self.seen[1 - side])
-            self.seen[side].update(new)
-            self.ends[side] = low, high
-        return self.both / max(1, len(self.seen[0]) + len(self.seen[1]) - self.both)
+    @cached_property
+    def places(self) -> dict[int, list[int]]:
+        """Places of each shingle, in order."""
+        out: dict[int, list[int]] = {}
+        for i, value in enumerate(self.shingles):
+            out.setdefault(value, []).append(i)
+        return out
 
 
 class Pair:
@@ -333,50 +326,74 @@ class Pair:
     def __init__(self, a: Words, b: Words) -> None:
         self.a, self.b = a.values, b.values
         self.sa, self.sb = a.shingles, b.shingles
-
-    def ends(self, i: int, j: int, step: int) -> list[tuple[int, int]]:
-        """Where a passage from (i, j) can end: after the first run of equal words, and after each
-        further run of a shingle or more that follows an edit of at most GAP words in either."""
-        out = []
-        while True:
-            n = _run(self.a, self.b, i, j, step) * step
-            i, j = i + n, j + n
-            out.append((i, j))
+        self.first = a
+        #: A passage with a larger edit has too few shared shingles for its similarity.
+        self.budget = math.ceil(min(len(self.a), len(self.b)) * (1 - SIMILARITY) / SIMILARITY)
+
+    def beyond(self, i: int, j: int, step: int) -> tuple[int, int] | None:
+        """Words between (i, j) and the nearest shared shingle in that direction, if the edit is
+        within the budget."""
+        best, least = None, self.budget + 1
+        for q in range(self.budget + 1):
+            at = j + q if step > 0 else j - WIDTH - q
+            if q >= least or not 0 <= at < len(self.sb):
+                return best
+            places = self.first.places.get(self.sb[at])
+            if places is None:
+                continue
             if step > 0:
-                x, y = self.sa[i : i + GAP + 1], self.sb[j : j + GAP + 1]
+                k = bisect_left(places, i)
+                p = places[k] - i if k < len(places) else least
             else:
-                low = max(0, i - WIDTH - GAP), max(0, j - WIDTH - GAP)
-                x = self.sa[low[0] : max(0, i - WIDTH + 1)][::-1]
-                y = self.sb[low[1] : max(0, j - WIDTH + 1)][::-1]
-            if set(x).isdisjoint(y):
-                return out
-            same = ((p, q) for p, u in enumerate(x) for q, v in enumerate(y) if u == v)
-            p, q = min(same, key=sum)
-            i, j = i + step * p, j + step * q
+                k = bisect_right(places, i - WIDTH)
+                p = i - WIDTH - places[k - 1] if k else least
+            if p + q < least:
+                best, least = (p, q), p + q
+        return best
+
+    def ends(self, i: int, j: int, step: int) -> np.ndarray:
+        """Rows (i, j, shared, lost, paid): where a passage from (i, j) can end, after the first run
+        of equal words, and after each further run of a shingle or more that follows an edit; words
+        of the first run and shingles of the others; shingles that the edits cost, and of those what
+        the edits of more than GAP words do."""
+        n = _run(self.a, self.b, i, j, step)
+        out = [(i + step * n, j + step * n, n, 0, 0)]
+        while True:
+            i, j, shared, lost, paid = out[-1]
+            edit = self.beyond(i, j, step)
+            if edit is None:
+                return np.array(out, np.int64)
+            i, j = i + step * edit[0], j + step * edit[1]
+            n = _run(self.a, self.b, i, j, step)
+            cost = sum(edit) + 2 * (WIDTH - 1)
+            paid += cost if max(edit) > GAP else 0
+            out.append((i + step * n, j + step * n, shared + n - WIDTH + 1, lost + cost, paid))
+
+    def similarity(self, i: int, k: int, j: int, m: int) -> float:
+        """Jaccard similarity of the shingles of the words a[i:k] and b[j:m]."""
+        a, b = set(self.sa[i : k - WIDTH + 1]), set(self.sb[j : m - WIDTH + 1])
+        both = len(a & b)
+        return both / max(1, len(a) + len(b) - both)
 
     def passage(self, ac: int, bc: int, least: int = LEAST, limit: float = SIMILARITY):
         """The passage (a_start, a_end, b_start, b_end) around a shingle at ac and bc, or None.
 
-        It takes the run of equal words there and, in turn on either side, the runs beyond the next
-        edit, as long as the similarity of all of it stays within the limit.
+        It takes the run of equal words there and, on either side, the runs beyond as many edits as
+        give it the most shared shingles, less what the large edits cost, with the similarity of all
+        of it within the limit.
         """
         after, before = self.ends(ac, bc, 1), self.ends(ac, bc, -1)
-        lo, hi, best = 0, 0, None
-        if min(after[-1][0] - before[-1][0], after[-1][1] - before[-1][1]) < least:
+        size = np.minimum(*(after[None, :, x] - before[:, None, x] for x in (0, 1)))
+        if size[-1, -1] < least:
             return None
-        grown = Growing(self.sa, self.sb)
-        while True:
-            (i, j), (k, m) = before[lo], after[hi]
-            if min(k - i, m - j) >= least and (lo + hi == 0 or grown.similarity(i, k, j, m) >= limit):
-                best = (i, k, j, m)
-            elif best is not None:
-                return best  # the last edit was one too many
-            if lo + 1 < len(before) and (hi + 1 >= len(after) or lo <= hi):
-                lo += 1
-            elif hi + 1 < len(after):
-                hi += 1
-            else:
-                return best
+        shared, lost, paid = (before[:, None, x] + after[None, :, x] for x in (2, 3, 4))
+        shared = shared - WIDTH + 1
+        lo, hi = np.nonzero((size >= least) & (shared >= (limit - SLACK) * (shared + lost)))
+        for at in np.argsort(-(shared - paid)[lo, hi], kind="stable").tolist():
+            (i, j), (k, m) = before[lo[at], :2].tolist(), after[hi[at], :2].tolist()
+            if lo[at] + hi[at] == 0 or self.similarity(i, k, j, m) >= limit:
+                return i, k, j, m
+        return None
 
 
 def verify(a: Words, own: list[bytes], places, least: int):

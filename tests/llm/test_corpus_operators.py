@@ -440,3 +440,23 @@ def test_first_texts_hide_no_passage_of_lines(documents):
     pairs = [i for i in range(len(texts)) if i % 12 < 2]
     assert [i for i in pairs if not covered(rows, i, 150, 210)] == []
     assert {r["doc_id"] for r in rows} == set(pairs)
+
+
+@pytest.mark.parametrize(
+    "size, edits",
+    [(90, {45: 6}), (80, {40: 5}), (90, {44: 0, 48: 0}), (200, {100: 16}), (200, {5: 16}), (240, {50: 8, 190: 8})],
+)
+def test_passages_survive_edits_within_the_similarity(size, edits):
+    """A text and a copy with words inserted at some places, or a word replaced (0)."""
+    line = [w.encode() for w in prose(size, 8300)]
+    copy = []
+    for i, word in enumerate(line):
+        n = edits.get(i)
+        copy += [word] if n is None else [b"zz%d" % i] if n == 0 else [b"yy%d" % x for x in range(i, i + n)] + [word]
+    shingles = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (line, copy)]
+    assert len(shingles[0] & shingles[1]) >= 0.8 * len(shingles[0] | shingles[1])
+    first, second = ([w.encode() for w in prose(60, 8301 + i)] for i in range(2))
+    a, b = first + line + first, second + copy + second
+    place = next((60 + i, 60 + j) for i in range(size) for j in range(size) if line[i : i + 5] == copy[j : j + 5])
+    spans, failed = substrings.verify(substrings.Words(a), b, {place}, 50)[:2]
+    assert spans == [(60, 60 + size, 60, 60 + len(copy))] and not failed
