@@ -54,7 +54,9 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, at: int) -> tuple[
     """Ends (in ``doc``) of the aligned overlap around position ``at``, or None.
 
     ``diagonal``: position in ``doc`` less that in ``item``. The overlap grows to either side while
-    a score of 1 for an equal word and -2 for another one has not dropped by more than 6.
+    a score of 1 for an equal word and -2 for another one has not dropped by more than 6. If what it
+    grows to is too short or not equal enough, it is the longest part that is neither, from an equal
+    word to an equal word, with some of the SPAN words from ``at`` on.
     """
     low, high = max(0, diagonal), min(len(doc), diagonal + len(item))
     same = doc[low:high] == item[low - diagonal : high - diagonal]
@@ -71,12 +73,35 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, at: int) -> tuple[
         return int(gain.argmax()) + 1 if len(gain) and gain.max() > 0 else 0
 
     start, end = at - reach(same[:at][::-1]), at + reach(same[at:])
-    length = end - start
-    if length < min(MIN_WORDS, len(item)) or same[start:end].mean() < SIMILARITY:
-        return None
+    least = min(MIN_WORDS, len(item))
+    if end - start < least or same[start:end].mean() < SIMILARITY:
+        part = longest_part(same, at, least)
+        if part is None:
+            return None
+        start, end = part
     return low + start, low + end
 
 
+def longest_part(same: np.ndarray, at: int, least: int) -> tuple[int, int] | None:
+    """Ends of the longest part (the first one) of at least ``least`` words, SIMILARITY of them
+    equal, the ends among them, with some of the SPAN words from ``at`` on; or None."""
+    score = np.concatenate([[0.0], np.cumsum(same - SIMILARITY)])
+    equal = np.flatnonzero(same)
+    starts, ends = equal[equal < at + SPAN], equal[equal >= at] + 1
+    # The lowest score at or before a start; a part of at least 0 ends at its first start that low.
+    lowest = np.minimum.accumulate(score[starts])
+    first = np.searchsorted(-lowest, -(score[ends] + 1e-9))
+    found = [
+        (int(e - starts[f]), -int(starts[f]))
+        for e, f in zip(ends, first)
+        if f < len(starts) and e - starts[f] >= least
+    ]
+    if not found:
+        return None
+    length, start = max(found)
+    return -start, length - start
+
+
 def _seed_table(items: DataFrame) -> DataFrame:
     @F.pandas_udf("array<struct<seed:long,length:int,position:int>>")
     def of(texts: pd.Series) -> pd.Series:

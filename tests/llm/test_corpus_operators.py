@@ -247,6 +247,30 @@ def test_overlaps_equal_brute_force_on_the_sample(spark, sample):
     assert n and sum(rows.values()) <= n + 3
 
 
+def test_overlaps_equal_brute_force_of_the_rule():
+    """A part of 12 words, 0.8 of them equal, is found however unequal the words beside it are."""
+    r = np.random.default_rng(5)
+    blocks = [1] * 12 + ([0] * 3 + [1] * 7) * 3
+    cases = [np.array(blocks, bool), *(r.random(int(r.integers(8, 90))) > r.uniform(0.1, 0.4) for _ in range(400))]
+    for same in cases:
+        item = np.arange(len(same)).astype(np.uint64)
+        doc = np.where(same, item, item + np.uint64(1000))
+        score = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])
+        for at in np.flatnonzero(same)[::5].tolist():
+            lengths = [
+                e - s
+                for s in range(min(len(same), at + decontamination.SPAN))
+                for e in range(max(at + 1, s + min(12, len(same))), len(same) + 1)
+                if same[s] and same[e - 1] and score[e] >= score[s]
+            ]
+            got = decontamination.overlap(doc, item, 0, at)
+            assert (got is not None) == bool(lengths)
+            if got is not None:
+                assert score[got[1]] >= score[got[0]] and got[1] - got[0] in lengths
+            part = decontamination.longest_part(same, at, min(12, len(same)))
+            assert (part[1] - part[0] if part else None) == max(lengths, default=None)
+
+
 def test_an_overfull_bit_map_changes_nothing(spark, documents):
     words = prose(30, 1)
     benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
