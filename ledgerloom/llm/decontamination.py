@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import checkpointed, hashes, mixed, text_of
 
-#: Positions that a mask reads; the others may hold any word.
-MASKS = ((0, 1, 3, 6, 7, 9), (0, 2, 3, 5, 8, 9), (0, 1, 2, 3, 4, 5))
+#: Positions that a mask reads; the others may hold any word. Of 12 to 20 words, some
+#: mask reads equal ones only, whichever fifth of them is replaced.
+MASKS = (
+    (0, 1, 3, 6, 7, 9), (0, 2, 3, 5, 8, 9), (0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 4, 8),
+    (0, 1, 4, 5, 8, 9),
+)
 SPAN = 10
 #: An overlap counts from so many aligned words (all of a shorter item), so many of them equal.
 MIN_WORDS, SIMILARITY = 12, 0.8

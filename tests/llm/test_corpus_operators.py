@@ -271,6 +271,15 @@ def test_overlaps_equal_brute_force_of_the_rule():
             assert (part[1] - part[0] if part else None) == max(lengths, default=None)
 
 
+@pytest.mark.parametrize("size", range(12, 21))
+def test_masks_hit_every_placement_of_replaced_words(size):
+    places = [
+        {start + i for i in mask} for mask in decontamination.MASKS for start in range(size - max(mask))
+    ]
+    for replaced in itertools.combinations(range(size), size // 5):
+        assert any(p.isdisjoint(replaced) for p in places), replaced
+
+
 def test_an_overfull_bit_map_changes_nothing(spark, documents):
     words = prose(30, 1)
     benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
