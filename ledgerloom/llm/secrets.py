@@ -18,12 +18,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words that make what follows within REACH characters sensitive, and the strings looked at there.
+#: Words that make strings sensitive that start within REACH characters behind them, and the strings
+#: looked at there, of LEAST characters or more; they are measured PIECE characters at a time.
 SENSITIVE = re.compile(
     r"(?ai:passw(?:or)?d|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|"
     r"credential|authorization|bearer|client[_-]?id|auth)"
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,512}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+")
+LEAST, PIECE = 16, 512
 REACH, AROUND = 80, 256
 
 #: Identifiers and phrases of ordinary code, the dictionary that candidates are measured against.
@@ -81,24 +83,55 @@ class Novelty:
         return (self.size(around + candidate) - self.size(around)) / len(candidate)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty):
-    """Strings in a sensitive context that compression can't shorten and no pattern has found."""
-    taken = sorted((s, e) for s, _, e in base)
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Strings that start in a sensitive context, in whole, with all parts that '.' joins."""
     found, end = [], 0
     for word in SENSITIVE.finditer(text):
-        stop = word.end() + REACH
-        for m in CANDIDATE.finditer(text, max(end, word.end()), stop + 512):
-            if m.start() > stop:
+        for m in CANDIDATE.finditer(text, max(end, word.end())):
+            if m.start() > word.end() + REACH:
                 break
             end = m.end()
-            if any(s < m.end() and m.start() < e for s, e in taken):
-                continue
-            if not re.search("[0-9]", m[0]) or not re.search("[A-Za-z]", m[0]):
+            if m.end() - m.start() >= LEAST:
+                found.append(m.span())
+    return found
+
+
+def pieces(start: int, end: int, text: str) -> list[tuple[int, int]]:
+    """The stretches of a candidate that are measured: all of it and its long enough parts, or, of
+    each that is over PIECE characters, equal pieces."""
+    spans = {(start, end)}
+    spans |= {
+        (start + m.start(), start + m.end())
+        for m in re.finditer(r"[^.]+", text[start:end])
+        if m.end() - m.start() >= LEAST
+    }
+    out = []
+    for low, high in sorted(spans):
+        n = -(-(high - low) // PIECE)
+        cuts = [low + (high - low) * i // n for i in range(n + 1)]
+        out += zip(cuts, cuts[1:])
+    return out
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty):
+    """Strings in a sensitive context that compression can't shorten and no pattern has found."""
+    taken = [(s, e) for s, _, e in base]
+    found = []
+    for start, end in candidates(text):
+        rest = list(text[start:end])
+        for s, e in taken:
+            if s < end and start < e:
+                rest[max(s, start) - start : e - start] = "." * (min(e, end) - max(s, start))
+        if not re.search("[A-Za-z0-9]", "".join(rest)):
+            continue
+        for low, high in pieces(start, end, text):
+            piece = text[low:high]
+            if not re.search("[0-9]", piece) or not re.search("[A-Za-z]", piece):
                 continue
-            around = text[max(0, m.start() - AROUND) : m.start()]
-            around += text[m.end() : m.end() + AROUND]
-            if novelty.rate(around, m[0]) >= NOVELTY:
-                found.append((m.start(), 3, m.end()))
+            around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
+            if novelty.rate(around, piece) >= NOVELTY:
+                found.append((start, 3, end))
+                break
     return found
 
 

@@ -108,6 +108,26 @@ def test_novel_strings_in_a_sensitive_context_are_reported():
     assert secrets.redacted(text, secrets.scan(text, novelty)) == "authorization header Bearer [SECRET] end"
 
 
+def random_key(n, seed, letters=string.ascii_letters + string.digits):
+    r = random.Random(seed)
+    return "".join(r.choice(letters) for _ in range(n))
+
+
+@pytest.mark.parametrize(
+    "secret",
+    [
+        random_key(900, 1), random_key(5000, 2), ".".join(random_key(n, 3) for n in (36, 200, 43)),
+        "settings." * 60 + random_key(40, 4), random_key(30, 5) + "deadbeef01234567" + random_key(30, 6),
+    ],
+)
+def test_long_and_joined_secrets_are_reported_in_whole(secret):
+    novelty = secrets.Novelty()
+    text = f"authorization: bearer {secret} end"
+    found = secrets.scan(text, novelty)
+    assert (22, 3, 22 + len(secret)) in found
+    assert secrets.redacted(text, found) == "authorization: bearer [SECRET] end"
+
+
 def test_iban_and_context_words(documents):
     texts = [
         "account DE89 3704 0044 0532 0130 00 here", "DE89 3704 0044 0532 0130 01", "ssn 123-45-6789", "see 123-45-6789",
