@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 
 import pandas as pd
 import zstandard
@@ -27,6 +28,8 @@ SENSITIVE = re.compile(
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+")
 LEAST, PIECE = 16, 512
 REACH, AROUND = 80, 256
+#: Characters running that make two sensitive strings copies of each other in part.
+SHARED = 8
 
 #: Identifiers and phrases of ordinary code, the dictionary that candidates are measured against.
 IDENTIFIERS = (
@@ -113,11 +116,43 @@ def pieces(start: int, end: int, text: str) -> list[tuple[int, int]]:
     return out
 
 
+def islands(spans) -> list[tuple[int, int]]:
+    """The runs of overlapping spans, by start."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
+def shared_grams(text: str) -> set[str]:
+    return {text[i : i + SHARED] for i in range(len(text) - SHARED + 1)}
+
+
+def without_copies(text: str, low: int, high: int, own: set[str], sensitive) -> str:
+    """``text[low:high]`` without those of the ``sensitive`` islands that share ``own`` grams."""
+    out, at = [], low
+    for i in range(bisect_right(sensitive, low, key=lambda s: s[1]), len(sensitive)):
+        start, end = max(sensitive[i][0], low), min(sensitive[i][1], high)
+        if start >= high:
+            break
+        if not own.isdisjoint(shared_grams(text[start:end])):
+            out.append(text[at:start])
+            at = end
+    return "".join([*out, text[at:high]])
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty):
-    """Strings in a sensitive context that compression can't shorten and no pattern has found."""
+    """Strings in a sensitive context that compression can't shorten and no pattern has found.
+
+    A copy nearby makes a string known only where it is no candidate or pattern itself.
+    """
     taken = [(s, e) for s, _, e in base]
-    found = []
-    for start, end in candidates(text):
+    found, looked_at = [], candidates(text)
+    sensitive = islands(taken + looked_at)
+    for start, end in looked_at:
         rest = list(text[start:end])
         for s, e in taken:
             if s < end and start < e:
@@ -128,7 +163,9 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty):
             piece = text[low:high]
             if not re.search("[0-9]", piece) or not re.search("[A-Za-z]", piece):
                 continue
-            around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
+            own = shared_grams(piece)
+            around = without_copies(text, max(0, start - AROUND), start, own, sensitive)
+            around += without_copies(text, end, end + AROUND, own, sensitive)
             if novelty.rate(around, piece) >= NOVELTY:
                 found.append((start, 3, end))
                 break

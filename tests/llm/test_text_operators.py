@@ -128,6 +128,16 @@ def test_long_and_joined_secrets_are_reported_in_whole(secret):
     assert secrets.redacted(text, found) == "authorization: bearer [SECRET] end"
 
 
+@pytest.mark.parametrize("n", [16, 24, 40, 300, 700])
+def test_secrets_stated_twice_are_reported_each_time(n):
+    key, novelty = "Q7" + random_key(n - 2, 11), secrets.Novelty()
+    for text in (f"bearer {key}\n" * 2, f"auth {key} and\ncredential={key};\n", f"passwd={key}\nbearer {key}\n"):
+        found = secrets.scan(text, novelty)
+        assert len(found) == 2 and key not in secrets.redacted(text, found)
+    words = "bearer client_id_configuration_parameter1 then\n"
+    assert secrets.scan(words * 2, novelty) == []
+
+
 def test_iban_and_context_words(documents):
     texts = [
         "account DE89 3704 0044 0532 0130 00 here", "DE89 3704 0044 0532 0130 01", "ssn 123-45-6789", "see 123-45-6789",
