@@ -138,6 +138,21 @@ def test_secrets_stated_twice_are_reported_each_time(n):
     assert secrets.scan(words * 2, novelty) == []
 
 
+@pytest.mark.parametrize("letters", [string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase])
+def test_secrets_of_letters_alone_are_reported(letters):
+    novelty, lost = secrets.Novelty(), 0
+    for i in range(100):
+        key = random_key(20, 50 + i, letters)
+        lost += (7, 3, 27) not in secrets.scan(f"bearer {key} end", novelty)
+    assert lost <= 2
+    prose = (
+        "the client sends it in a header of the request with every call that it makes to the server as {} "
+        "and after that the answer comes back with a status and a body that hold what was asked for or why not"
+    )
+    names = ["_refresh_interval_seconds", "invalid_request_error_message_text"]
+    assert [n for n in names if secrets.scan(prose.format(f"token {n}"), novelty)] == []
+
+
 def test_iban_and_context_words(documents):
     texts = [
         "account DE89 3704 0044 0532 0130 00 here", "DE89 3704 0044 0532 0130 01", "ssn 123-45-6789", "see 123-45-6789",
