@@ -205,6 +205,21 @@ def test_no_repeated_passage_of_the_sample_is_lost(sample):
     assert len(set(spans) - shared) <= 0.05 * len(texts)  # near copies have no run that long
 
 
+def test_windows_without_room_leave_a_batch_only_as_firsts():
+    """Half of the windows of one key extend to one side of the shingle, half to the other."""
+    n = 400
+    doc, left = np.arange(n), np.arange(n) % 2
+    windows = {
+        "key": np.ones(n, np.uint64), "doc": doc, "size": 1000 + doc, "c": np.full(n, 60),
+        "l": 60 - 50 * left, "r": 60 + 50 * (1 - left), "before": np.full(n, 7), "after": np.full(n, -1),
+    }
+    rows = substrings._packs(windows, 50, 1, True)
+    left_over = substrings._unpacked(rows["packs"][rows["kind"] == 0].tolist(), substrings.WINDOW)
+    links = substrings._unpacked(rows["packs"][rows["kind"] == 1].tolist(), substrings.LINK)
+    assert len(left_over["key"]) == 2
+    assert set(links["b"].tolist()) | set(left_over["doc"].tolist()) == set(range(n))
+
+
 # Decontamination
 
 
