@@ -37,12 +37,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shared_table(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again."""
+def shared_table(df: DataFrame, with_path: bool = False):
+    """``df`` written as Parquet to the shared folder and read again; on wish with its path, for
+    ``dropped_table``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    return (read, path) if with_path else read
+
+
+def dropped_table(spark: SparkSession, path: str) -> None:
+    """Removes a table that ``shared_table`` wrote and that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

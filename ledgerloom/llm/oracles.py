@@ -74,5 +74,112 @@ from placed
 """
 
 
+FILTER_AUDIT = r"""
+with docs as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+           min(doc_id) over (partition by coalesce(text, '')) as least
+    from documents
+),
+failing as (
+    select doc_id, part, len(w) < 200 as a, 100 * len(list_distinct(w)) < 50 * len(w) as b,
+           100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) as c,
+           regexp_matches(t, '[#$%&*|]') as d, coalesce(doc_id > least, false) as e
+    from docs
+),
+marked as (
+    select doc_id, max(coalesce(quality = 1, false)) as good, max(coalesce(toxic = 1, false)) as toxic
+    from labels group by doc_id
+),
+masks as (
+    select part, concat(case when a then 'A' else '' end, case when b then 'B' else '' end,
+                        case when c then 'C' else '' end, case when d then 'D' else '' end,
+                        case when e then 'E' else '' end) as fails,
+           count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+    from failing left join marked using (doc_id)
+    group by 1, 2
+),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+    select concat(p.x, q.x, r.x, s.x, t.x) as filter_order
+    from letters p, letters q, letters r, letters s, letters t
+    where len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+),
+steps as (
+    select filter_order, unnest([1, 2, 3, 4, 5]) as step from orders
+),
+counted as (
+    select part, filter_order, step, filter_order[step] as letter, m.n, m.good, m.toxic, m.fails,
+           contains(m.fails, filter_order[step]) as failed,
+           not regexp_matches(m.fails, '[' || filter_order[1:step - 1] || '.]') as reached
+    from masks m, steps
+),
+summed as (
+    select part, filter_order, step, letter,
+           cast(sum(case when reached and not failed then n else 0 end) as bigint) as kept,
+           cast(sum(case when reached and failed then n else 0 end) as bigint) as removed,
+           cast(sum(case when failed and not reached then n else 0 end) as bigint) as redundant,
+           cast(sum(case when fails = letter then n else 0 end) as bigint) as unique_fails,
+           cast(sum(case when reached and failed then good else 0 end) as bigint) as good_lost,
+           cast(sum(case when reached and failed then toxic else 0 end) as bigint) as toxic_lost
+    from counted group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from summed
+"""
+
+
+def _clustering(k: int = 40, rounds: int = 5) -> str:
+    """Assignments and updates of every round, one after the other."""
+    text = f"""
+with vectors as materialized (
+    select row_number() over () as rid, vec_id,
+           list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as v
+    from embeddings
+    where len(embedding) = 64
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+c0 as materialized (
+    select cast(row_number() over (order by sha256('2:' || coalesce(cast(vec_id as varchar), '')), v)
+                as int) - 1 as cluster, v as c
+    from vectors
+    qualify cluster < {k}
+)"""
+    for t in range(rounds + 1):
+        text += f""",
+a{t} as materialized (
+    select rid, vec_id, v, cluster,
+           list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as distance
+    from vectors, c{t}
+    qualify row_number() over (partition by rid order by distance, cluster) = 1
+)"""
+        if t < rounds:
+            text += f""",
+m{t} as materialized (
+    select cluster, list(x order by i) as c
+    from (select cluster, i, cast((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*)
+                                  as bigint) as x
+          from (select cluster, unnest(v) as x, generate_subscripts(v, 1) as i from a{t})
+          group by cluster, i)
+    group by cluster
+),
+c{t + 1} as materialized (
+    select cluster, coalesce(m{t}.c, c{t}.c) as c from c{t} left join m{t} using (cluster)
+)"""
+    return text + f"""
+select vec_id, cluster, cast(distance as bigint) as distance,
+       cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+       cast(sum(distance) over () as bigint) as inertia,
+       sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (cluster)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_source_mixing": MIXING, "op9_top_k": TOP_K}
+    return {
+        "op7_source_mixing": MIXING,
+        "op9_top_k": TOP_K,
+        "op12_centroid_clustering": _clustering(),
+        "op13_filter_audit": FILTER_AUDIT,
+    }

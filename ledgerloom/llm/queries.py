@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm import pii
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontamination import decontaminate
+from ledgerloom.llm.filter_audit import filter_audit
 from ledgerloom.llm.interpolation import score_texts
+from ledgerloom.llm.kmeans import clusters
 from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.secrets import find_secrets
 from ledgerloom.llm.simhash import near_duplicates
@@ -61,9 +63,18 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters(table(spark, sf, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_secret_scan, op2_token_counts, op3_substring_dedup, op4_toxicity, op5_pii,
         op6_decontamination, op7_source_mixing, op8_lm_scoring, op9_top_k, op10_simhash,
+        op12_centroid_clustering, op13_filter_audit,
     )
     return {query.__name__: query for query in own}

@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import re
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm.filter_audit import FILTERS, filter_audit, lehmer_rank, removal_intervals
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def plain_fails(rows):
+    """Failing filters of each row (doc_id, text, lang)."""
+    out = []
+    for doc_id, text, _ in rows:
+        t = text or ""
+        words = re.findall("[^\x20\x09-\x0d]+", t)
+        fails = set()
+        if len(words) < 200:
+            fails.add("A")
+        if 100 * len(set(words)) < 50 * len(words):
+            fails.add("B")
+        if 100 * len(re.findall("[A-Z]", t)) > 3 * len(t):
+            fails.add("C")
+        if set(t) & set("#$%&*|"):
+            fails.add("D")
+        if doc_id is not None and any(
+            i is not None and i < doc_id and (u or "") == t for i, u, _ in rows
+        ):
+            fails.add("E")
+        out.append(fails)
+    return out
+
+
+def plain_audit(rows, labels):
+    good = {i for i, q, _ in labels if i is not None and q == 1}
+    toxic = {i for i, _, t in labels if i is not None and t == 1}
+    failing = plain_fails(rows)
+    found, shapley = {}, {}
+    for part in {r[2] or "" for r in rows}:
+        docs = [(r[0], f) for r, f in zip(rows, failing) if (r[2] or "") == part]
+        for order in map("".join, permutations(FILTERS)):
+            left = docs
+            for step, letter in enumerate(order, 1):
+                out = [d for d in left if letter in d[1]]
+                gone = [d for d in docs if d not in left]
+                gone = sum(letter in d[1] for d in docs) - len(out)
+                left = [d for d in left if letter not in d[1]]
+                shapley[part, letter] = shapley.get((part, letter), 0) + len(out)
+                found[part, order, step] = (
+                    len(left), len(out), gone, sum(d[1] == {letter} for d in docs),
+                    sum(d[0] in good for d in out), sum(d[0] in toxic for d in out),
+                )
+    return {(*k, *v, shapley[k[0], k[1][k[2] - 1]]) for k, v in found.items()}
+
+
+def test_ranks_are_lexicographic():
+    orders = ["".join(p) for p in permutations(FILTERS)]
+    assert [lehmer_rank(o) for o in sorted(orders)] == list(range(120))
+
+
+@pytest.mark.parametrize("mask", [0, 1, 6, 16, 21, 31])
+def test_intervals_cover_each_removing_order_once(mask):
+    fails = {c for i, c in enumerate(FILTERS) if mask >> i & 1}
+    by_rank = {}
+    for step, low, high in removal_intervals(mask):
+        for rank in range(low, high):
+            assert rank not in by_rank
+            by_rank[rank] = step
+    for order in permutations(FILTERS):
+        first = next((s for s, c in enumerate(order, 1) if c in fails), None)
+        assert by_rank.get(lehmer_rank("".join(order))) == first
+
+
+def test_audit_equals_brute_force(spark, odd):
+    long = " ".join(f"w{i}" for i in range(300))
+    rows = [(r["doc_id"], r["text"], None if i % 5 == 0 else "ab"[i % 2]) for i, r in enumerate(odd.collect())]
+    rows += [
+        (100, long, "a"), (101, long, "b"), (102, long + " #", "a"), (103, long.upper(), "a"),
+        (104, long.upper() + "|", "a"), (105, "x " * 500, "a"), (None, long, "a"), (100, long, "a"),
+        (106, "Ä" * 90 + "ABC", ""), (107, "Ä" * 90 + "ABCD", "c"), (99, None, "c"), (108, "", "c"),
+    ]
+    labels = [(100, 1, 0), (101, 0, 1), (102, 1, 1), (102, 0, 0), (None, 1, 1), (0, None, 1), (555, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(
+        ["part", "mask", "own", "same", "least", "rank", "step", "n", "good", "id", "total"]
+    )))
+    marked = spark.createDataFrame(labels, LABELS).withColumn("text", F.lit("other")).withColumn("id", F.lit(3))
+    out = filter_audit(docs, marked)
+    assert {tuple(r) for r in out.collect()} == plain_audit(rows, labels)
+    assert out.count() == 600 * len({r[2] or "" for r in rows})
+
+
+def test_audit_of_no_rows_and_no_labels(spark, none, odd):
+    labels = spark.createDataFrame([], LABELS)
+    assert filter_audit(none, labels).count() == 0
+    lost = filter_audit(odd, labels).agg(F.sum("good_lost"), F.sum("toxic_lost")).first()
+    assert tuple(lost) == (0, 0)
+
+
+def test_a_text_that_a_third_of_the_rows_share(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"),
+        F.when(F.col("id") % 3 == 0, "same text").otherwise(F.concat(F.lit("t"), "id")).alias("text"),
+    )
+    out = filter_audit(docs, spark.createDataFrame([], LABELS))
+    row = out.where("filter_order = 'EABCD' and step = 1").first()
+    assert (row["removed"], row["kept"], row["unique_fails"]) == (999, 2001, 0)
