@@ -14,6 +14,7 @@ from ledgerloom.llm.interpolation import score_texts
 from ledgerloom.llm.kmeans import clusters
 from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.secrets import find_secrets
+from ledgerloom.llm.shingle_join import similar_documents
 from ledgerloom.llm.simhash import near_duplicates
 from ledgerloom.llm.substrings import repeated_passages
 from ledgerloom.llm.tokens import count_tokens
@@ -63,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_documents(table(spark, sf, "documents"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
     return clusters(table(spark, sf, "embeddings"))
 
@@ -75,6 +80,6 @@ def queries() -> dict[str, Query]:
     own = (
         op1_secret_scan, op2_token_counts, op3_substring_dedup, op4_toxicity, op5_pii,
         op6_decontamination, op7_source_mixing, op8_lm_scoring, op9_top_k, op10_simhash,
-        op12_centroid_clustering, op13_filter_audit,
+        op11_ngram_jaccard, op12_centroid_clustering, op13_filter_audit,
     )
     return {query.__name__: query for query in own}
