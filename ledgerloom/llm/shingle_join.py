@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -23,14 +26,16 @@ WIDTH, PERCENT = 5, 80
 #: PartEnum: cells that a partition of the domain is cut into, and differences a partition may have.
 #: Signatures of a partition are its sets of CELLS - SPARED cells.
 CELLS, SPARED = 2, 1
+#: Choices of cells that one cell is in.
+KILLED = comb(CELLS - 1, CELLS - SPARED - 1)
 #: Elements a partition holds, on average, of the largest sets of a size band.
 LOAD = 6.5
 #: Below this size a set's partitions are single shingles.
 SMALL = 32
 #: Members from which a signature that several components share is left to other signatures.
 HOT = 64
-#: Signatures that one call works out together.
-CHUNK = 500_000
+#: Shingles whose signatures one call works out together; texts that one step reads together.
+CHUNK, PIECE = 500_000, 1000
 _SALT = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
 
 
@@ -68,22 +73,22 @@ def partitions(band: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def part_enum(sets: list[np.ndarray], percent: int = PERCENT):
-    """(signature, index of the set) of all signatures, and per set how many of them may be ignored.
-
-    The shingle domain is cut into partitions and these into cells, both by hash. Two sets with d
-    differences agree, out of any m partitions with m * (SPARED + 1) > d, on all but SPARED cells of
-    one, so on a signature: the hash of what a set has in such a choice of cells. Signatures of
-    nothing are not emitted; a partition counts only where no choice of cells is empty. A set with
-    too few that count also emits every shingle as a signature (as many partitions as shingles),
-    and two such sets meet there. A set's number is how many of its partitions it can lose and
-    still find all its partners.
+    """(signature, index of the set) of all signatures, and per set how many of them, at least, every
+    linked set shares.
+
+    The shingle domain is cut into partitions and these into cells, both by hash; a signature is the
+    hash of what a set has in one choice of CELLS - SPARED cells of a partition. A shingle that
+    only one of two sets has spoils the choices with its cell, KILLED of them, and no others; so
+    they share all signatures but KILLED for each difference. Signatures of nothing are not
+    emitted. A set with too few to share one for certain also emits every shingle as a signature
+    (as many partitions as shingles), and two such sets meet there.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     own, below = bands(sizes, percent)
     allowed = most_differences(sizes, percent)
-    spare = np.full(len(sets), np.iinfo(np.int64).max)
+    need = np.full(len(sets), np.iinfo(np.int64).max)
     singles = np.zeros(len(sets), bool)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for band, taken in ((own, sizes > 0), (own - 1, below & (own > 0))):
@@ -110,21 +115,21 @@ def part_enum(sets: list[np.ndarray], percent: int = PERCENT):
         dense[row, key & 3], there[row, key & 3] = sums, True
         name = mixed((key[row_start] >> 2 & 0xFFFFFFFF).astype(np.uint64) ^ band_salt[key[row_start] >> 34])
         doc = key[row_start] >> 34
+        sure = -allowed * KILLED
         for i, chosen in enumerate(combinations(range(CELLS), CELLS - SPARED)):
             some = there[:, chosen].any(1)
             total = dense[:, chosen].sum(1, dtype=np.uint64)
             found.append((mixed(mixed(total + np.uint64(i)) ^ name)[some], doc[some]))
-        counts = np.bincount(doc[there.sum(1) > SPARED], minlength=len(sets))
-        left = counts - allowed // (SPARED + 1) - 1
-        singles |= cut & (left < 0)
-        spare = np.where(cut, np.minimum(spare, np.maximum(left, 0)), spare)
+            sure += np.bincount(doc[some], minlength=len(sets))
+        singles |= cut & (sure < 1)
+        need = np.where(cut, np.minimum(need, np.maximum(sure, 1)), need)
     if singles.any():
         mine = singles[owner]
         found.append((mixed(values[mine] ^ _SALT[0]), owner[mine]))
-        spare = np.where(singles, np.minimum(spare, sizes - 1 - allowed), spare)
+        need = np.where(singles, np.minimum(need, sizes - allowed), need)
     if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), spare
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), spare
+        return np.empty(0, np.uint64), np.empty(0, np.int64), need
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), need
 
 
 def _chunks(batches, width: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -179,14 +184,15 @@ def _members(nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, str
     return shared_table(rows.select("sig", "node", F.coalesce("lead", "least").alias("least")), True)
 
 
-def _spare(nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows (node, spare): see ``part_enum``."""
+def _needs(nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Rows (node, n, need): the size of each set, and what ``part_enum`` says of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, sets in _chunks(batches, width):
-            yield pd.DataFrame({"node": ids, "spare": part_enum(sets, percent)[2]})
+            need = part_enum(sets, percent)[2]
+            yield pd.DataFrame({"node": ids, "n": [len(s) for s in sets], "need": need})
 
-    return nodes.select("node", "data").mapInPandas(run, "node long, spare long")
+    return nodes.select("node", "data").mapInPandas(run, "node long, n long, need long")
 
 
 def _elements(nodes: DataFrame, width: int) -> DataFrame:
@@ -219,8 +225,8 @@ def _rare_elements(nodes: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of nodes that share a key and are of different components, out of rows
-    (key, node, comp). Nodes of one component are never paired."""
+    """Rows (a, b, shared): nodes a < b of different components and the number of keys they share,
+    out of distinct rows (key, node, comp). Nodes of one component are never paired."""
     sides = checkpointed(rows.select("key", "comp").distinct())
     left = sides.withColumnRenamed("comp", "low")
     right = sides.withColumnRenamed("comp", "high")
@@ -228,7 +234,22 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     a = rows.select("key", F.col("comp").alias("low"), F.col("node").alias("x"))
     b = rows.select("key", F.col("comp").alias("high"), F.col("node").alias("y"))
     pairs = pairs.join(a, ["key", "low"]).join(b, ["key", "high"])
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    ends = F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    return pairs.groupBy(*ends).agg(F.count("*").alias("shared"))
+
+
+def _possible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b, shared) that may be linked by the sizes of their sets and by the
+    number of signatures that each is sure to share with a linked set, less those it lost."""
+    for end in ("a", "b"):
+        own = facts.select(
+            F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
+            F.greatest(F.lit(1), F.col("need") - F.col("lost")).alias(f"need_{end}"),
+        )
+        pairs = pairs.join(own, end)
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    enough = F.col("shared") >= F.greatest("need_a", "need_b")
+    return pairs.where(enough & (100 * small >= percent * large)).select("a", "b")
 
 
 def linked(width: int = WIDTH, percent: int = PERCENT):
@@ -262,11 +283,13 @@ def node_links(nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     connect.
 
     First every node meets one node of each of its signatures; what that links are components. Then
-    the nodes of different components that share a signature are compared, except by signatures
-    that more than HOT nodes of several components have. A node that these cost more signatures
-    than it can spare meets the others like it by its rarest shingles instead. So each pair over
-    the least similarity is either compared or connected by other links.
+    the nodes of different components that share as many signatures as linked sets must are
+    compared. Signatures that more than HOT nodes of several components have are left out there; a
+    node that loses so many that it is not sure to share another meets the others like it by its
+    rarest shingles instead. So each pair over the least similarity is either compared or connected
+    by other links.
     """
+    spark = nodes.sparkSession
     members, path = _members(nodes, width, percent)
     star = members.select(F.least("node", "least").alias("a"), F.greatest("node", "least").alias("b"))
     star = checkpointed(star.where("a < b").distinct())
@@ -274,25 +297,28 @@ def node_links(nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     comp = F.coalesce("root", "node").alias("comp")
     tagged = lambda rows: rows.join(first, "node", "left").select("key", "node", comp)
     named, named_path = shared_table(tagged(members.select(F.col("sig").alias("key"), "node")), True)
-    dropped_table(nodes.sparkSession, path)
+    dropped_table(spark, path)
     shared = named.groupBy("key").agg(
         F.count("*").alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    shared = checkpointed(shared.where("low < high").select("key", "times"))
-    pairs = _cross_pairs(named.join(shared.where(F.col("times") <= HOT), "key").select(*named.columns))
-
-    lost = named.join(shared.where(F.col("times") > HOT), "key").groupBy("node").agg(
-        F.count("*").alias("lost")
-    )
-    lost = checkpointed(lost)
-    if not lost.isEmpty():
-        spare = _spare(nodes.join(lost.select("node"), "node"), width, percent)
-        unsafe = checkpointed(lost.join(spare, "node").where("lost > spare").select("node"))
+    shared = shared.where("low < high").select("key", "times")
+    mixed_rows, mixed_path = shared_table(named.join(shared, "key").distinct(), True)
+    dropped_table(spark, named_path)
+
+    met = mixed_rows.groupBy("node").agg(F.count_if(F.col("times") > HOT).alias("lost"))
+    facts = _needs(nodes.join(met.select("node"), "node"), width, percent).join(met, "node")
+    facts, facts_path = shared_table(facts, True)
+    pairs = _cross_pairs(mixed_rows.where(F.col("times") <= HOT).drop("times"))
+    pairs = _possible(pairs, facts, percent)
+    unsafe = checkpointed(facts.where("lost > 0 and lost >= need").select("node"))
+    if not unsafe.isEmpty():
         rare = checkpointed(tagged(_rare_elements(nodes.join(unsafe, "node"), width, percent)))
-        pairs = pairs.union(_cross_pairs(rare)).distinct()
-    pairs = pairs.join(star, ["a", "b"], "left_anti")
+        rare = _cross_pairs(rare).withColumn("shared", F.lit(2**62))
+        pairs = pairs.union(_possible(rare, facts, percent)).distinct()
+    pairs = checkpointed(pairs.join(star, ["a", "b"], "left_anti"))
     more = _verified(pairs, nodes, width, percent)
-    dropped_table(nodes.sparkSession, named_path)
+    for done in (mixed_path, facts_path):
+        dropped_table(spark, done)
     return more.union(first.select(F.col("root").alias("a"), F.col("node").alias("b")))
 
 
@@ -318,28 +344,30 @@ def similar_documents(
     a task holds the sets of some 500,000 shingles, or of one longer text.
     """
 
-    def keys(texts: pd.Series) -> tuple[list[np.ndarray], list[bytes | None]]:
-        sets = [shingle_set(t, width) for t in texts]
-        return sets, [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-
-    @F.pandas_udf("key binary, n long")
-    def sized(texts: pd.Series) -> pd.DataFrame:
-        sets, key = keys(texts)
-        return pd.DataFrame({"key": key, "n": [len(s) for s in sets]})
+    base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = base.schema["id"].dataType.simpleString()
 
-    @F.pandas_udf("key binary, data binary")
-    def packed(texts: pd.Series) -> pd.DataFrame:
+    def read(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=1).compress
-        _, key = keys(texts)
-        data = [compress(t.encode()) if k else None for k, t in zip(key, texts)]
-        return pd.DataFrame({"key": key, "data": data})
-
-    base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    of = lambda udf: base.select("id", udf("text").alias("set")).select("id", "set.*")
-    keyed = shared_table(of(sized))
-    nodes = of(packed).where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("id").alias("least"), F.first("data").alias("data")
-    )
+        for batch in batches:
+            for at in range(0, len(batch), PIECE):
+                piece = batch.slice(at, PIECE)
+                texts = piece["text"].to_pylist()
+                sets = [shingle_set(t, width) for t in texts]
+                key = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                columns = {"id": piece["id"], "key": pa.array(key, pa.binary())}
+                if with_text:
+                    data = [compress(t.encode()) if k else None for k, t in zip(key, texts)]
+                    columns["data"] = pa.array(data, pa.binary())
+                else:
+                    columns["n"] = pa.array([len(s) for s in sets], pa.int64())
+                out = pa.RecordBatch.from_pydict(columns)
+                yield out.filter(pa.compute.is_valid(out["key"])) if with_text else out
+
+    keyed = base.mapInArrow(lambda b: read(b, False), f"id {kind}, key binary, n long")
+    keyed = shared_table(keyed)
+    nodes = base.mapInArrow(lambda b: read(b, True), f"id {kind}, key binary, data binary")
+    nodes = nodes.groupBy("key").agg(F.min("id").alias("least"), F.first("data").alias("data"))
     # Written before use: the numbers must not change when a task runs again.
     nodes, path = shared_table(
         nodes.withColumn("node", F.monotonically_increasing_id()), with_path=True
