@@ -73,8 +73,8 @@ def mask_counts(
     """part, mask (bit i: fails filter i), n, good, toxic: documents per set of failures.
 
     Only an id, a hash and the bits of a document are shuffled. The least id of each text is an
-    aggregate with partial sums, and texts that stand once need no join; where one text holds a
-    large share of all rows, adaptive execution splits its side of the sorted join.
+    aggregate with partial sums, and rows find it by text and id together, so that no task gets a
+    text of many rows.
     """
     text = text_of(text_col)
     rows = checkpointed(
@@ -85,14 +85,15 @@ def mask_counts(
             F.unhex(F.sha2(text.cast("binary"), 256)).alias("same"),
         )
     )
-    first = rows.groupBy("same").agg(F.min("id").alias("least"), F.count("*").alias("times"))
-    first = first.where("times > 1").select(F.col("same").alias("again"), "least")
+    first = rows.groupBy("same").agg(F.min("id").alias("least"))
+    first = first.select(F.col("same").alias("again"), "least")
     marked = labels.groupBy(F.col(id_col).alias("labelled")).agg(
         F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"),
         F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"),
     )
-    rows = rows.join(first, F.col("same") == F.col("again"), "left")
-    later = F.when(F.col("id") > F.col("least"), 1 << FILTERS.index("E")).otherwise(0)
+    found = (F.col("same") == F.col("again")) & (F.col("id") == F.col("least"))
+    rows = rows.join(first, found, "left")
+    later = F.when(F.col("id").isNotNull() & F.col("least").isNull(), 1 << FILTERS.index("E")).otherwise(0)
     rows = rows.select("id", "part", (F.col("own") + later).alias("mask"))
     rows = rows.join(marked, F.col("id") == F.col("labelled"), "left")
     return rows.groupBy("part", "mask").agg(
