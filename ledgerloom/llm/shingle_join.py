@@ -32,23 +32,40 @@ KILLED = comb(CELLS - 1, CELLS - SPARED - 1)
 LOAD = 6.5
 #: Below this size a set's partitions are single shingles.
 SMALL = 32
-#: Members from which a signature that several components share is left to other signatures.
+#: Nodes of a chunk from which a signature leaves the chunk once, for the first of them.
 HOT = 64
+#: How often nodes that share too few signatures are left out before the others are compared.
+SIEVES = 2
 #: Shingles whose signatures one call works out together; texts that one step reads together.
 CHUNK, PIECE = 500_000, 1000
 _SALT = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
 
 
+def shingle_sets(texts: list[str | None], width: int = WIDTH) -> list[np.ndarray]:
+    """Of each text, the sorted distinct 64-bit hashes of its shingles; of fewer words than a shingle
+    has, one hash of all of them."""
+    split = [words(t) for t in texts]
+    sizes = [len(own) for own in split]
+    h = hashes([w for own in split for w in own])
+    total = np.zeros(max(0, len(h) - width + 1), np.uint64)
+    for i in range(width):  # shingles that cross the end of a text are never picked
+        total = mixed(total ^ h[i : i + len(total)]) + _SALT[0]
+    total += np.uint64(width)
+    sets, at = [], 0
+    for n in sizes:
+        if n >= width:
+            sets.append(np.unique(total[at : at + n - width + 1]))
+        else:
+            short = np.zeros(min(n, 1), np.uint64)
+            for i in range(n):
+                short = mixed(short ^ h[at + i : at + i + 1]) + _SALT[0]
+            sets.append(short + np.uint64(n))
+        at += n
+    return sets
+
+
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; of fewer words, one of all of them."""
-    h = hashes(words(text))
-    if not len(h):
-        return h
-    n = max(1, len(h) - width + 1)
-    total = np.zeros(n, np.uint64)
-    for i in range(min(width, len(h))):
-        total = mixed(total ^ h[i : i + n]) + _SALT[0]
-    return np.unique(total + np.uint64(min(width, len(h))))
+    return shingle_sets([text], width)[0]
 
 
 def most_differences(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -136,14 +153,16 @@ def _chunks(batches, width: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]
     """Nodes and their sets, together of bounded size; one long text makes a chunk of its own."""
     nodes, sets, size = [], [], 0
     for b in batches:
-        for node, data in zip(b["node"], b["data"]):
-            own = shingle_set(plain_text(data), width)
-            if sets and size + len(own) > CHUNK:
-                yield np.array(nodes, np.int64), sets
-                nodes, sets, size = [], [], 0
-            nodes.append(node)
-            sets.append(own)
-            size += len(own)
+        for at in range(0, len(b), PIECE):
+            piece = b[at : at + PIECE]
+            read = shingle_sets([plain_text(data) for data in piece["data"]], width)
+            for node, own in zip(piece["node"], read):
+                if sets and size + len(own) > CHUNK:
+                    yield np.array(nodes, np.int64), sets
+                    nodes, sets, size = [], [], 0
+                nodes.append(node)
+                sets.append(own)
+                size += len(own)
     if sets:
         yield np.array(nodes, np.int64), sets
 
@@ -184,72 +203,42 @@ def _members(nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, str
     return shared_table(rows.select("sig", "node", F.coalesce("lead", "least").alias("least")), True)
 
 
-def _needs(nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows (node, n, need): the size of each set, and what ``part_enum`` says of it."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, sets in _chunks(batches, width):
-            need = part_enum(sets, percent)[2]
-            yield pd.DataFrame({"node": ids, "n": [len(s) for s in sets], "need": need})
-
-    return nodes.select("node", "data").mapInPandas(run, "node long, n long, need long")
+def _sieved(rows: DataFrame, needs: DataFrame) -> DataFrame:
+    """The rows (sig, node, ...) of nodes that share as many signatures with others as each linked
+    set would share with them."""
+    enough = rows.groupBy("node").agg(F.count("*").alias("have")).join(needs, "node")
+    enough = enough.where("have >= need").select("node")
+    rows = rows.join(enough, "node")
+    again = rows.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    return rows.join(again.where("low < high").select("sig"), "sig")
 
 
-def _elements(nodes: DataFrame, width: int) -> DataFrame:
-    """Rows (key, node, n): every shingle of the nodes, and the size of the set."""
+def _cross_pairs(rows: DataFrame, needs: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of nodes of different components, out of rows (sig, node, comp), that
+    include all linked ones.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, sets in _chunks(batches, width):
-            sizes = np.array([len(s) for s in sets])
-            yield pd.DataFrame(
-                {
-                    "key": np.concatenate(sets).view(np.int64), "node": np.repeat(ids, sizes),
-                    "n": np.repeat(sizes, sizes),
-                }
-            )
-
-    return nodes.select("node", "data").mapInPandas(run, "key long, node long, n long")
-
-
-def _rare_elements(nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows (key, node): of each set the rarest shingles, one more than a linked set may lack, as far
-    as other sets have them. Linked sets share one of these, as both order shingles alike."""
-    rows = checkpointed(_elements(nodes, width))
-    often = rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
-    rows = rows.join(often, "key")
-    text = Window.partitionBy("node")  # at most the shingles of one text
-    rows = rows.withColumn("rank", F.row_number().over(text.orderBy("times", "key")))
-    rows = rows.withColumn("alone", F.col("n") - F.count("*").over(text))
-    needed = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
-    return rows.where(F.col("rank") <= needed - F.col("alone")).select("key", "node")
-
-
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Rows (a, b, shared): nodes a < b of different components and the number of keys they share,
-    out of distinct rows (key, node, comp). Nodes of one component are never paired."""
-    sides = checkpointed(rows.select("key", "comp").distinct())
+    A linked pair of different components shares ``need`` signatures at least, so one that is among
+    all but ``need`` - 1 of either node's signatures. Taken from the rarest on, as all nodes order
+    them alike, these are the only ones that nodes are paired by, and signatures of many nodes are
+    left out wherever a node has others. Nodes of one component are never paired.
+    """
+    open_ = rows.groupBy("sig").agg(
+        F.count("*").alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+    open_ = open_.where("low < high").select("sig", "times")
+    own = Window.partitionBy("node")  # signatures of one text
+    rows = rows.join(open_, "sig").join(needs, "node")
+    rows = rows.withColumn("rank", F.row_number().over(own.orderBy("times", "sig")))
+    rows = rows.withColumn("have", F.count("*").over(own)).where("rank <= have - need + 1")
+    rows = checkpointed(rows.select("sig", "node", "comp"))
+    sides = checkpointed(rows.select("sig", "comp").distinct())
     left = sides.withColumnRenamed("comp", "low")
     right = sides.withColumnRenamed("comp", "high")
-    pairs = left.join(right, "key").where("low < high")
-    a = rows.select("key", F.col("comp").alias("low"), F.col("node").alias("x"))
-    b = rows.select("key", F.col("comp").alias("high"), F.col("node").alias("y"))
-    pairs = pairs.join(a, ["key", "low"]).join(b, ["key", "high"])
-    ends = F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    return pairs.groupBy(*ends).agg(F.count("*").alias("shared"))
-
-
-def _possible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b, shared) that may be linked by the sizes of their sets and by the
-    number of signatures that each is sure to share with a linked set, less those it lost."""
-    for end in ("a", "b"):
-        own = facts.select(
-            F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
-            F.greatest(F.lit(1), F.col("need") - F.col("lost")).alias(f"need_{end}"),
-        )
-        pairs = pairs.join(own, end)
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    enough = F.col("shared") >= F.greatest("need_a", "need_b")
-    return pairs.where(enough & (100 * small >= percent * large)).select("a", "b")
+    pairs = left.join(right, "sig").where("low < high")
+    a = rows.select("sig", F.col("comp").alias("low"), F.col("node").alias("x"))
+    b = rows.select("sig", F.col("comp").alias("high"), F.col("node").alias("y"))
+    pairs = pairs.join(a, ["sig", "low"]).join(b, ["sig", "high"])
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def linked(width: int = WIDTH, percent: int = PERCENT):
@@ -270,8 +259,13 @@ def linked(width: int = WIDTH, percent: int = PERCENT):
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. A hub of many pairs is split by adaptive
-    execution, as both joins read straight from exchanges."""
+    """The pairs (a, b) whose sets are similar enough, by size and then by comparing them. A hub of
+    many pairs is split by adaptive execution, as the joins read straight from exchanges."""
+    for end in ("a", "b"):
+        size = nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"))
+        pairs = pairs.join(size, end)
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    pairs = checkpointed(pairs.where(100 * small >= percent * large).select("a", "b"))
     left = nodes.select(F.col("node").alias("a"), F.col("data").alias("p"))
     right = nodes.select(F.col("node").alias("b"), F.col("data").alias("q"))
     both = pairs.join(left, "a").join(right, "b")
@@ -279,46 +273,32 @@ def _verified(pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
 
 
 def node_links(nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between nodes (node, data: compressed text) that connect all that similar pairs
-    connect.
-
-    First every node meets one node of each of its signatures; what that links are components. Then
-    the nodes of different components that share as many signatures as linked sets must are
-    compared. Signatures that more than HOT nodes of several components have are left out there; a
-    node that loses so many that it is not sure to share another meets the others like it by its
-    rarest shingles instead. So each pair over the least similarity is either compared or connected
-    by other links.
+    """Links (a, b) between nodes (node, n, need, data: compressed text) that connect all that
+    similar pairs connect.
+
+    Nodes that share too few signatures with any others have no partner. Of the rest, each first
+    meets the node that it shares the most signatures with, out of one for each signature; what that
+    links are components. Then nodes of different components are compared, by the rarest signatures
+    that they share. Each pair over the least similarity is compared or connected by other links.
     """
     spark = nodes.sparkSession
+    needs = nodes.select("node", "need")
     members, path = _members(nodes, width, percent)
-    star = members.select(F.least("node", "least").alias("a"), F.greatest("node", "least").alias("b"))
-    star = checkpointed(star.where("a < b").distinct())
-    first = components(_verified(star, nodes, width, percent))
-    comp = F.coalesce("root", "node").alias("comp")
-    tagged = lambda rows: rows.join(first, "node", "left").select("key", "node", comp)
-    named, named_path = shared_table(tagged(members.select(F.col("sig").alias("key"), "node")), True)
+    rows = members
+    for _ in range(SIEVES):
+        rows = _sieved(rows, needs)
+    rows, rows_path = shared_table(rows, True)
     dropped_table(spark, path)
-    shared = named.groupBy("key").agg(
-        F.count("*").alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")
-    )
-    shared = shared.where("low < high").select("key", "times")
-    mixed_rows, mixed_path = shared_table(named.join(shared, "key").distinct(), True)
-    dropped_table(spark, named_path)
-
-    met = mixed_rows.groupBy("node").agg(F.count_if(F.col("times") > HOT).alias("lost"))
-    facts = _needs(nodes.join(met.select("node"), "node"), width, percent).join(met, "node")
-    facts, facts_path = shared_table(facts, True)
-    pairs = _cross_pairs(mixed_rows.where(F.col("times") <= HOT).drop("times"))
-    pairs = _possible(pairs, facts, percent)
-    unsafe = checkpointed(facts.where("lost > 0 and lost >= need").select("node"))
-    if not unsafe.isEmpty():
-        rare = checkpointed(tagged(_rare_elements(nodes.join(unsafe, "node"), width, percent)))
-        rare = _cross_pairs(rare).withColumn("shared", F.lit(2**62))
-        pairs = pairs.union(_possible(rare, facts, percent)).distinct()
-    pairs = checkpointed(pairs.join(star, ["a", "b"], "left_anti"))
-    more = _verified(pairs, nodes, width, percent)
-    for done in (mixed_path, facts_path):
-        dropped_table(spark, done)
+    partner = rows.where("node <> least").groupBy("node", "least").agg(F.count("*").alias("shared"))
+    partner = partner.groupBy("node").agg(F.max_by("least", F.struct("shared", "least")).alias("least"))
+    star = partner.select(F.least("node", "least").alias("a"), F.greatest("node", "least").alias("b"))
+    star = checkpointed(star.distinct())
+    first = components(_verified(star, nodes, width, percent))
+    named = rows.select("sig", "node").distinct().join(first, "node", "left")
+    named = named.select("sig", "node", F.coalesce("root", "node").alias("comp"))
+    pairs = _cross_pairs(checkpointed(named), needs)
+    dropped_table(spark, rows_path)
+    more = _verified(pairs.join(star, ["a", "b"], "left_anti"), nodes, width, percent)
     return more.union(first.select(F.col("root").alias("a"), F.col("node").alias("b")))
 
 
@@ -353,21 +333,23 @@ def similar_documents(
             for at in range(0, len(batch), PIECE):
                 piece = batch.slice(at, PIECE)
                 texts = piece["text"].to_pylist()
-                sets = [shingle_set(t, width) for t in texts]
+                sets = shingle_sets(texts, width)
                 key = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 columns = {"id": piece["id"], "key": pa.array(key, pa.binary())}
+                columns["n"] = pa.array([len(s) for s in sets], pa.int64())
                 if with_text:
                     data = [compress(t.encode()) if k else None for k, t in zip(key, texts)]
                     columns["data"] = pa.array(data, pa.binary())
-                else:
-                    columns["n"] = pa.array([len(s) for s in sets], pa.int64())
+                    columns["need"] = pa.array(part_enum(sets, percent)[2], pa.int64())
                 out = pa.RecordBatch.from_pydict(columns)
                 yield out.filter(pa.compute.is_valid(out["key"])) if with_text else out
 
     keyed = base.mapInArrow(lambda b: read(b, False), f"id {kind}, key binary, n long")
     keyed = shared_table(keyed)
-    nodes = base.mapInArrow(lambda b: read(b, True), f"id {kind}, key binary, data binary")
-    nodes = nodes.groupBy("key").agg(F.min("id").alias("least"), F.first("data").alias("data"))
+    nodes = base.mapInArrow(lambda b: read(b, True), f"id {kind}, key binary, n long, data binary, need long")
+    nodes = nodes.groupBy("key").agg(
+        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", "need", "data"))
+    )
     # Written before use: the numbers must not change when a task runs again.
     nodes, path = shared_table(
         nodes.withColumn("node", F.monotonically_increasing_id()), with_path=True

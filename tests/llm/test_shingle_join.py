@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import shingle_join
-from ledgerloom.llm.common import compressed_text
 from ledgerloom.llm.shingle_join import part_enum, shingle_set, similar_documents
 
 SPACE = "\t\n\x0b\x0c\r "
@@ -115,22 +114,17 @@ def test_components_equal_all_pairs(spark, documents, seed, lines):
     assert found(df) == plain_rows(rows)
 
 
-@pytest.mark.parametrize("hot", [2, 6])
-def test_signatures_of_many_sets_lose_no_link(spark, monkeypatch, hot):
-    """With few members allowed per signature, most nodes take the other ways."""
+@pytest.mark.parametrize("hot, sieves", [(1, 0), (2, 1), (64, 5)])
+def test_signatures_of_many_sets_lose_no_link(documents, monkeypatch, hot, sieves):
+    """Chunks that hold back most of their rows, and more and fewer rounds of leaving nodes out."""
     rows = corpus(5, 150)
     rng = random.Random(8)
     base = " ".join(f"b{rng.randrange(500)}" for _ in range(120))
     rows += [(10_000 + i, edited(rng, base, 0.02)) for i in range(40)]
-    data = spark.createDataFrame(rows, "id long, text string").select(
-        F.col("id").alias("node"), compressed_text(F.col("text")).alias("data")
-    ).repartition(5).persist()
-    # The limit is read on the driver and, in tasks, from the pickled module function's globals.
     monkeypatch.setattr(shingle_join, "HOT", hot)
-    links = shingle_join.node_links(data)
-    roots = {r["node"]: r["root"] for r in shingle_join.components(links).collect()}
-    ours = sorted(((i, len(plain_set(t)), roots.get(i, i)) for i, t in rows), key=repr)
-    assert ours == plain_rows(rows)
+    monkeypatch.setattr(shingle_join, "SIEVES", sieves)
+    df = documents([t for _, t in rows], [i for i, _ in rows]).repartition(5)
+    assert found(df) == plain_rows(rows)
 
 
 def test_threshold_and_width_are_parameters(spark, documents):
