@@ -34,30 +34,51 @@ def _with(lines: DataFrame, *extra: str) -> DataFrame:
     return lines.unionByName(more)
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cents = _CENTS.format("l_extendedprice")
-    lines = _table(spark, sf_dir, "lineitem").selectExpr(
-        f"""concat_ws(',', 'h', 'n', 'b',
+_LINE_CENTS = _CENTS.format("l_extendedprice")
+_TRANSACTION = f"""concat_ws(',', 'h', 'n', 'b',
           case when l_tax = 0.08 then 'x' else cast(l_orderkey as string) end,
           '0', 'f', {TX_ADDRESS},
           case when l_tax = 0.0 then ''
                when l_tax = 0.01 and l_linenumber = 6 then '1e5'
-               when l_linenumber = 1 then concat(' ', {cents}, '  ')
-               when l_linenumber = 2 then concat('+', {cents})
-               when l_linenumber = 3 then concat('-00', {cents})
-               when l_linenumber = 4 then concat({cents}, '_0')
-               else cast({cents} as string) end,
+               when l_linenumber = 1 then concat(' ', {_LINE_CENTS}, '  ')
+               when l_linenumber = 2 then concat('+', {_LINE_CENTS})
+               when l_linenumber = 3 then concat('-00', {_LINE_CENTS})
+               when l_linenumber = 4 then concat({_LINE_CENTS}, '_0')
+               else cast({_LINE_CENTS} as string) end,
           case when l_discount = 0.1 then 'bad' else cast(cast(l_quantity as bigint) as string) end,
           case when l_discount = 0.0 then '1.5' else cast({_CENTS.format('l_discount')} as string) end,
           case when l_quantity = 49 then '"a,b"' else '0x' end,
           case when l_tax = 0.04 and l_linenumber = 7 then 'bad'
                else cast({_EPOCH.format('l_shipdate')} as string) end,
           '',
-          case when l_quantity = 50 then '0' else '0,' end) as line"""
-    )
+          case when l_quantity = 50 then '0' else '0,' end)"""
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(f"{_TRANSACTION} as line")
     return _with(lines, "h,n,b,c3,i,f,address,value,gas,price,input,ts,x,y,z")
 
 
+def long_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines, but some fields that are integers have 39 digits and more: ``c3`` at tax 0.05
+    or 0.06, gas used at discount 0.06 or 0.07."""
+    rows = _table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "c3": F.expr("case when l_tax in (0.05, 0.06) then repeat('7', 39) end"),
+            "gas": F.expr("case when l_discount in (0.06, 0.07) then concat('+', repeat('9', 60)) end"),
+        }
+    )
+    lines = rows.selectExpr(f"{_TRANSACTION} as line", "c3", "gas")
+    part = F.split("line", ",")
+    changed = F.transform(
+        part,
+        lambda text, i: F.when(i == 3, F.coalesce("c3", text))
+        .when(i == 8, F.coalesce("gas", text))
+        .otherwise(text),
+    )
+    return lines.select(F.array_join(changed, ",").alias("line"))
+
+
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part")
     lines = part.selectExpr(

@@ -136,6 +136,31 @@ OPERATORS = {
     "shared_scam_categories": f"select category, {_TOTAL} {_SCAM_JOIN} group by 1",
 }
 
+_START = "cast(date_trunc('month', ts) as date)"
+_MEASURES = {"value": "ok7 and ok11", "gas_price": "ok9 and ok11", "gas_used": "ok8 and ok11", "received": "ok7 and ok8 and ok11", "placed": "ok3 and ok7"}
+_AMOUNTS = {"received": "value", "placed": "value"}
+_SUMS = ", ".join(f"cast(sum({_AMOUNTS.get(m, m)}) filter ({ok}) as bigint) as {m}, count(*) filter ({ok}) as n_{m}" for m, ok in _MEASURES.items())
+
+SHARED = {
+    # The header line has 15 fields and no valid integer: a row of an address without any sum.
+    "sums_per_address_and_month": f"select address, case when ok11 then strftime({_START}, '%Y-%m-%d') end as start, count(*) filter (ok11) as n, {_SUMS} from tx group by 1, 2 union all select 'address', null, 0, null, 0, null, 0, null, 0, null, 0, null, 0",
+    "sums_monthly_count": QUERIES["monthly_count"],
+    "sums_monthly_avg_value": QUERIES["monthly_avg_value"],
+    "sums_monthly_avg_gas_price": QUERIES["monthly_avg_gas_price"],
+    "sums_monthly_avg_contract_gas": QUERIES["monthly_avg_contract_gas"],
+    "sums_scam_totals": OPERATORS["project_rekey"],
+    "sums_top_addresses_by_value": QUERIES["top_addresses_by_value"],
+    "join_contracts_bucketed": OPERATORS["join_contracts"],
+    "join_scams_bucketed": OPERATORS["join_scams"],
+    "long_typed_counts": """select case when long3 and long8 then 'c3-gas_used' when long3 then 'c3' when long8 then 'gas_used' else 'none' end as beyond,
+      count(*) as lines, count(*) filter (ok3 and not long3) as c3, count(*) filter (ok8 and not long8) as gas_used
+      from (select l_tax in (0.05, 0.06) as long3, l_discount in (0.06, 0.07) as long8, l_tax <> 0.08 as ok3, l_discount <> 0.1 as ok8
+            from lineitem where l_quantity not in (49, 50)) t group by 1""",
+    "long_top_addresses_by_value": QUERIES["top_addresses_by_value"],
+    "long_top_scam_categories": QUERIES["top_scam_categories"],
+    "long_monthly_avg_value": QUERIES["monthly_avg_value"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
-    return {name: CLEAN + sql for name, sql in {**QUERIES, **OPERATORS}.items()}
+    return {name: CLEAN + sql for name, sql in {**QUERIES, **OPERATORS, **SHARED}.items()}

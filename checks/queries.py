@@ -7,29 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.exports import EXPORTS
+from checks.exports import EXPORTS, long_transactions
 from checks.scratch import scratch
 from ledgerloom import operators as ops
 from ledgerloom import plans
 from ledgerloom.functions import month_label, ratio, relabel, to_integer
-from ledgerloom.functions.labels import MONTH_SHORT_YEAR, MONTH_SLASH_YEAR, MONTH_YEAR
+from ledgerloom.functions.labels import (
+    MONTH_SHORT_YEAR,
+    MONTH_SLASH_YEAR,
+    MONTH_YEAR,
+    month_start,
+    start_label,
+)
+from ledgerloom.operators.buckets import each
 from ledgerloom.plans.monthly import monthly_summary, monthly_totals
 from ledgerloom.plans.scams import roll_up, scam_totals
+from ledgerloom.plans.sums import (
+    MEASURES,
+    addresses_from_sums,
+    contract_gas_from_sums,
+    ledger_sums,
+    load_sums,
+    monthly_from_sums,
+    save_sums,
+    scams_from_sums,
+)
 from ledgerloom.sources import (
     BLOCKS,
     CONTRACTS,
     SCAMS,
     TRANSACTIONS,
+    load_bucketed,
     load_table,
     parse,
     pick,
     read_lines,
     read_pairs,
+    save_bucketed,
     save_table,
     valid_lines,
     write_result,
 )
 from ledgerloom.sources.lines import ARITY, field, fields
+from ledgerloom.sources.tables import BEYOND
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,18 +281,41 @@ PROJECTIONS: dict[str, Query] = {
 
 def _join_contracts(broadcast_bytes: int | None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        rows = pick(tx(spark, sf), TRANSACTIONS, "address", "gas_used", "ts").withColumn(
-            "month", month_label(F.col("ts"), MONTH_SHORT_YEAR)
-        )
-        listed = pick(ct(spark, sf), CONTRACTS, "address")
-        totals = ops.matched_totals(
-            rows, listed, "address", "gas_used", ["month"], broadcast_bytes=broadcast_bytes
-        )
-        return _as_bigint(totals, "total", "n")
+        return _gas_per_month(tx(spark, sf), ct(spark, sf), broadcast_bytes)
 
     return run
 
 
+def _gas_per_month(transactions, contracts: DataFrame, broadcast_bytes: int | None) -> DataFrame:
+    start = month_start(F.col("ts")).alias("start")
+    rows = pick(transactions, TRANSACTIONS, "address", "gas_used", "ts")
+    rows = each(rows, lambda r: r.select("address", "gas_used", start))
+    listed = pick(contracts, CONTRACTS, "address")
+    totals = ops.matched_totals(
+        rows, listed, "address", "gas_used", ["start"], broadcast_bytes=broadcast_bytes
+    )
+    month = start_label(F.col("start"), MONTH_SHORT_YEAR).alias("month")
+    totals = totals.groupBy(month).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return _as_bigint(totals, "total", "n")
+
+
+def _buckets(spark: SparkSession, sf: str):
+    path = scratch(spark)
+    save_bucketed(_typed(spark, sf), TRANSACTIONS, path, buckets=16)
+    return load_bucketed(spark, TRANSACTIONS, path)
+
+
+def _join_contracts_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    return _gas_per_month(_buckets(spark, sf), ct(spark, sf), 0)
+
+
+def _join_scams_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = pick(_buckets(spark, sf), TRANSACTIONS, "address", "value", checked=["gas_used", "ts"])
+    listed = pick(sc(spark, sf), SCAMS, "id", "category", "address")
+    totals = ops.matched_totals(rows, listed, "address", "value", [], ["id", "category"], 0)
+    return _as_int(_as_bigint(totals, "total", "n"))
+
+
 def _join_scams(broadcast_bytes: int | None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         rows = pick(tx(spark, sf), TRANSACTIONS, "address", "value", "gas_used", "ts")
@@ -301,11 +344,11 @@ def _join_many_labels(broadcast_bytes: int | None) -> Query:
 
 
 def _join_counts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = pick(tx(spark, sf), TRANSACTIONS, "value", "ts").withColumn(
-        "month", month_label(F.col("ts"), MONTH_YEAR)
-    )
-    totals = ops.group_sum(rows, ["month"], "value")
-    return ops.ratio_join(totals, ops.group_count(rows, ["month"]), "month")
+    """Totals of one month each, and the counts they are divided by, out of one parse of the lines."""
+    base = monthly_totals(parse(tx(spark, sf), TRANSACTIONS, ["value", "ts"]), ["value"]).persist()
+    base = base.where(F.col("n_value") > 0)
+    totals = base.select("month", F.col("value").alias("total"))
+    return ops.ratio_join(totals, base.select("month", F.col("n_value").alias("n")), "month")
 
 
 JOINS: dict[str, Query] = {
@@ -316,6 +359,8 @@ JOINS: dict[str, Query] = {
     "join_many_labels": _join_many_labels(None),
     "join_many_labels_shuffled": _join_many_labels(0),
     "join_counts": _join_counts,
+    "join_contracts_bucketed": _join_contracts_bucketed,
+    "join_scams_bucketed": _join_scams_bucketed,
 }
 
 # --- aggregations ----------------------------------------------------------------------------
@@ -420,8 +465,73 @@ SHARED: dict[str, Query] = {
 }
 
 
+# --- sums per address and month, whole and merged out of two exports --------------------------
+
+
+def _sums(spark: SparkSession, sf: str) -> DataFrame:
+    return ledger_sums(tx(spark, sf))
+
+
+def _merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of two exports, the lines up to 60 characters and the longer ones, saved and merged."""
+    path = scratch(spark)
+    lines = tx(spark, sf)
+    short = F.length("line") <= 60
+    save_sums(lines.where(short), path, "short")
+    save_sums(lines.where(~short), path, "long")
+    return load_sums(spark, path)
+
+
+def _sum_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The saved sums themselves."""
+    sums = _merged(spark, sf).withColumn("start", F.date_format("start", "yyyy-MM-dd"))
+    counts = [f"n_{m}" for m in MEASURES]
+    return sums.select(
+        "address", "start", "n", *(F.col(m).cast("bigint").alias(m) for m in MEASURES), *counts
+    )
+
+
+SUMS: dict[str, Query] = {
+    "sums_per_address_and_month": _sum_counts,
+    "sums_monthly_count": lambda s, d: monthly_summary(monthly_from_sums(_merged(s, d))).count,
+    "sums_monthly_avg_value": lambda s, d: monthly_summary(monthly_from_sums(_sums(s, d))).avg_value,
+    "sums_monthly_avg_gas_price": lambda s, d: monthly_summary(
+        monthly_from_sums(_merged(s, d))
+    ).avg_gas_price,
+    "sums_monthly_avg_contract_gas": lambda s, d: contract_gas_from_sums(_merged(s, d), ct(s, d)),
+    "sums_scam_totals": lambda s, d: _as_int(_total(scams_from_sums(_merged(s, d), sc(s, d)))),
+    "sums_top_addresses_by_value": lambda s, d: _total(
+        addresses_from_sums(_merged(s, d), ct(s, d))
+    ),
+}
+
+# --- a typed copy of lines with integers too long for their type ------------------------------
+
+
+def _long_copy(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch(spark)
+    save_table(long_transactions(spark, sf), TRANSACTIONS, path)
+    return load_table(spark, TRANSACTIONS, path)
+
+
+LONG: dict[str, Query] = {
+    "long_typed_counts": lambda s, d: _long_copy(s, d).groupBy(BEYOND).agg(
+        F.count("*").alias("lines"), F.count("c3").alias("c3"), F.count("gas_used").alias("gas_used")
+    ),
+    "long_top_addresses_by_value": lambda s, d: _total(
+        plans.top_addresses_by_value(_long_copy(s, d), ct(s, d))
+    ),
+    "long_top_scam_categories": lambda s, d: _total(
+        plans.top_scam_categories(_long_copy(s, d), sc(s, d))
+    ),
+    "long_monthly_avg_value": lambda s, d: plans.monthly_avg_value(_long_copy(s, d)),
+}
+
+
 def queries() -> dict[str, Query]:
     return {
+        **SUMS,
+        **LONG,
         **QUERIES,
         **SOURCES,
         **FILTERS,

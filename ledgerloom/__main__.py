@@ -6,8 +6,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans.reports import NAMES, tables_of, write_reports
+from ledgerloom.plans.reports import NAMES, SUMS, tables_of, write_reports
 from ledgerloom.plans.series import sorted_series
+from ledgerloom.plans.sums import load_sums, save_sums
 from ledgerloom.session import build_session
 from ledgerloom.sources import (
     BLOCKS,
@@ -30,8 +31,15 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         parser.add_argument(f"--{name}", help=f"comma text of {name}")
     parser.add_argument(
         "--typed",
-        help="directory of typed copies: written from the exports given, read for the others",
+        help="directory of typed copies: written anew from the exports given, read for the others",
     )
+    parser.add_argument(
+        "--sums",
+        metavar="FOLDER",
+        help="folder of saved sums: those of --transactions are added as --export, and the reports"
+        " cover every export in it",
+    )
+    parser.add_argument("--export", metavar="NAME", help="name of the export that --sums adds")
     parser.add_argument("--out", required=True, help="directory for the results")
     parser.add_argument(
         "--series",
@@ -41,7 +49,10 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         help="a saved result in --out to write as a label-sorted series; labels of counts get a comma",
     )
     parser.add_argument("reports", nargs="*", help=f"default: all of {', '.join(NAMES)}")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.sums and bool(args.transactions) != bool(args.export):
+        parser.error("--sums takes --transactions and --export together, or neither")
+    return args
 
 
 def read_input(spark: SparkSession, name: str, text: str | None, typed: str | None) -> DataFrame:
@@ -49,7 +60,7 @@ def read_input(spark: SparkSession, name: str, text: str | None, typed: str | No
         return read_lines(spark, text)
     path = f"{typed.rstrip('/')}/{name}"
     if text:
-        save_table(read_lines(spark, text), TABLES[name], path)
+        save_table(read_lines(spark, text), TABLES[name], path, replace=True)
     return load_table(spark, TABLES[name], path)
 
 
@@ -68,7 +79,11 @@ def write_all(spark: SparkSession, args: argparse.Namespace) -> None:
     inputs = {}
     for name in sorted(tables_of(args.reports)):
         text = getattr(args, name)
-        if text or args.typed:
+        if name == TRANSACTIONS.name and args.sums:
+            if text:
+                save_sums(read_lines(spark, text), args.sums, args.export)
+            inputs[SUMS] = load_sums(spark, args.sums)
+        elif text or args.typed:
             inputs[name] = read_input(spark, name, text, args.typed)
     for name, path in write_reports(inputs, args.out, args.reports).items():
         print(name, path)

@@ -18,11 +18,14 @@ INTEGER = "decimal(38,0)"
 INTEGER_FORM = r"\A\s*+[+-]?+[0-9]++(?:_[0-9]++)*+\s*+\z"
 
 
+def _digits(text: Column) -> Column:
+    return F.when(text.contains("_"), F.replace(text, F.lit("_"), F.lit(""))).otherwise(text)
+
+
 def _parse(text: Column, kind: str) -> Column:
     # The cast alone takes too much (1.5, 1e5), so it only sees text of the right form. It trims the
     # blanks itself, and in ANSI mode raises on what does not fit.
-    digits = F.when(text.contains("_"), F.replace(text, F.lit("_"), F.lit(""))).otherwise(text)
-    return F.when(text.rlike(INTEGER_FORM), digits.cast(kind))
+    return F.when(text.rlike(INTEGER_FORM), _digits(text).cast(kind))
 
 
 def to_integer(text: Column) -> Column:
@@ -38,3 +41,8 @@ def to_epoch(text: Column) -> Column:
 def is_integer(text: Column) -> Column:
     """Whether the text is an integer, of any length."""
     return F.coalesce(text.rlike(INTEGER_FORM), F.lit(False))
+
+
+def fitting(text: Column, kind: str) -> Column:
+    """Integer of the given type, NULL where the text is not one or does not fit the type."""
+    return F.when(text.rlike(INTEGER_FORM), _digits(text).try_cast(kind))

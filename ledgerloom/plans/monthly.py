@@ -16,6 +16,7 @@ from ledgerloom.functions.labels import (
     ratio,
     start_label,
 )
+from ledgerloom.operators.buckets import Rows, all_rows
 from ledgerloom.operators.grouping import group_count, known_sum, whole_sum
 from ledgerloom.sources.tables import TRANSACTIONS, pick
 
@@ -37,20 +38,20 @@ def _average(rows: DataFrame, amount: str, parts: bool) -> DataFrame:
     return sums if parts else sums.drop("total", "n")
 
 
-def monthly_count(transactions: DataFrame) -> DataFrame:
+def monthly_count(transactions: Rows) -> DataFrame:
     """``month`` (MM/yyyy), ``n``."""
-    counts = group_count(pick(transactions, TRANSACTIONS, "ts"), [_start()])
+    counts = group_count(all_rows(pick(transactions, TRANSACTIONS, "ts")), [_start()])
     return counts.groupBy(_month(MONTH_SLASH_YEAR)).agg(F.sum("n").alias("n"))
 
 
-def monthly_avg_value(transactions: DataFrame, parts: bool = False) -> DataFrame:
+def monthly_avg_value(transactions: Rows, parts: bool = False) -> DataFrame:
     """``month`` (MM yyyy), ``avg_value``; ``parts`` adds the exact ``total`` and ``n``."""
-    return _average(pick(transactions, TRANSACTIONS, "value", "ts"), "value", parts)
+    return _average(all_rows(pick(transactions, TRANSACTIONS, "value", "ts")), "value", parts)
 
 
-def monthly_avg_gas_price(transactions: DataFrame, parts: bool = False) -> DataFrame:
+def monthly_avg_gas_price(transactions: Rows, parts: bool = False) -> DataFrame:
     """``month`` (MM yyyy), ``avg_gas_price``; ``parts`` adds the exact ``total`` and ``n``."""
-    return _average(pick(transactions, TRANSACTIONS, "gas_price", "ts"), "gas_price", parts)
+    return _average(all_rows(pick(transactions, TRANSACTIONS, "gas_price", "ts")), "gas_price", parts)
 
 
 @dataclass(frozen=True)

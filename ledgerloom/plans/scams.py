@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import MONTH_SHORT_YEAR, month_start, start_label
+from ledgerloom.operators.buckets import Rows, each
 from ledgerloom.operators.grouping import group_sum
 from ledgerloom.operators.joins import matched_totals
 from ledgerloom.operators.ordering import by_key, top_k
@@ -17,16 +18,17 @@ from ledgerloom.sources.tables import SCAMS, TRANSACTIONS, pick
 SERIES_CATEGORIES = ("Scamming", "Phishing", "Fake ICO")
 
 
-def _received(transactions: DataFrame, monthly: bool) -> DataFrame:
+def _received(transactions: Rows, monthly: bool) -> Rows:
     # Fields that are only checked: a line with a malformed one takes no part.
     if not monthly:
         return pick(transactions, TRANSACTIONS, "address", "value", checked=["gas_used", "ts"])
     rows = pick(transactions, TRANSACTIONS, "address", "value", "ts", checked=["gas_used"])
-    return rows.select("address", "value", month_start(F.col("ts")).alias("start"))
+    start = month_start(F.col("ts")).alias("start")
+    return each(rows, lambda r: r.select("address", "value", start))
 
 
 def scam_totals(
-    transactions: DataFrame,
+    transactions: Rows,
     scams: DataFrame,
     by: Sequence[str] = ("month", "category", "id"),
     category: str | None = None,
@@ -48,17 +50,17 @@ def scam_totals(
     return group_sum(totals, [month, *flagged], "total")
 
 
-def top_scam_categories(transactions: DataFrame, scams: DataFrame, k: int = 3) -> DataFrame:
+def top_scam_categories(transactions: Rows, scams: DataFrame, k: int = 3) -> DataFrame:
     """The k categories that received most: ``category``, ``total``."""
     return top_k(scam_totals(transactions, scams, ["category"]), "total", "category", k)
 
 
-def top_scam_ids(transactions: DataFrame, scams: DataFrame, k: int = 10) -> DataFrame:
+def top_scam_ids(transactions: Rows, scams: DataFrame, k: int = 10) -> DataFrame:
     """The k scam ids that received most: ``id``, ``total``."""
     return top_k(scam_totals(transactions, scams, ["id"]), "total", "id", k)
 
 
-def scam_series(transactions: DataFrame, scams: DataFrame, category: str) -> DataFrame:
+def scam_series(transactions: Rows, scams: DataFrame, category: str) -> DataFrame:
     """``month`` (MM yy), ``total`` of one category, in label order."""
     return by_key(scam_totals(transactions, scams, ["month"], category), "month")
 

@@ -1,5 +1,6 @@
 """Reading exports and saved results, writing results."""
 
+from ledgerloom.sources.bucketed import load_bucketed, save_bucketed
 from ledgerloom.sources.lines import fields, read_lines, valid_lines
 from ledgerloom.sources.object_store import s3a_options
 from ledgerloom.sources.results import read_pairs, write_result
@@ -20,12 +21,14 @@ __all__ = [
     "SCAMS",
     "TRANSACTIONS",
     "fields",
+    "load_bucketed",
     "load_table",
     "parse",
     "pick",
     "read_lines",
     "read_pairs",
     "s3a_options",
+    "save_bucketed",
     "save_table",
     "valid_lines",
     "write_result",

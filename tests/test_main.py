@@ -45,6 +45,29 @@ def test_typed_copies_are_written_once_and_read_again(spark, exports, tmp_path,
     assert read_pairs(spark, path).collect() == [("1", 7.0)]
 
 
+def test_typed_copies_are_written_anew(spark, exports, tmp_path, capsys):
+    typed, given = str(tmp_path / "typed"), options(exports, "transactions")
+    for value, out in (("7", "out"), ("8", "out2")):
+        (tmp_path / "transactions.csv").write_text(tx(value=value) + "\n")
+        main([*given, "--typed", typed, "--out", str(tmp_path / out), "monthly_avg_value"])
+        assert read_pairs(spark, written(capsys)["monthly_avg_value"]).first()["value"] == float(value)
+
+
+def test_sums_of_several_exports(spark, exports, tmp_path, capsys):
+    sums = ["--sums", str(tmp_path / "sums")]
+    for i, value in enumerate(("7", "8")):
+        (tmp_path / "transactions.csv").write_text(tx(value=value) + "\n")
+        out = ["--out", str(tmp_path / f"out{i}")]
+        main([*options(exports, *exports), *sums, "--export", f"e{i}", *out])
+        paths = written(capsys)
+        assert sorted(paths) == sorted(NAMES)
+    assert read_pairs(spark, paths["monthly_avg_value"]).collect() == [("07 2015", 7.5)]
+    main([*options(exports, "scams"), *sums, "--out", str(tmp_path / "more"), "top_scam_ids"])
+    assert read_pairs(spark, written(capsys)["top_scam_ids"]).collect() == [("1", 15.0)]
+    with pytest.raises(SystemExit):
+        main([*options(exports, "transactions"), *sums, "--out", str(tmp_path / "x")])
+
+
 def test_missing_export_is_named(spark, exports, tmp_path):
     with pytest.raises(ValueError, match="scams"):
         main([*options(exports, "transactions"), "--out", str(tmp_path), "top_scam_ids"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 
 from ledger import contract, scam, tx
@@ -95,6 +97,51 @@ def test_large_list_meets_facts_already_summed(files):
     assert text.index("SortMergeJoin") < text.index("partial_try_sum(sum_amount")
 
 
+def gas(files, limit):
+    rows = pick(files["tx"], TRANSACTIONS, "address", "gas_used", "ts")
+    listed = pick(files["ct"], CONTRACTS, "address")
+    return ops.matched_totals(rows, listed, "address", "gas_used", ["ts"], broadcast_bytes=limit)
+
+
+def test_large_list_without_labels_shuffles_facts_once(files):
+    text = plan(gas(files, 0))
+    # Printed top down: the sums of the result, the join, and one exchange by address on either side.
+    assert text.index("partial_sum") < text.index("SortMergeJoin") and "Broadcast" not in text
+    joined = text[text.index("SortMergeJoin") :]
+    assert joined.count("Exchange hashpartitioning(address") == joined.count("Exchange") == 2
+    # The counted list is aggregated in its exchange; facts are not aggregated before they meet it.
+    assert joined.count("HashAggregate") == 2
+
+
+def stages_of(spark, action):
+    """Stages of each job that the action runs."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, "counted")
+    try:
+        action()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    return [len(tracker.getJobInfo(i).stageIds) for i in tracker.getJobIdsForGroup(group)]
+
+
+def test_a_clearly_large_list_is_not_measured(spark, files, tmp_path):
+    (tmp_path / "ct.csv").write_text("\n".join(contract(f"0x{i}") for i in range(2000)))
+    large = {**files, "ct": read_lines(spark, str(tmp_path / "ct.csv"))}
+    assert stages_of(spark, lambda: gas(large, 1000)) == []
+    assert stages_of(spark, lambda: gas(large, 0)) == []
+    assert "SortMergeJoin" in plan(gas(large, 1000))
+
+
+def test_a_list_without_labels_is_measured_without_a_grouping(spark, files, tmp_path):
+    """The rows as they stand are a bound; only one over the limit makes a grouping worth while."""
+    jobs = stages_of(spark, lambda: gas(files, None))
+    assert len(jobs) <= 2 and max(jobs) <= 2  # the rows, and their sum in one more stage
+    (tmp_path / "ct.csv").write_text("\n".join(contract("0xa") for _ in range(30)))
+    again = {**files, "ct": read_lines(spark, str(tmp_path / "ct.csv"))}
+    assert "BroadcastHashJoin" in plan(gas(again, 1500))  # 30 rows are over it, one counted key is not
+
+
 def test_contracts_only_filters_sums_without_moving_them_again(files):
     text = plan(plans.top_addresses_by_value(files["tx"], files["ct"], contracts_only=True))
     assert "Broadcast" not in text

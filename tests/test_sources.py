@@ -129,6 +129,54 @@ def test_typed_copy_serves_every_choice_of_columns(spark, lines, tmp_path):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+LONG = "1" * 39
+
+
+def test_long_integers_stay_lines_of_the_typed_copy(spark, lines, tmp_path):
+    raw = lines(
+        tx(value="1"), tx(c3=LONG, value="2"), tx(gas=f" +{LONG}_0 ", value="3"), tx(c3=LONG, gas=LONG, value="4"),
+        tx(price=LONG, gas="bad", value="5"), tx(ts="9" * 20, value="6"), tx(c3="x", value="7"), tx(extra=1),
+    )
+    path = str(tmp_path / "typed")
+    save_table(raw, TRANSACTIONS, path)
+    typed = load_table(spark, TRANSACTIONS, path)
+    assert typed.count() == 7
+    for checked, kept in (
+        (["c3"], [1, 2, 3, 4, 5, 6]), (["gas_used"], [1, 2, 3, 4, 6, 7]), (["ts"], [1, 2, 3, 4, 5, 6, 7]),
+        (["c3", "gas_used", "gas_price", "ts"], [1, 2, 3, 4, 6]), ([], [1, 2, 3, 4, 5, 6, 7]),
+    ):
+        for source in (raw, typed):
+            assert values(pick(source, TRANSACTIONS, "value", checked=checked), "value") == kept, checked
+
+
+def test_a_used_long_integer_raises_from_the_typed_copy(spark, lines, tmp_path):
+    path = str(tmp_path / "typed")
+    save_table(lines(tx(value="7"), tx(gas=LONG)), TRANSACTIONS, path)
+    typed = load_table(spark, TRANSACTIONS, path)
+    assert values(pick(typed, TRANSACTIONS, "value", checked=["gas_used"]), "value") == [1, 7]
+    with pytest.raises(Exception, match="too long"):
+        pick(typed, TRANSACTIONS, "gas_used").collect()
+    # A line that is dropped for another field does not raise.
+    save_table(lines(tx(value="7"), tx(gas=LONG, value="bad")), TRANSACTIONS, path + "2")
+    assert pick(load_table(spark, TRANSACTIONS, path + "2"), TRANSACTIONS, "value", "gas_used").count() == 1
+
+
+def test_typed_copies_of_no_lines_and_of_an_older_layout(spark, lines, tmp_path):
+    none = lines("junk")
+    save_table(none, TRANSACTIONS, str(tmp_path / "none"))
+    assert load_table(spark, TRANSACTIONS, str(tmp_path / "none")).count() == 0
+    parse(lines(tx(), tx(value="x")), TRANSACTIONS).write.parquet(str(tmp_path / "old"))
+    old = load_table(spark, TRANSACTIONS, str(tmp_path / "old"))
+    assert old.columns == TRANSACTIONS.columns and pick(old, TRANSACTIONS, "value").count() == 1
+
+
+def test_writing_a_typed_copy_sorts_no_rows(spark, lines, tmp_path):
+    seen = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    save_table(lines(tx(), tx(c3=LONG)), TRANSACTIONS, str(tmp_path / "typed"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == seen
+    assert {p.name for p in (tmp_path / "typed").glob("beyond=*")} == {"beyond=none", "beyond=c3"}
+
+
 def test_result_round_trip(spark, tmp_path):
     df = spark.createDataFrame(
         [("08 2015", 1.5), ("09 2015", 1e16), ('a"b', -2.0)], "month string, average double"
