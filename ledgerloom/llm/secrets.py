@@ -136,23 +136,37 @@ def shared_grams(text: str) -> set[str]:
     return {text[i : i + SHARED] for i in range(len(text) - SHARED + 1)}
 
 
-def without_copies(text: str, low: int, high: int, own: set[str], sensitive) -> str:
-    """``text[low:high]`` without those of the ``sensitive`` islands that share ``own`` grams."""
-    out, at = [], low
+def copies(text: str, string: str, low: int = 0, high: int | None = None) -> list[tuple[int, int]]:
+    """Where ``text[low:high]`` has the string, from left to right without overlaps."""
+    found, at = [], text.find(string, low, high)
+    while at >= 0:
+        found.append((at, at + len(string)))
+        at = text.find(string, at + len(string), high)
+    return found
+
+
+def without_copies(text: str, low: int, high: int, piece: str, own: set[str], sensitive) -> str:
+    """``text[low:high]`` without the copies of the piece, also those that reach over its ends, and
+    without those of the ``sensitive`` islands that share ``own`` grams."""
+    cut = copies(text, piece, max(0, low - len(piece) + 1), high + len(piece) - 1)
     for i in range(bisect_right(sensitive, low, key=lambda s: s[1]), len(sensitive)):
         start, end = max(sensitive[i][0], low), min(sensitive[i][1], high)
         if start >= high:
             break
         if not own.isdisjoint(shared_grams(text[start:end])):
-            out.append(text[at:start])
-            at = end
+            cut.append((start, end))
+    out, at = [], low
+    for start, end in sorted(cut):
+        out.append(text[at : max(at, min(start, high))])
+        at = max(at, end)
     return "".join([*out, text[at:high]])
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty):
     """Strings in a sensitive context that compression can't shorten and no pattern has found.
 
-    A copy nearby makes a string known only where it is no candidate or pattern itself.
+    Copies nearby are cut out of the surroundings, wherever they stand: a string that is stated
+    twice is as much of a secret as one stated once.
     """
     taken = [(s, e) for s, _, e in base]
     found, looked_at = [], candidates(text)
@@ -168,8 +182,8 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty):
             piece = text[low:high]
             name = not re.search("[0-9]", piece) and not _ONE_CASE.fullmatch(piece)
             own = shared_grams(piece)
-            around = without_copies(text, max(0, start - AROUND), start, own, sensitive)
-            around += without_copies(text, end, end + AROUND, own, sensitive)
+            around = without_copies(text, max(0, start - AROUND), start, piece, own, sensitive)
+            around += without_copies(text, end, min(end + AROUND, len(text)), piece, own, sensitive)
             if novelty.rate(around, piece) >= (NAMES if name else NOVELTY):
                 found.append((start, 3, end))
                 break
@@ -191,11 +205,12 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     The base patterns' spans always stay; the dictionary-primed measure adds spans of kind
     ``novel``. Texts are read whole, a null one counts as empty; repeated rows and null ids keep a
-    row each; other columns are ignored. Rows never meet, so there is no shuffle.
+    row each; other columns are ignored. Of equal starts the kinds come as listed. A text of any
+    length is one row of one task. Rows never meet, so there is no shuffle.
     """
 
     @F.pandas_udf(
-        "n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string"
+        "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long"
     )
     def scanned(texts: pd.Series) -> pd.DataFrame:
         novelty, rows = Novelty(), []
@@ -204,8 +219,9 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             ranks = [rank for _, rank, _ in spans]
             base = joined(s for s in spans if s[1] < 3)
             digest = hashlib.sha256(base.encode()).hexdigest()
-            rows.append((*(ranks.count(i) for i in range(4)), digest, joined(spans)))
-        names = ["n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans"]
+            counts = [ranks.count(i) for i in range(4)]
+            rows.append((*counts[:3], digest, joined(spans), counts[3]))
+        names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"]
         return pd.DataFrame(rows, columns=names)
 
     found = df.select(F.col(id_col), scanned(F.col(text_col)).alias("_found"))
@@ -215,10 +231,22 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 MARK = "[SECRET]"
 
 
+def everywhere(text: str, spans) -> list[tuple[int, int, int]]:
+    """The spans, and wherever else the secrets in them stand: what a keyword is assigned, and strings
+    of the other kinds in whole. A copy in an ordinary place gives the secret away as well."""
+    out = list(spans)
+    for secret in {
+        (rank, ASSIGN.fullmatch(text, start, end)[2] if rank == 0 else text[start:end])
+        for start, rank, end in spans
+    }:
+        out += [(start, secret[0], end) for start, end in copies(text, secret[1])]
+    return out
+
+
 def redacted(text: str, spans) -> str:
-    """``text`` with each run of overlapping spans replaced by one mark."""
+    """``text`` with each run of overlapping spans, and of copies of them, replaced by one mark."""
     out, at = [], 0
-    for start, _, end in sorted(spans):
+    for start, _, end in sorted(everywhere(text, spans)):
         if start >= at:
             out += [text[at:start], MARK]
         at = max(at, end)
