@@ -86,19 +86,53 @@ CHECKS = {
 #: What a text must have for a pattern to match at all; spares most texts the pattern.
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
+PAIRS = "array<struct<gap:string,match:string>>"
+#: Matches that are walked together; not below REACH.
+BLOCK = 128
 
 
-def _spans(text: Column, rank: int, kind: str) -> Column:
-    """Spans of one kind: the pieces between matches give each match its place."""
-    pattern, base, near = KINDS[kind]
+def _pairs(text: Column, kind: str) -> Column:
+    """The matches of a kind, in blocks, each with the piece of text between it and the one before."""
+    pattern = KINDS[kind][0]
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+    pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
+    # The pattern runs over each text once more for the gaps, so only where it matches at all.
+    has = text.rlike(pattern)
+    if kind in NEEDS:
+        has = F.contains(text, F.lit(NEEDS[kind])) & has
+    return F.when(has, pairs).otherwise(F.array().cast(PAIRS))
+
+
+def _blocks(pairs: Column) -> Column:
+    numbers = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int"))
+    cut = F.transform(numbers, lambda i: F.slice(pairs, i * BLOCK + 1, BLOCK))
+    return F.when(F.size(pairs) > 0, cut).otherwise(F.array().cast(f"array<{PAIRS}>"))
+
+
+def _lengths(blocks: Column) -> Column:
+    """Characters of each block."""
+    length = lambda p: F.length(p["gap"]) + F.length(p["match"])
+    return F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, p: n + length(p)))
+
+
+def _tail(*parts: Column) -> Column:
+    return F.right(F.concat(*parts), F.lit(REACH))
+
+
+def _spans(blocks: Column, lengths: Column, rank: int, kind: str) -> Column:
+    """Spans of one kind, out of its matches in blocks.
+
+    A walk over a block adds up lengths and keeps the last REACH characters before each match, so
+    nothing is counted from the text's start. Blocks bound the walk, as an array is copied for each
+    element it grows by; a block takes its start from the lengths of those before it.
+    """
+    _, base, near = KINDS[kind]
 
     def walk(state: Column, pair: Column) -> Column:
         start = state["end"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        ahead = F.greatest(start - REACH, F.lit(0))
-        before = F.substring(text, ahead + 1, start - ahead)
+        before = _tail(state["tail"], pair["gap"])
         score = F.lit(base) + F.when(before.rlike(f"(?i){near}"), CONTEXT).otherwise(0.0)
         found = F.array(
             F.struct(
@@ -108,18 +142,21 @@ def _spans(text: Column, rank: int, kind: str) -> Column:
         ).cast(SPAN)
         good = CHECKS[kind](pair["match"]) & (score >= LEAST)
         kept = F.concat(state["spans"], F.when(good, found).otherwise(F.array().cast(SPAN)))
-        return F.struct(end.alias("end"), kept.alias("spans"))
+        tail = _tail(before, pair["match"])
+        return F.struct(end.alias("end"), tail.alias("tail"), kept.alias("spans"))
 
-    pairs = F.arrays_zip(
-        F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("match")
-    )
-    start = F.struct(F.lit(0).alias("end"), F.array().cast(SPAN).alias("spans"))
-    spans = F.aggregate(pairs, start, walk)["spans"]
-    # The pattern runs over each text once more for the gaps, so only where it matches at all.
-    has = text.rlike(pattern)
-    if kind in NEEDS:
-        has = F.contains(text, F.lit(NEEDS[kind])) & has
-    return F.when(has, spans).otherwise(F.array().cast(SPAN))
+    def of_block(block: Column, number: Column) -> Column:
+        end = F.aggregate(F.slice(lengths, 1, number), F.lit(0), lambda n, x: n + x)
+        # No match is empty, so the last REACH pairs of the block before hold all that is needed.
+        last = F.slice(F.get(blocks, F.greatest(number - 1, F.lit(0))), BLOCK - REACH + 1, REACH)
+        tail = F.aggregate(last, F.lit(""), lambda t, p: _tail(t, p["gap"], p["match"]))
+        first = F.struct(
+            end.alias("end"), F.when(number > 0, tail).otherwise("").alias("tail"),
+            F.array().cast(SPAN).alias("spans"),
+        )
+        return F.aggregate(block, first, walk)["spans"]
+
+    return F.flatten(F.transform(blocks, of_block))
 
 
 def _joined(spans: Column, *more: str) -> Column:
@@ -133,11 +170,16 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Spans of one kind are leftmost and never overlap; a match that fails its check is dropped and
     not tried again. Null texts count as empty; repeated rows and null ids keep a row each; other
-    columns are ignored. Work grows with the text alone and no row meets another.
+    columns are ignored. A text of any length is one row of one task; work grows in proportion to
+    the text and its matches, and no row meets another.
     """
-    rows = df.select(F.col(id_col), text_of(text_col).alias("_text"))
-    each = [_spans(F.col("_text"), i, kind) for i, kind in enumerate(KINDS)]
-    return rows.select(id_col, F.array_sort(F.concat(*each)).alias("pii"))
+    rows = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    # Step by step: each column is used more than once, and worked out once.
+    rows = rows.select("id", *(_pairs(F.col("text"), k).alias(k) for k in KINDS))
+    rows = rows.select("id", *(_blocks(F.col(k)).alias(k) for k in KINDS))
+    rows = rows.select("id", *KINDS, *(_lengths(F.col(k)).alias(f"{k}_lengths") for k in KINDS))
+    each = [_spans(F.col(k), F.col(f"{k}_lengths"), i, k) for i, k in enumerate(KINDS)]
+    return rows.select(F.col("id").alias(id_col), F.array_sort(F.concat(*each)).alias("pii"))
 
 
 def digest(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -147,9 +189,10 @@ def digest(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     base = F.filter(pii, lambda s: s["rank"] < len(BASE))
     return df.select(
         id_col,
-        *(count(kind).alias(f"n_{kind}") for kind in KINDS),
+        *(count(kind).alias(f"n_{kind}") for kind in BASE),
         F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
         _joined(pii).alias("spans"),
+        *(count(kind).alias(f"n_{kind}") for kind in KINDS if kind not in BASE),
         F.array_join(
             F.transform(pii, lambda s: F.format_number(s["score"], 2)), ","
         ).alias("scores"),

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import string
+import time
 import zlib
 
 import numpy as np
@@ -104,7 +105,8 @@ def test_novel_strings_in_a_sensitive_context_are_reported():
     assert secrets.scan(text, novelty) == [(start, 3, start + 40)]
     assert secrets.scan(f"the code is {key} end", novelty) == []  # nothing sensitive beside it
     assert secrets.scan("bearer client_id_configuration_parameter1 then", novelty) == []
-    assert secrets.scan(f"{key} and again token {key}", novelty) == []  # known from around
+    # A copy in an ordinary place makes it no less of a secret.
+    assert secrets.scan(f"{key} and again token {key}", novelty) == [(57, 3, 97)]
     assert secrets.redacted(text, secrets.scan(text, novelty)) == "authorization header Bearer [SECRET] end"
 
 
@@ -138,6 +140,25 @@ def test_secrets_stated_twice_are_reported_each_time(n):
     assert secrets.scan(words * 2, novelty) == []
 
 
+@pytest.mark.parametrize("n", [16, 40, 300])
+@pytest.mark.parametrize("gap", [0, 40, 250, 256, 400])
+def test_a_copy_in_an_ordinary_place_hides_no_secret_and_is_redacted(n, gap):
+    key, novelty = "Q7" + random_key(n - 2, 12), secrets.Novelty()
+    fill = ("and so on with the words of the line " * 12)[:gap]
+    for text in (f"id {key} end of line {fill}\nbearer {key}\n", f"bearer {key}\n{fill} id {key} end"):
+        found = secrets.scan(text, novelty)
+        assert {text[s:e] for s, _, e in found} == {key}
+        clean = secrets.redacted(text, found)
+        assert key not in clean and clean.count(secrets.MARK) == 2
+    assert secrets.redacted("password=abcdefghij123 or abcdefghij123", [(0, 0, 22)]) == "[SECRET] or [SECRET]"
+
+
+def test_a_name_that_stands_twice_is_no_secret():
+    novelty = secrets.Novelty()
+    line = "the token client_id_configuration_parameter is read from client_id_configuration_parameter\n"
+    assert secrets.scan(line * 3, novelty) == []
+
+
 @pytest.mark.parametrize("letters", [string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase])
 def test_secrets_of_letters_alone_are_reported(letters):
     novelty, lost = secrets.Novelty(), 0
@@ -269,3 +290,41 @@ def test_odd_rows_keep_a_row_each(odd, none, operator):
     out = operator(odd)
     assert sorted(map(str, (r[0] for r in out.collect()))) == sorted(str(r["doc_id"]) for r in odd.collect())
     assert operator(none).count() == 0
+
+
+def test_personal_data_in_long_texts_with_many_matches(documents):
+    """Matches on either side of the blocks' ends, with context words before some of them."""
+    r = random.Random(6)
+    email = lambda i: f"user{i}@mail{i % 7}.example.org"
+    numbers = lambda i: r.choice(["10.0.0.%d" % (i % 256), "+1 (555) 010-%04d" % i, "4111 1111 1111 1111", "host 1.2.3.4", "ssn 123-45-6789"])
+    long = " ".join(r.choice([email(i), numbers(i), "tëxt", "call me"]) for i in range(1500))
+    texts = [long, ",".join(email(i) for i in range(pii.BLOCK * 2 + 1)), ";".join(map(email, range(pii.BLOCK))), "é" + long]
+    rows = {x["doc_id"]: x["pii"] for x in pii.find_pii(documents(texts)).collect()}
+    for i, text in enumerate(texts):
+        by_kind = {}
+        for kind, (pattern, base, near) in pii.KINDS.items():
+            for m in re.finditer(pattern.replace(r"|\G", ""), text):
+                by_kind[kind, m.start(), m.end()] = base + 0.2 * bool(re.search(near, text[max(0, m.start() - 40) : m.start()], re.I))
+        found = {(s["kind"], s["start"], s["end"]): s["score"] for s in rows[i]}
+        assert len(found) == len(rows[i]) > 100
+        for key, score in found.items():
+            assert abs(by_kind[key] - score) < 1e-9
+        assert {k for k in by_kind if k[0] in ("email", "ip")} == {k for k in found if k[0] in ("email", "ip")}
+
+
+def test_work_on_personal_data_grows_with_the_text(documents):
+    def seconds(n):
+        df = documents([", ".join(f"user{i}@mail.example.org" for i in range(n))]).persist()
+        df.count()
+        start = time.perf_counter()
+        assert len(pii.find_pii(df).first()["pii"]) == n
+        return time.perf_counter() - start
+
+    seconds(4000)
+    assert seconds(32000) < 3 * seconds(16000) + 1
+
+
+def test_contract_columns_come_first(documents):
+    df = documents(["token = abcdefghij0123456789", "a@b.cd"])
+    assert secrets.find_secrets(df).columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    assert pii.digest(pii.find_pii(df)).columns[:7] == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
