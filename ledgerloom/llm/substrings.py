@@ -6,6 +6,7 @@ import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cached_property, reduce
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,6 @@ STEPS = (6, 1)
 #: A passage takes in the words beyond an edit that inserts, drops or replaces more words than this
 #: at a time only for more shared shingles than the edit costs.
 GAP = 4
-#: Below the least similarity by counts of aligned words that the shingles' own may still exceed.
-SLACK = 0.1
 #: Text bytes whose windows one task groups, on average.
 PART_BYTES = 16 << 20
 _SALT = 0xC2B2AE3D27D4EB4F
@@ -309,7 +308,8 @@ class Words:
 
     def __init__(self, own: list[bytes]) -> None:
         self.values = _word_values(own)
-        self.shingles = _joined(self.values).tolist()
+        self.numbers = _joined(self.values)
+        self.shingles = self.numbers.tolist()
 
     @cached_property
     def places(self) -> dict[int, list[int]]:
@@ -319,16 +319,57 @@ class Words:
             out.setdefault(value, []).append(i)
         return out
 
+    @cached_property
+    def before(self) -> np.ndarray:
+        """For each place, the one before it with the same shingle, or -1."""
+        order = np.argsort(self.numbers, kind="stable")
+        same = self.numbers[order[1:]] == self.numbers[order[:-1]]
+        out = np.full(len(order), -1)
+        out[order[1:][same]] = order[:-1][same]
+        return out
+
+    @cached_property
+    def once(self) -> np.ndarray:
+        """Whether no other place has the shingle."""
+        out = self.before < 0
+        out[self.before[self.before >= 0]] = False
+        return out
+
+
+class Side:
+    """One text of a pair: which of its shingles the other one has, and how far a passage can go."""
+
+    def __init__(self, text: Words, other: Words, limit: float) -> None:
+        self.before = text.before
+        self.shared = np.isin(text.numbers, other.numbers)
+        # Of a passage's shingles, those of one side only are at most (1 - limit) / limit times those
+        # of both. Here each side gives half of that for a shingle that the other text has, and
+        # takes one for a shingle that stands once and not in the other text at all.
+        gain = self.shared * ((1 - limit) / limit / 2) - (~self.shared & text.once)
+        self.level = np.concatenate([[0.0], np.cumsum(gain)])
+        self.least = np.minimum.accumulate(self.level)
+        self.most = np.maximum.accumulate(self.level[::-1])[::-1]
+
+    def counts(self, start: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct shingles of the words from ``start`` to each of the ``ends``, and how many of
+        them the other text has anywhere."""
+        last = np.maximum(ends - WIDTH - start, 0)
+        window = slice(start, start + int(last.max()) + 1)
+        new = self.before[window] < start
+        return np.cumsum(new)[last], np.cumsum(new & self.shared[window])[last]
+
 
 class Pair:
     """Two texts and the search for passages that they share."""
 
-    def __init__(self, a: Words, b: Words) -> None:
-        self.a, self.b = a.values, b.values
+    def __init__(self, a: Words, b: Words, limit: float = SIMILARITY) -> None:
+        self.a, self.b, self.limit = a.values, b.values, limit
         self.sa, self.sb = a.shingles, b.shingles
         self.first = a
+        self.sides = Side(a, b, limit), Side(b, a, limit)
         #: A passage with a larger edit has too few shared shingles for its similarity.
-        self.budget = math.ceil(min(len(self.a), len(self.b)) * (1 - SIMILARITY) / SIMILARITY)
+        self.budget = math.ceil(min(len(self.a), len(self.b)) * (1 - limit) / limit)
+        self.steps: dict[tuple[int, int, int], tuple[int, int, int, int, int] | None] = {}
 
     def beyond(self, i: int, j: int, step: int) -> tuple[int, int] | None:
         """Words between (i, j) and the nearest shared shingle in that direction, if the edit is
@@ -351,7 +392,33 @@ class Pair:
                 best, least = (p, q), p + q
         return best
 
-    def ends(self, i: int, j: int, step: int) -> np.ndarray:
+    def next_run(self, i: int, j: int, step: int):
+        """(i, j, shared, lost, paid) from the end of one run of equal words to that of the next; all
+        passages that come by here share it."""
+        key = i, j, step
+        if key not in self.steps:
+            edit = self.beyond(i, j, step)
+            if edit is None:
+                self.steps[key] = None
+            else:
+                k, m = i + step * edit[0], j + step * edit[1]
+                n = _run(self.a, self.b, k, m, step)
+                cost = sum(edit) + 2 * (WIDTH - 1)
+                paid = cost if max(edit) > GAP else 0
+                self.steps[key] = k + step * n, m + step * n, n - WIDTH + 1, cost, paid
+        return self.steps[key]
+
+    def hopeless(self, ac: int, bc: int, i: int, j: int, step: int) -> bool:
+        """Whether no passage around the place can reach (i, j), or end beyond it, by the levels."""
+        room = 0.0
+        for side, at, end in zip(self.sides, (ac, bc), (i, j)):
+            if step > 0:
+                room += side.most[min(max(end - WIDTH + 1, at), len(side.most) - 1)] - side.least[at]
+            else:
+                room += side.most[at + 1] - side.least[end]
+        return room < -1e-6
+
+    def ends(self, i: int, j: int, step: int, place: tuple[int, int]) -> np.ndarray:
         """Rows (i, j, shared, lost, paid): where a passage from (i, j) can end, after the first run
         of equal words, and after each further run of a shingle or more that follows an edit; words
         of the first run and shingles of the others; shingles that the edits cost, and of those what
@@ -359,15 +426,11 @@ class Pair:
         n = _run(self.a, self.b, i, j, step)
         out = [(i + step * n, j + step * n, n, 0, 0)]
         while True:
-            i, j, shared, lost, paid = out[-1]
-            edit = self.beyond(i, j, step)
-            if edit is None:
+            i, j, *sums = out[-1]
+            following = self.next_run(i, j, step)
+            if following is None or self.hopeless(*place, *following[:2], step):
                 return np.array(out, np.int64)
-            i, j = i + step * edit[0], j + step * edit[1]
-            n = _run(self.a, self.b, i, j, step)
-            cost = sum(edit) + 2 * (WIDTH - 1)
-            paid += cost if max(edit) > GAP else 0
-            out.append((i + step * n, j + step * n, shared + n - WIDTH + 1, lost + cost, paid))
+            out.append((*following[:2], *(x + y for x, y in zip(sums, following[2:]))))
 
     def similarity(self, i: int, k: int, j: int, m: int) -> float:
         """Jaccard similarity of the shingles of the words a[i:k] and b[j:m]."""
@@ -375,24 +438,45 @@ class Pair:
         both = len(a & b)
         return both / max(1, len(a) + len(b) - both)
 
-    def passage(self, ac: int, bc: int, least: int = LEAST, limit: float = SIMILARITY):
+    def passage(self, ac: int, bc: int, least: int = LEAST):
         """The passage (a_start, a_end, b_start, b_end) around a shingle at ac and bc, or None.
 
         It takes the run of equal words there and, on either side, the runs beyond as many edits as
         give it the most shared shingles, less what the large edits cost, with the similarity of all
-        of it within the limit.
+        of it within the limit. Ends are left out only where no similarity can be: the distinct
+        shingles of both stretches, and those of each that the other text has, are counted exactly.
         """
-        after, before = self.ends(ac, bc, 1), self.ends(ac, bc, -1)
-        size = np.minimum(*(after[None, :, x] - before[:, None, x] for x in (0, 1)))
-        if size[-1, -1] < least:
+        place = ac, bc
+        after, before = self.ends(ac, bc, 1, place), self.ends(ac, bc, -1, place)
+        if min(after[-1, :2] - before[-1, :2]) < least:
             return None
-        shared, lost, paid = (before[:, None, x] + after[None, :, x] for x in (2, 3, 4))
-        shared = shared - WIDTH + 1
-        lo, hi = np.nonzero((size >= least) & (shared >= (limit - SLACK) * (shared + lost)))
-        for at in np.argsort(-(shared - paid)[lo, hi], kind="stable").tolist():
-            (i, j), (k, m) = before[lo[at], :2].tolist(), after[hi[at], :2].tolist()
-            if lo[at] + hi[at] == 0 or self.similarity(i, k, j, m) >= limit:
-                return i, k, j, m
+        k, m = after[:, 0], after[:, 1]
+        gain = after[:, 2] - after[:, 4]
+
+        def best_of(x: int, below: tuple[int, int] | None = None):
+            """(score, index of the end) of the best stretch from start ``x``, or the next best."""
+            i, j = before[x, :2].tolist()
+            da, ua = self.sides[0].counts(i, k)
+            db, ub = self.sides[1].counts(j, m)
+            both = np.minimum(ua, ub)
+            score = gain + before[x, 2] - before[x, 4]
+            good = (np.minimum(k - i, m - j) >= least) & (both >= self.limit * (da + db - both))
+            if below is not None:
+                good &= (score < below[0]) | (score == below[0]) & (np.arange(len(k)) > below[1])
+            if not good.any():
+                return None
+            y = int(np.where(good, score, score.min() - 1).argmax())
+            return -int(score[y]), x, y
+
+        heap = [top for x in range(len(before)) if (top := best_of(x)) is not None]
+        heapify(heap)
+        while heap:
+            score, x, y = heappop(heap)
+            (i, j), end = before[x, :2].tolist(), (int(k[y]), int(m[y]))
+            if x + y == 0 or self.similarity(i, end[0], j, end[1]) >= self.limit:
+                return i, end[0], j, end[1]
+            if (top := best_of(x, (-score, y))) is not None:
+                heappush(heap, top)
         return None
 
 
