@@ -508,3 +508,87 @@ def test_passages_survive_edits_within_the_similarity(size, edits):
     place = next((60 + i, 60 + j) for i in range(size) for j in range(size) if line[i : i + 5] == copy[j : j + 5])
     spans, failed = substrings.verify(substrings.Words(a), b, {place}, 50)[:2]
     assert spans == [(60, 60 + size, 60, 60 + len(copy))] and not failed
+
+
+def clustered(n, width, centres, seed):
+    r = np.random.default_rng(seed)
+    middles = r.normal(0, 1, (centres, width)) * r.uniform(0.5, 3, (centres, 1))
+    return np.floor(64 * (middles[r.integers(0, centres, n)] + r.normal(0, 0.05, (n, width))))
+
+
+def test_the_tree_branches_and_most_of_it_is_never_scored():
+    points = clustered(8192, 16, 40, 1)
+    queries = points[::37]
+    ids = np.arange(len(points))
+    search = topk.Search(points, ids, ids, 20)
+    assert sum(c is not None for c in search.tree.children) > 60  # inner nodes are kept
+    q, p, s = search.best(queries, ids[::37], np.full(len(queries), -np.inf))
+    scores = queries @ points.T
+    scores[np.arange(len(queries)), ids[::37]] = -np.inf
+    for i in range(len(queries)):
+        order = np.lexsort((ids, -scores[i]))[:20]
+        assert p[q == i].tolist() == order.tolist() and s[q == i].tolist() == scores[i][order].tolist()
+    assert search.computed < search.full / 4
+
+
+def test_a_known_score_prunes_more():
+    points = clustered(4096, 8, 30, 2)
+    ids = np.arange(len(points))
+    queries, rows = points[:50], ids[:50]
+    plain, known = topk.Search(points, ids, ids, 5), topk.Search(points, ids, ids, 5)
+    q, _, s = plain.best(queries, rows, np.full(50, -np.inf))
+    floors = np.array([s[q == i].min() for i in range(50)])
+    again = known.best(queries, rows, floors)
+    assert [x.tolist() for x in again] == [x.tolist() for x in plain.best(queries, rows, np.full(50, -np.inf))]
+    assert known.computed < plain.computed
+
+
+def test_many_pairs_and_long_texts_are_verified_fast():
+    """A text of 20,000 words and a copy with words replaced, from sparsely to densely."""
+    import time
+
+    rng = random.Random(17)
+    own = [b"w%d" % rng.randrange(50_000) for _ in range(20_000)]
+    for share, covered in ((0.01, 1.0), (0.02, 0.95), (0.04, 0.5), (0.1, 0.0)):
+        copy = [b"x%d" % rng.randrange(10**6) if rng.random() < share else w for w in own]
+        places = {(i, i) for i in range(0, 19_990, 150) if own[i : i + 5] == copy[i : i + 5]}
+        start = time.perf_counter()
+        spans, _ = substrings.verify(substrings.Words(own), copy, places, 50)
+        assert time.perf_counter() - start < 1
+        inside = np.zeros(len(own), bool)
+        for low, high, *_ in spans:
+            inside[low:high] = True
+        assert inside.mean() >= covered
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_have_the_similarity_and_none_better_is_left_out(seed):
+    """Against all ends of runs around a place, by sets: the passage is the best of those within
+    the limit."""
+    rng = random.Random(seed)
+    few = seed % 2  # words that repeat much, or hardly
+    own = [b"w%d" % rng.randrange(25 if few else 4000) for _ in range(260)]
+    copy = []
+    for w in own:
+        kind = rng.random()
+        copy += [] if kind < 0.01 else [w, b"y%d" % rng.randrange(99)] if kind < 0.02 else [b"z"] if kind < 0.03 else [w]
+    pair = substrings.Pair(substrings.Words(own), substrings.Words(copy))
+    for ac in range(0, 255, 12):
+        for bc in [j for j in range(len(copy) - 4) if copy[j : j + 5] == own[ac : ac + 5]][:3]:
+            got = pair.passage(ac, bc, 50)
+            never = type("All", (substrings.Pair,), {"hopeless": lambda *_: False})(substrings.Words(own), substrings.Words(copy))
+            after, before = never.ends(ac, bc, 1, (ac, bc)), never.ends(ac, bc, -1, (ac, bc))
+            best = None
+            for i, j, *low in before.tolist():
+                for k, m, *high in after.tolist():
+                    score = low[0] + high[0] - low[2] - high[2]
+                    if min(k - i, m - j) >= 50 and pair.similarity(i, k, j, m) >= 0.8 and (best is None or score > best):
+                        best = score
+            if best is None:
+                assert got is None
+                continue
+            i, k, j, m = got
+            scores = {
+                (x[0], y[0]): x[2] + y[2] - x[4] - y[4] for x in before.tolist() for y in after.tolist()
+            }
+            assert scores[i, k] == best and pair.similarity(i, k, j, m) >= 0.8
