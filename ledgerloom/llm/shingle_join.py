@@ -34,6 +34,8 @@ LOAD = 6.5
 SMALL = 32
 #: Nodes of a chunk from which a signature leaves the chunk once, for the first of them.
 HOT = 64
+#: Nodes of several components from which a signature's are not compared one by one.
+CROWD = 16
 #: How often nodes that share too few signatures are left out before the others are compared.
 SIEVES = 2
 #: Shingles whose signatures one call works out together; texts that one step reads together.
@@ -213,32 +215,104 @@ def _sieved(rows: DataFrame, needs: DataFrame) -> DataFrame:
     return rows.join(again.where("low < high").select("sig"), "sig")
 
 
-def _cross_pairs(rows: DataFrame, needs: DataFrame) -> DataFrame:
+def _cross_pairs(
+    rows: DataFrame, nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
     """Distinct pairs a < b of nodes of different components, out of rows (sig, node, comp), that
-    include all linked ones.
+    include all linked ones, or others that connect them.
 
     A linked pair of different components shares ``need`` signatures at least, so one that is among
     all but ``need`` - 1 of either node's signatures. Taken from the rarest on, as all nodes order
-    them alike, these are the only ones that nodes are paired by, and signatures of many nodes are
-    left out wherever a node has others. Nodes of one component are never paired.
+    them alike, these are the only ones that nodes are paired by. Of a signature with more than
+    CROWD nodes even then, the nodes are told apart by what they lack of one of them, or have beyond
+    it (``_crowd_pairs``).
     """
     open_ = rows.groupBy("sig").agg(
         F.count("*").alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
     open_ = open_.where("low < high").select("sig", "times")
     own = Window.partitionBy("node")  # signatures of one text
-    rows = rows.join(open_, "sig").join(needs, "node")
+    rows = rows.join(open_, "sig").join(nodes.select("node", "need"), "node")
     rows = rows.withColumn("rank", F.row_number().over(own.orderBy("times", "sig")))
     rows = rows.withColumn("have", F.count("*").over(own)).where("rank <= have - need + 1")
     rows = checkpointed(rows.select("sig", "node", "comp"))
-    sides = checkpointed(rows.select("sig", "comp").distinct())
-    left = sides.withColumnRenamed("comp", "low")
-    right = sides.withColumnRenamed("comp", "high")
-    pairs = left.join(right, "sig").where("low < high")
-    a = rows.select("sig", F.col("comp").alias("low"), F.col("node").alias("x"))
-    b = rows.select("sig", F.col("comp").alias("high"), F.col("node").alias("y"))
-    pairs = pairs.join(a, ["sig", "low"]).join(b, ["sig", "high"])
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    size = rows.groupBy("sig").agg(F.count("*").alias("times"), F.min("node").alias("lead"))
+    small = rows.join(size.where(F.col("times").between(2, CROWD)).select("sig"), "sig")
+    small = checkpointed(small)
+    right = small.select("sig", F.col("node").alias("b"), F.col("comp").alias("other"))
+    pairs = small.join(right, "sig").where("node < b and comp <> other")
+    pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
+    crowds = rows.join(size.where(F.col("times") > CROWD).select("sig", "lead"), "sig")
+    crowds = checkpointed(crowds.select("lead", "node", "comp").distinct())
+    if crowds.isEmpty():
+        return pairs
+    return pairs.union(_crowd_pairs(crowds, nodes, width, percent)).distinct()
+
+
+def _crowd_pairs(crowds: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of nodes of different components out of rows (lead, node, comp): nodes of one lead.
+
+    Let a node's differences be the shingles that it or its lead has alone. Two nodes differ in those
+    that only one of them has among its own. Two that are linked with the lead are connected by it.
+    A node that is not, with d differences, and a linked one, with e differences, share more than
+    (e - c * (its size - the lead's size)) / 2 of them, and d less than the most that may be in one
+    only, where c is (1 - t) / (1 + t); it is at least one. So nodes meet by their rarest differences
+    alone, as many of them as one more than they need not share. In a crowd of near copies these
+    are the edits that a few of them have, not the text that all of them share.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of = lru_cache(64)(lambda data: shingle_set(plain_text(data), width))
+        out, size = [], 0
+        for batch in batches:
+            for lead, node, comp, p, q in zip(*(batch[c] for c in ("lead", "node", "comp", "p", "q"))):
+                first, own = of(p), shingle_set(plain_text(q), width)
+                keys = np.setxor1d(first, own, assume_unique=True)
+                d, both = len(keys), (len(first) + len(own) - len(keys)) // 2
+                near = 100 * both >= percent * (d + both)
+                # Twice the differences shared, times 100 + percent, is more than this.
+                twice = d * (100 + percent) - (100 - percent) * (len(own) - len(first))
+                index = d - max(1, twice // (2 * (100 + percent)) + 1) + 1
+                allowed = int(most_differences(np.array([len(own)]), percent)[0])
+                probe = 0 if near else d - max(1, d - allowed) + 1
+                out.append((keys.view(np.int64), lead, node, comp, d, probe, index, near))
+                size += d
+                if size > CHUNK:
+                    yield rows_of(out)
+                    out, size = [], 0
+        if out:
+            yield rows_of(out)
+
+    def rows_of(out: list[tuple]) -> pd.DataFrame:
+        keys, *rest = zip(*out)
+        sizes = [len(k) for k in keys]
+        names = ("lead", "node", "comp", "d", "probe", "index", "near")
+        frame = {"key": np.concatenate(keys)}
+        return pd.DataFrame(frame | {n: np.repeat(x, sizes) for n, x in zip(names, rest)})
+
+    left = nodes.select(F.col("node").alias("lead"), F.col("data").alias("p"))
+    right = nodes.select("node", F.col("data").alias("q"))
+    rows = crowds.where("lead <> node").join(right, "node").join(left, "lead")
+    rows = rows.mapInPandas(
+        run, "key long, lead long, node long, comp long, d long, probe long, index long, near boolean"
+    )
+    rows, path = shared_table(rows, True)
+    often = rows.groupBy("lead", "key").agg(F.count("*").alias("times")).where("times > 1")
+    own = Window.partitionBy("lead", "node")  # differences of one text
+    met = rows.join(often, ["lead", "key"])
+    met = met.withColumn("rank", F.row_number().over(own.orderBy("times", "key")))
+    met = met.withColumn("place", F.col("rank") + F.col("d") - F.count("*").over(own))
+    columns = ["lead", "key", "node", "comp"]
+    asks = met.where("place <= probe").select(columns)
+    told = met.where("place <= index").select(
+        "lead", "key", F.col("node").alias("other"), F.col("comp").alias("other_comp")
+    )
+    pairs = asks.join(told, ["lead", "key"]).where("node <> other and comp <> other_comp")
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    near = rows.where("near").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+    found = checkpointed(pairs.union(near).distinct())
+    dropped_table(nodes.sparkSession, path)
+    return found
 
 
 def linked(width: int = WIDTH, percent: int = PERCENT):
@@ -296,7 +370,7 @@ def node_links(nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     first = components(_verified(star, nodes, width, percent))
     named = rows.select("sig", "node").distinct().join(first, "node", "left")
     named = named.select("sig", "node", F.coalesce("root", "node").alias("comp"))
-    pairs = _cross_pairs(checkpointed(named), needs)
+    pairs = _cross_pairs(checkpointed(named), nodes, width, percent)
     dropped_table(spark, rows_path)
     more = _verified(pairs.join(star, ["a", "b"], "left_anti"), nodes, width, percent)
     return more.union(first.select(F.col("root").alias("a"), F.col("node").alias("b")))

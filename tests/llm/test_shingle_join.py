@@ -114,15 +114,19 @@ def test_components_equal_all_pairs(spark, documents, seed, lines):
     assert found(df) == plain_rows(rows)
 
 
-@pytest.mark.parametrize("hot, sieves", [(1, 0), (2, 1), (64, 5)])
-def test_signatures_of_many_sets_lose_no_link(documents, monkeypatch, hot, sieves):
-    """Chunks that hold back most of their rows, and more and fewer rounds of leaving nodes out."""
+@pytest.mark.parametrize("hot, sieves, crowd", [(1, 0, 1), (2, 1, 2), (64, 5, 4)])
+def test_signatures_of_many_sets_lose_no_link(documents, monkeypatch, hot, sieves, crowd):
+    """Chunks that hold back most of their rows, more and fewer rounds of leaving nodes out, and nodes
+    that nearly all meet by their differences."""
     rows = corpus(5, 150)
     rng = random.Random(8)
     base = " ".join(f"b{rng.randrange(500)}" for _ in range(120))
     rows += [(10_000 + i, edited(rng, base, 0.02)) for i in range(40)]
     monkeypatch.setattr(shingle_join, "HOT", hot)
     monkeypatch.setattr(shingle_join, "SIEVES", sieves)
+    monkeypatch.setattr(shingle_join, "CROWD", crowd)
+    rows += [(20_000 + i, edited(rng, base, 0.05)) for i in range(60)]
+    rows += [(30_000 + i, " ".join(base.split()[: 90 + i] + ["tail"] * i)) for i in range(30)]
     df = documents([t for _, t in rows], [i for i, _ in rows]).repartition(5)
     assert found(df) == plain_rows(rows)
 
