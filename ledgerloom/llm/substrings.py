@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    checkpointed, compressed_text, hashes, mixed, packed_counts, place, plain_text, text_of,
-    unpacked_counts, words,
+    checkpointed, compressed_text, dropped_table, hashes, mixed, packed_counts, place, plain_text,
+    shared_table, text_of, unpacked_counts, words,
 )
 from ledgerloom.llm.components import components
 
@@ -37,6 +37,9 @@ GAP = 4
 #: Text bytes whose windows one task groups, on average.
 PART_BYTES = 16 << 20
 _SALT = 0xC2B2AE3D27D4EB4F
+#: An odd number and its inverse modulo 2**64.
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
 def shingles(h: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -483,7 +486,10 @@ class Pair:
 def verify(a: Words, own: list[bytes], places, least: int):
     """Passages shared by two texts (the first one's numbers, the words of the second) around the
     places, and the places in none."""
-    pair = Pair(a, Words(own))
+    return verified_places(Pair(a, Words(own)), places, least)
+
+
+def verified_places(pair: Pair, places, least: int):
     spans, failed, tried = [], [], {}
     for ac, bc in sorted(places, key=lambda p: (p[1], p[0])):
         if any(s[0] <= ac < s[1] and s[2] <= bc < s[3] for s in spans):
@@ -509,24 +515,45 @@ def side_keys(own: list[bytes], at: int, context: int) -> list[int]:
     ]
 
 
-def step_keys(
-    own: list[bytes], at: int, reach: tuple[int, int], run: tuple[int, int], least: int, step: int
-) -> list[int]:
-    """Keys of the shingle at a place with the words on both sides that all passages of ``least``
-    words have that begin lo to lo + step - 1 words before it, for each lo.
+def prefix_sums(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by which the hash of any stretch of words is one subtraction, and the powers in them:
+    sums[high] - sums[low] * powers[high - low] is the same for equal words wherever they stand."""
+    powers = np.cumprod(np.full(len(h) + 1, _STEP)) * _BACK
+    # sums[n] = sum of h[i] * STEP**(n - 1 - i), by way of the powers' inverses.
+    inverse = np.cumprod(np.full(len(h) + 1, _BACK)) * _STEP
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * inverse[: len(h)], dtype=np.uint64)])
+    total[1:] *= powers[: len(h)]
+    return total, powers
 
-    Only those within ``reach`` words before and after, and only those that are not all within the
-    ``run`` of words that a partner shares.
+
+def step_keys(
+    sums: tuple[np.ndarray, np.ndarray], at: np.ndarray, reach: np.ndarray, run: np.ndarray, least: int,
+    step: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(key, index of the place): keys of the shingles at the places with the words on both sides that
+    all passages of ``least`` words have that begin lo to lo + step - 1 words before it, for each lo.
+
+    Only those within ``reach`` words before and after a place, and only those that are not all
+    within the ``run`` of words that a partner shares; both have a row for each place.
     """
-    out, total = [], least - WIDTH
-    for lo in range(0, total + 1, step):
-        hi = min(lo + step - 1, total)
-        if lo > reach[0] or total - hi > reach[1] or hi <= run[0] and total - lo <= run[1]:
-            continue
-        low, high = at - lo, at + WIDTH + total - hi
-        if low >= 0 and high <= len(own):
-            out.append(xxhash.xxh64_intdigest(b" ".join(own[low:high]), 1000 * step + lo))
-    return out
+    total = least - WIDTH
+    lo = np.arange(0, total + 1, step)[None, :]
+    hi = np.minimum(lo + step - 1, total)
+    before, after = (x[:, None] for x in reach.T)
+    run_before, run_after = (x[:, None] for x in run.T)
+    low, high = at[:, None] - lo, at[:, None] + WIDTH + total - hi
+    good = (lo <= before) & (total - hi <= after) & ~((hi <= run_before) & (total - lo <= run_after))
+    good &= (low >= 0) & (high < len(sums[0]))
+    place, column = np.nonzero(good)
+    low, high = low[place, column], high[place, column]
+    value = sums[0][high] - sums[0][low] * sums[1][high - low]
+    return mixed(value + (1000 * step + lo[0, column]).astype(np.uint64)), place
+
+
+def _stepped(of_b: int, sums, at, reach, run, least: int, step: int) -> list[np.ndarray]:
+    key, place = step_keys(sums, at, reach, run, least, step)
+    n = len(key)
+    return [np.ones(n, np.int64), np.full(n, of_b), key, at[place], reach[place, 0], reach[place, 1]]
 
 
 def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step: int) -> DataFrame:
@@ -545,27 +572,30 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step
     pairs = pairs.join(side("b"), F.col("b") == F.col("b_doc")).drop("b_doc")
     pairs = pairs.join(side("a"), F.col("a") == F.col("a_doc")).drop("a_doc")
 
-    def again(a: Words, own_a: list[bytes], own: list[bytes], places, failed, done: set):
-        """(kind, of the second text, key, place, reach before and after)"""
-        both, b_values = [], _word_values(own) if step else None
-        for ac, bc, *reach in places:
-            if context and (ac, bc) in failed:
+    def again(pair: Pair, own_a: list[bytes], own: list[bytes], sums_a, places, failed, done: set):
+        """Arrays (kind, of the second text, key, place, reach before and after)."""
+        both = []
+        for ac, bc, *reach in places if context else ():
+            if (ac, bc) in failed:
                 both += [(0, 1, k, bc, *reach[2:]) for k in side_keys(own, bc, context)]
                 if (0, ac) not in done:
                     both += [(0, 0, k, ac, *reach[:2]) for k in side_keys(own_a, ac, context)]
                     done.add((0, ac))
-            if step:
-                run = (
-                    _run(a.values, b_values, ac, bc, -1),
-                    _run(a.values, b_values, ac, bc, 1) - WIDTH,
-                )
-                keys = step_keys(own, bc, tuple(reach[2:]), run, least, step)
-                both += [(1, 1, k, bc, *reach[2:]) for k in keys]
-                if (1, ac, *reach[:2]) not in done:
-                    keys = step_keys(own_a, ac, tuple(reach[:2]), (-1, -1), least, step)
-                    both += [(1, 0, k, ac, *reach[:2]) for k in keys]
-                    done.add((1, ac, *reach[:2]))
-        return both
+        columns = [np.array(x) for x in zip(*both)] if both else [np.empty(0, np.int64)] * 6
+        columns[2] = columns[2].astype(np.uint64)
+        parts = [columns]
+        if step:
+            every = np.array(places, np.int64)
+            run = np.array(
+                [(_run(pair.a, pair.b, i, j, -1), _run(pair.a, pair.b, i, j, 1) - WIDTH) for i, j in every[:, :2]]
+            )
+            parts.append(_stepped(1, prefix_sums(hashes(own)), every[:, 1], every[:, 4:], run, least, step))
+            new = [i for i, p in enumerate(places) if (1, p[0], *p[2:4]) not in done]
+            done.update((1, p[0], *p[2:4]) for p in places)
+            first = every[new]
+            none = np.full((len(new), 2), -1)
+            parts.append(_stepped(0, sums_a, first[:, 0], first[:, 2:4], none, least, step))
+        return [np.concatenate(x) for x in zip(*parts)]
 
     @F.pandas_udf(
         "spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>, size_a long,"
@@ -580,13 +610,14 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step
             if last is None or a != last[0]:  # pairs come by their first text
                 plain = plain_text(a)
                 own_a = words(plain)
-                last = (a, Words(own_a), own_a, len(plain), set())
+                sums = prefix_sums(hashes(own_a)) if step else None
+                last = (a, Words(own_a), own_a, len(plain), set(), sums)
             own = words(plain_text(b))
             at = list(zip(*(x.tolist() for x in own_places)))
-            spans, failed = verify(last[1], own, {p[:2] for p in at}, least)
-            keys = again(last[1], last[2], own, at, set(failed), last[4])
-            kind, of_b, key, c, l, r = zip(*keys) if keys else ((),) * 6  # noqa: E741
-            key = np.array(key, np.uint64).view(np.int64)
+            pair = Pair(last[1], Words(own))
+            spans, failed = verified_places(pair, {p[:2] for p in at}, least)
+            kind, of_b, key, c, l, r = again(pair, last[2], own, last[5], at, set(failed), last[4])  # noqa: E741
+            key = key.view(np.int64)
             out.append(([dict(zip(names, map(int, s))) for s in spans], last[3], kind, of_b, key, c, l, r))
         return pd.DataFrame(out, columns=["spans", "size_a", "kind", "of_b", "key", "c", "l", "r"])
 
@@ -595,33 +626,38 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step
     return done.select("a", "b", "size", "v.*")
 
 
-def _again(checked: DataFrame) -> DataFrame:
-    """Rows (kind, key, doc, size, c, l, r), one for each key and place."""
-    names = ("kind", "of_b", "key", "c", "l", "r")
-    rows = F.explode(F.arrays_zip(*(F.col(n).alias(n) for n in names)))
-    rows = checked.select("a", "b", "size", "size_a", rows.alias("k"))
-    of = lambda a, b: F.when(F.col("k.of_b") == 1, F.col(b)).otherwise(F.col(a))
-    rows = rows.select(
-        "k.kind", "k.key", of("a", "b").alias("doc"), of("size_a", "size").alias("size"),
-        "k.c", "k.l", "k.r",
-    )
-    return rows.groupBy("kind", "key", "doc", "size", "c").agg(
-        F.max("l").alias("l"), F.max("r").alias("r")
-    )
+def _packed_again(checked: DataFrame, kind: int, least: int, parts: int) -> DataFrame:
+    """The places of one kind, of all checked pairs, as windows that only their key restricts.
 
-
-def _packed_again(again: DataFrame, least: int, parts: int) -> DataFrame:
-    """Places (key, doc, size, c, l, r) as windows that only their key restricts."""
+    A text's place that several pairs of a batch name is one window; those of further batches meet
+    as windows of one text do, without a link."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            w = {n: batch[n].to_numpy().astype(np.int64) for n in ("key", "doc", "size", "c", "l", "r")}
+            own = [np.asarray(x) == kind for x in batch["kind"]]
+            sizes = [int(x.sum()) for x in own]
+            if not sum(sizes):
+                continue
+            column = lambda n: np.concatenate([np.asarray(x, np.int64)[i] for x, i in zip(batch[n], own)])
+            w = {n: column(n) for n in ("key", "c", "l", "r")}
+            second = column("of_b") == 1
+            for name, a, b in (("doc", "a", "b"), ("size", "size_a", "size")):
+                first, other = (np.repeat(batch[x].to_numpy(np.int64), sizes) for x in (a, b))
+                w[name] = np.where(second, other, first)
+            order = np.lexsort((w["c"], w["doc"], w["key"]))
+            w = {n: x[order] for n, x in w.items()}
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([w[n][1:] != w[n][:-1] for n in ("key", "doc", "c")], axis=0)
+            start = np.flatnonzero(new)
+            l, r = (np.maximum.reduceat(w[n], start) for n in "lr")  # noqa: E741
+            w = {n: x[start] for n, x in w.items()}
+            zero = np.zeros(len(start), np.int64)
+            w |= {"l": w["c"] - l, "r": w["c"] + r, "before": zero, "after": zero - 1}
             w["key"] = w["key"].view(np.uint64)
-            zero = np.zeros(len(batch), np.int64)
-            w |= {"l": w["c"] - w["l"], "r": w["c"] + w["r"], "before": zero, "after": zero - 1}
             yield _packs({n: w[n] for n in WINDOW}, least, parts, False)
 
-    return again.mapInPandas(found, PACK_SCHEMA)
+    columns = ("a", "b", "size", "size_a", "kind", "of_b", "key", "c", "l", "r")
+    return checked.select(*columns).mapInPandas(found, PACK_SCHEMA)
 
 
 def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) -> DataFrame:
@@ -643,16 +679,20 @@ def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) ->
 
     def compared(packs: DataFrame, roomy: bool, context: int, step: int) -> DataFrame:
         links = _links(packs, least, roomy)
-        checked = checkpointed(_verified(links, texts, least, context, step))
+        checked, path = shared_table(_verified(links, texts, least, context, step), True)
         spans = checked.select("a", "b", F.explode("spans").alias("s")).select("a", "b", "s.*")
-        found.append(spans)
-        return _again(checked)
+        found.append(checkpointed(spans))
+        paths.append(path)
+        return checked
 
+    paths: list[str] = []
     packs = _signatures(rows.select("doc", "text", "size"), count, least, parts)
-    again = checkpointed(compared(packs, True, CONTEXTS[1], STEPS[0]))
-    compared(_packed_again(again.where("kind = 0"), least, parts), False, 0, 0)
-    again = compared(_packed_again(again.where("kind = 1"), least, parts), False, 0, STEPS[1])
-    compared(_packed_again(again, least, parts), False, 0, 0)
+    checked = compared(packs, True, CONTEXTS[1], STEPS[0])
+    compared(_packed_again(checked, 0, least, parts), False, 0, 0)
+    checked = compared(_packed_again(checked, 1, least, parts), False, 0, STEPS[1])
+    compared(_packed_again(checked, 1, least, parts), False, 0, 0)
+    for path in paths:
+        dropped_table(rows.sparkSession, path)
     return reduce(DataFrame.union, found)
 
 
