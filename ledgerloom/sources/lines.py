@@ -18,8 +18,11 @@ def read_lines(spark: SparkSession, path: "str | list[str]") -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", LINE)
 
 
-def fields(lines: DataFrame, picked: dict[str, Column], keep_line: bool = False) -> DataFrame:
-    """``arity`` and the picked expressions of every line; expressions refer to field(i).
+def fields(
+    lines: DataFrame, picked: dict[str, Column], keep_line: bool = False, arity: int | None = None
+) -> DataFrame:
+    """``arity`` and the picked expressions of every line; expressions refer to field(i). Given an
+    ``arity``, nothing is worked out for lines of another one, and all of it is NULL there.
 
     The one-element inline is deliberate. With a plain select, later filters are pushed below it
     and every condition and every output column would split and convert the line again; through
@@ -27,6 +30,8 @@ def fields(lines: DataFrame, picked: dict[str, Column], keep_line: bool = False)
     """
     split = lines.select(LINE, F.split(LINE, ",").alias("field"))
     struct = F.struct(F.size("field").alias(ARITY), *[c.alias(n) for n, c in picked.items()])
+    if arity is not None:
+        struct = F.when(F.size("field") == arity, struct)
     kept = [LINE] if keep_line else []
     return split.select(*kept, F.inline(F.array(struct)))
 

@@ -42,15 +42,28 @@ def write_result(
     return path
 
 
-def read_pairs(spark: SparkSession, path: str, kind: str = "double") -> DataFrame:
+def read_pairs(
+    spark: SparkSession, path: str, kind: str = "double", ordered: bool = False
+) -> DataFrame:
     """``key`` and ``value`` of a saved result, in lines of one pair or of a list of pairs; other
-    text raises."""
+    text raises. ``ordered`` sorts them as they were written: by part file, by the split of it and
+    by the line, whatever tasks read them."""
     line = F.trim(F.col("value"))
-    text = spark.read.text(path).where(F.length(line) > 0)
+    text = spark.read.text(path)
+    if ordered:
+        text = text.select(
+            "value", F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+    text = text.where(F.length(line) > 0)
     whole = line.startswith("[[") | (line == "[]")  # the older form: all pairs in one line
     listed = F.when(whole, line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
     pairs = F.from_json(listed, PAIRS, {"mode": "FAILFAST"})
-    exploded = text.select(F.explode(pairs).alias("pair"))
+    places = ["file", "block", "line"] if ordered else []
+    exploded = text.select(*places, F.posexplode(pairs).alias("place", "pair"))
+    if ordered:
+        exploded = exploded.orderBy(*places, "place")
     return exploded.select(
         F.trim(F.col("pair")[0]).alias("key"), F.col("pair")[1].cast(kind).alias("value")
     )

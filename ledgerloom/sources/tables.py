@@ -82,7 +82,8 @@ def parse(
     picked = {name: _READERS[kind](field(i)) for name, (i, kind) in wanted.items()}
     for name in checked:
         picked[name] = F.when(is_integer(field(table.fields[name][0])), True)
-    return fields(lines, picked).where(F.col(ARITY) == table.arity).select(*picked)
+    rows = fields(lines, picked, arity=table.arity)
+    return rows.where(F.col(ARITY) == table.arity).select(*picked)
 
 
 def parse_flagged(
@@ -96,7 +97,8 @@ def parse_flagged(
         picked[name] = field(i) if kind == TEXT else fitting(field(i), _TYPES[kind])
         if kind != TEXT:
             picked[f"{name}_form"] = is_integer(field(i))
-    return fields(lines, picked).where(F.col(ARITY) == table.arity).drop(ARITY)
+    rows = fields(lines, picked, arity=table.arity)
+    return rows.where(F.col(ARITY) == table.arity).drop(ARITY)
 
 
 def parse_tolerant(

@@ -161,6 +161,13 @@ def test_a_used_long_integer_raises_from_the_typed_copy(spark, lines, tmp_path):
     assert pick(load_table(spark, TRANSACTIONS, path + "2"), TRANSACTIONS, "value", "gas_used").count() == 1
 
 
+def test_a_long_integer_in_a_line_of_another_arity_does_not_raise(lines):
+    raw = lines(tx(value="7"), tx(value=LONG, ts=LONG, extra=1), tx(value=LONG).rsplit(",", 1)[0])
+    assert values(pick(raw, TRANSACTIONS, "value", "ts"), "value") == [7]
+    with pytest.raises(Exception, match="NUMERIC_"):
+        pick(lines(tx(value=LONG)), TRANSACTIONS, "value").collect()
+
+
 def test_typed_copies_of_no_lines_and_of_an_older_layout(spark, lines, tmp_path):
     none = lines("junk")
     save_table(none, TRANSACTIONS, str(tmp_path / "none"))
@@ -203,6 +210,22 @@ def test_result_keeps_order_limit_and_exact_integers(spark, tmp_path):
     assert sorted(int(r.key) for r in some.collect()) == [497, 498, 499]
 
 
+@pytest.mark.parametrize("split", [None, "64"])
+def test_a_result_is_read_back_in_the_order_it_was_written(spark, tmp_path, split):
+    df = spark.range(0, 400, 1, 8).select(
+        F.concat(F.lit("k"), F.pmod(F.col("id") * 7919, F.lit(400))).alias("key"), F.col("id").alias("value")
+    )
+    path = write_result(df, str(tmp_path), "r")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split or before)  # also where files are split
+    try:
+        saved = read_pairs(spark, path, "bigint", ordered=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(list(Path(path).glob("part*"))) == 8
+    assert [r["value"] for r in saved] == list(range(400))
+
+
 def test_empty_result(spark, tmp_path):
     df = spark.createDataFrame([], "k string, v double")
     path = write_result(df, str(tmp_path), "none")
