@@ -17,8 +17,8 @@ from ledgerloom.llm.common import (
 FOLDS = 10
 #: Of the training texts, those with this remainder tune the mixture weights.
 TUNING = 1
-#: Text bytes that one task holds at once, on average.
-CHUNK_BYTES = 16 << 20
+#: Text bytes and texts that one task holds at once, on average.
+CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 8192
 #: Context-frequency buckets: 0 for unseen contexts, then by the bits of the frequency.
 BUCKETS = 40
 #: Estimates are gathered in cells of this width in log2 for the maximisation; 0 is a cell apart.
@@ -183,6 +183,7 @@ def score_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     chunk_bytes: int = CHUNK_BYTES,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """One row per row of ``df``: its id, held_out, n_tokens, n_known, train_tokens, base_score and
     score, the model's log10 probability of the text with its end.
@@ -195,7 +196,7 @@ def score_texts(
     an empty table gives no rows; other columns are ignored. N-grams are told apart by 64-bit
     hashes.
 
-    Texts are dealt by hash to chunks of bounded size. A chunk asks for the counts of its distinct
+    Texts are dealt by hash to chunks of bounded size, in bytes and in rows. A chunk asks for the counts of its distinct
     n-grams only, packed by hash range, and each range answers every chunk in its order: what is
     shuffled is one packed number per distinct n-gram of a chunk, and a word that is in every text
     is as light as any other.
@@ -205,11 +206,11 @@ def score_texts(
         F.col(id_col).cast("string").alias("id"), text_of(text_col).alias("text"), (fold == 0).alias("held_out"),
         (fold != 0).alias("train"), (fold == TUNING).alias("tuning"),
     )
-    size, tuned = rows.agg(
-        F.sum(F.octet_length("text")), F.sum(F.when(F.col("tuning"), F.octet_length("text")))
-    ).first()
-    chunks = lambda n: max(1, math.ceil((n or 0) / chunk_bytes))
-    main, tune = chunks((size or 0) - (tuned or 0)), chunks(tuned)
+    sizes = rows.groupBy("tuning").agg(F.sum(F.octet_length("text")), F.count("*")).collect()
+    chunks = {
+        kind: max(1, math.ceil(size / chunk_bytes), math.ceil(n / chunk_rows)) for kind, size, n in sizes
+    }
+    main, tune = chunks.get(False, 1), chunks.get(True, 1)
     buckets = main + tune
     spread = F.xxhash64("id", "text")
     chunk = F.when(F.col("tuning"), main + F.pmod(spread, F.lit(tune))).otherwise(

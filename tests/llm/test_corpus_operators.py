@@ -592,3 +592,17 @@ def test_passages_have_the_similarity_and_none_better_is_left_out(seed):
                 (x[0], y[0]): x[2] + y[2] - x[4] - y[4] for x in before.tolist() for y in after.tolist()
             }
             assert scores[i, k] == best and pair.similarity(i, k, j, m) >= 0.8
+
+
+def test_many_tiny_texts_are_several_chunks(spark):
+    """50,000 empty rows and a few others: by bytes alone they would be one chunk."""
+    df = spark.range(50_000).selectExpr("id as doc_id", "case when id < 50 then 'a b c' end as text")
+    out = interpolation.score_texts(df)
+    assert out.count() == 50_000
+    # Every held-out and training chunk is a group: ten thousand rows or less in each.
+    plan = out._jdf.queryExecution().toString()
+    assert "pmod(xxhash64(id" in plan and ", 6)" in plan
+    few = df.where("doc_id < 2000")
+    assert sorted(map(tuple, interpolation.score_texts(few, chunk_rows=100).collect()), key=repr) == sorted(
+        map(tuple, interpolation.score_texts(few).collect()), key=repr
+    )
