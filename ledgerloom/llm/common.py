@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -51,6 +52,14 @@ def dropped_table(spark: SparkSession, path: str) -> None:
     """Removes a table that ``shared_table`` wrote and that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    free_shuffles(spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark removes shuffle files when the driver collects the frames they belong to; this asks for
+    it where large ones are done with."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

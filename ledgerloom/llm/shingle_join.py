@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    checkpointed, dropped_table, hashes, mixed, place, plain_text, shared_table, words,
+    checkpointed, dropped_table, free_shuffles, hashes, mixed, place, plain_text, shared_table, words,
 )
 from ledgerloom.llm.components import components
 
@@ -37,7 +37,10 @@ HOT = 64
 #: Nodes of several components from which a signature's are not compared one by one.
 CROWD = 16
 #: How often nodes that share too few signatures are left out before the others are compared.
-SIEVES = 2
+SIEVES = 1
+#: Bits of a signature that are shuffled. Strangers that share one by chance are told apart by the
+#: number of signatures they share.
+SIGNATURE_BITS = 48
 #: Shingles whose signatures one call works out together; texts that one step reads together.
 CHUNK, PIECE = 500_000, 1000
 _SALT = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
@@ -181,6 +184,7 @@ def _members(nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, str
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, sets in _chunks(batches, width):
             sigs, who, _ = part_enum(sets, percent)
+            sigs = sigs >> np.uint64(64 - SIGNATURE_BITS)
             order = np.lexsort((ids[who], sigs))
             sigs, own = sigs[order].view(np.int64), ids[who[order]]
             if not len(sigs):
@@ -428,6 +432,7 @@ def similar_documents(
     nodes, path = shared_table(
         nodes.withColumn("node", F.monotonically_increasing_id()), with_path=True
     )
+    free_shuffles(df.sparkSession)
     roots = components(node_links(nodes, width, percent))
     rooted = nodes.select("key", "node", "least").join(roots, "node", "left")
     rooted = checkpointed(rooted.select("key", "least", F.coalesce("root", "node").alias("root")))
