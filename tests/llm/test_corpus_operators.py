@@ -308,7 +308,7 @@ def test_an_overfull_bit_map_changes_nothing(spark, documents):
 
 def connection(sf):
     c = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "labels"):
         c.execute(f"create view {name} as select * from read_parquet('{sf}/{name}.parquet')")
     return c
 
