@@ -26,6 +26,10 @@ ROW_OVERHEAD = 64
 # first.
 DIRECT_LABELS = 8
 
+# Parts that the facts of every key are dealt into where they meet a large list; each row of the list
+# is sent to all of them. A key with a large share of the facts is that many sorts, not one.
+SPREAD = 8
+
 
 # A list that the planner estimates at more than this many times the limit is not measured at all.
 UNMEASURED = 4
@@ -125,9 +129,8 @@ def matched_totals(
       into the partial sums of the result; no fact row is shuffled;
     * small, some key with many labels: the keys are broadcast to drop unlisted facts, and facts
       are summed per key before they meet the labels;
-    * large, without labels: facts are shuffled once, by key, meet the one row of their key, and go
-      into the partial sums of the result. A key with a large share of the facts is split by
-      adaptive execution, as the sorted join reads straight from the exchange;
+    * large, without labels: facts are shuffled once, by key and one of SPREAD parts, meet the one row
+      of their key there, and go into the partial sums of the result;
     * large, with labels: facts are summed per key first, so a key with a large share of the facts
       and of the labels is a handful of rows by the time of the sorted join.
 
@@ -140,10 +143,12 @@ def matched_totals(
         if size is None and facts.key == key:
             return _bucketed_totals(facts, listed, amount, fact_keys, list_keys)
         facts = facts.all()
+    amounts = _amounts(facts, key, amount, fact_keys)
+    if size is None and not list_keys:
+        return _spread_totals(amounts, listed, key, fact_keys)
     copies = listed.groupBy(key, *list_keys).agg(F.count("*").alias("copies"))
     copies = F.broadcast(copies) if size is not None else copies.hint("merge")
-    amounts = _amounts(facts, key, amount, fact_keys)
-    direct = size.labels <= DIRECT_LABELS if size is not None else not list_keys
+    direct = size is not None and size.labels <= DIRECT_LABELS
     if not direct:
         if size is not None:
             amounts = amounts.join(F.broadcast(copies.select(key)), key, "left_semi")
@@ -153,7 +158,36 @@ def matched_totals(
 
 def _amounts(facts: DataFrame, key: str, amount: str, fact_keys: Sequence[str]) -> DataFrame:
     whole = F.col(amount).cast(INTEGER).alias("sum_amount")
-    return facts.select(key, *fact_keys, whole, F.lit(1).cast("bigint").alias("sum_rows"))
+    return facts.select(key, *fact_keys, whole)
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(amounts: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """Facts shuffled by key and ``sum_part``. A fact's part follows from its task and its values, so
+    neither a key that one task holds nor one with equal facts stays whole."""
+    dealt = F.xxhash64(F.spark_partition_id(), *values)
+    amounts = amounts.withColumn("sum_part", F.pmod(dealt, F.lit(SPREAD)).cast("int"))
+    return amounts.repartition(_partitions(amounts), key, "sum_part")
+
+
+def _spread_totals(
+    amounts: DataFrame, listed: DataFrame, key: str, fact_keys: Sequence[str]
+) -> DataFrame:
+    """A large list without labels meets the facts in parts of their keys.
+
+    The list's parts are shuffled before they are counted: ahead of the shuffle the counts of all
+    parts would fill a task's memory and merge next to nothing. Adaptive execution doesn't split
+    a key here, as the list is counted between its exchange and the join; nor may it put partitions
+    together, as it goes by packed bytes, and equal keys pack to a tenth of what a sort takes.
+    """
+    amounts = spread(amounts, key, [*fact_keys, "sum_amount"])
+    parts = F.explode(F.array(*[F.lit(i) for i in range(SPREAD)])).alias("sum_part")
+    dealt = listed.select(key, parts).repartition(_partitions(listed), key, "sum_part")
+    copies = dealt.groupBy(key, "sum_part").agg(F.count("*").alias("copies"))
+    return _joined_totals(amounts, copies.hint("merge"), [key, "sum_part"], fact_keys, summed=False)
 
 
 def _summed(amounts: DataFrame, key: str, fact_keys: Sequence[str]) -> DataFrame:
@@ -194,15 +228,16 @@ def _bucketed_totals(
 
 
 def _joined_totals(
-    amounts: DataFrame, copies: DataFrame, key: str, keys: Sequence[str], summed: bool
+    amounts: DataFrame, copies: DataFrame, on: str | list[str], keys: Sequence[str], summed: bool
 ) -> DataFrame:
     # Most keys are listed once; the test spares their rows a decimal multiplication.
     once = F.col("copies") == 1
     amount = known_sum(F.col("sum_amount")) if summed else F.col("sum_amount")
     repeated = (amount * F.col("copies")).cast(INTEGER)
-    return amounts.join(copies, key, "inner").groupBy(*keys).agg(
+    rows = F.col("sum_rows") * F.col("copies") if summed else F.col("copies")
+    return amounts.join(copies, on, "inner").groupBy(*keys).agg(
         F.sum(F.when(once, amount).otherwise(repeated)).alias("total"),
-        F.sum(F.col("sum_rows") * F.col("copies")).alias("n"),
+        F.sum(rows).alias("n"),
     )
 
 

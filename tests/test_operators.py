@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledger import averages, joined, sums
 from ledgerloom import operators as ops
+from ledgerloom.operators import joins
 
 
 def as_dict(df):
@@ -97,6 +98,23 @@ def test_matched_totals_equal_the_pairwise_join(spark, seed, fact_keys, list_key
     assert {tuple(r[k] for k in keys): int(r.n) for r in got} == expected_n
 
 
+def test_a_hot_key_is_dealt_into_parts_before_a_large_list(spark):
+    """Half of the facts share one key, a quarter of them all values; no partition gets a key's share."""
+    rows = [("" if i % 2 else f"0x{i}", i % 8 // 2, 1 if i % 4 == 1 else i) for i in range(8000)]
+    facts = spark.createDataFrame(rows, "address string, month int, value int")
+    dealt = joins.spread(facts, "address", ["month", "value"])
+    held = [r["count"] for r in dealt.where("address = ''").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 4000 and max(held) < 2500
+    listed = spark.createDataFrame([("",), ("",), ("0x2",), (None,)], "address string")
+
+    def totals(limit):
+        return ops.matched_totals(facts, listed, "address", "value", ["month"], broadcast_bytes=limit)
+
+    got = totals(0)
+    assert "sum_part" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, totals(None).collect()))
+
+
 def test_list_size_counts_rows_bytes_and_labels(spark):
     rows = [("a", 1), ("a", 2), ("a", 30), ("b", 1), ("", 1)]
     size = ops.list_size(spark.createDataFrame(rows, "k string, id int"), "k")
