@@ -472,13 +472,22 @@ def _sums(spark: SparkSession, sf: str) -> DataFrame:
     return ledger_sums(tx(spark, sf))
 
 
+def _halves(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Two exports, the lines up to 60 characters and the longer ones.
+
+    Through inline each line is put together once. A filter right above the export would be pushed
+    below it, and the line worked out again in it: one method too large for the compiler.
+    """
+    lines = tx(spark, sf).select(F.inline(F.array(F.struct("line"))))
+    short = F.length("line") <= 60
+    return {"short": lines.where(short), "long": lines.where(~short)}
+
+
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
-    """Sums of two exports, the lines up to 60 characters and the longer ones, saved and merged."""
+    """Sums of the two exports, saved and merged."""
     path = scratch(spark)
-    lines = tx(spark, sf)
-    short = F.length("line") <= 60
-    save_sums(lines.where(short), path, "short")
-    save_sums(lines.where(~short), path, "long")
+    for name, lines in _halves(spark, sf).items():
+        save_sums(lines, path, name)
     return load_sums(spark, path)
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime
 
 import pytest
 
+from checks.exports import transactions
+from checks.queries import _halves
 from ledger import block, contract, scam, tx
 from ledgerloom import plans
 from ledgerloom.plans.reports import NAMES, write_reports
@@ -158,3 +161,19 @@ def test_monthly_reports_of_a_typed_copy_with_long_integers(spark, lines, tmp_pa
     assert saved(spark, paths) == {"monthly_count": [("07/2015", 2.0)], "monthly_avg_gas_price": [("07 2015", 2.5)]}
     with pytest.raises(Exception, match="(?i)overflow|OUT_OF_RANGE"):
         write_reports(inputs, str(tmp_path / "out2"), ["monthly_count", "monthly_avg_value"])
+
+
+def test_lines_of_two_exports_are_put_together_once(spark, tmp_path):
+    rows = [
+        (i * 10 ** (i % 3 * 8), i % 9, i % 5, 1 + i % 7, float(i % 51), 10.0**(i % 8), i % 11 / 100, i % 9 / 100, "NAR"[i % 3],
+         datetime(2015, 8, 1 + i % 28)) for i in range(300)
+    ]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+    names += ", l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    halves = _halves(spark, str(tmp_path))
+    for half in halves.values():
+        assert half.count() and half._jdf.queryExecution().optimizedPlan().toString().count("concat_ws") == 1
+    whole = sorted(r[0] for r in transactions(spark, str(tmp_path)).collect())
+    assert sorted(r[0] for half in halves.values() for r in half.collect()) == whole
+    assert all((len(r[0]) <= 60) == (n == "short") for n, half in halves.items() for r in half.collect())
