@@ -10,6 +10,8 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,11 @@ STEPS = (6, 1)
 GAP = 4
 #: Text bytes whose windows one task groups, on average.
 PART_BYTES = 16 << 20
+#: Characters of the texts whose words one call splits, and of those whose windows one call lets
+#: meet; one longer text is a piece of its own.
+SPLIT_CHARS, PIECE_CHARS = 1 << 20, 6 << 20
+#: Keys by which windows meet again that one call lets meet; those of one pair are not cut.
+PIECE_KEYS = 500_000
 _SALT = 0xC2B2AE3D27D4EB4F
 #: An odd number and its inverse modulo 2**64.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -235,6 +242,23 @@ def _packs(windows: dict[str, np.ndarray], least: int, parts: int, roomy: bool)
     return pd.DataFrame(rows, columns=["kind", "part", "packs"])
 
 
+def cuts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches (low, high) of all rows in order, whose sizes sum up to ``most`` or that are one row."""
+    low, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > low and total + size > most:
+            yield low, i
+            low, total = i, 0
+        total += size
+    if len(sizes):
+        yield low, len(sizes)
+
+
+def pieces(batch: pd.DataFrame, chars: int) -> Iterator[pd.DataFrame]:
+    """The rows in order, in pieces whose sizes sum up to ``chars`` at most, or of one row."""
+    return (batch.iloc[low:high] for low, high in cuts(batch["size"].to_numpy(), chars))
+
+
 def _signatures(rows: DataFrame, count: int, least: int, parts: int) -> DataFrame:
     """Packed windows (kind 0) and links (kind 1) of the texts.
 
@@ -245,15 +269,14 @@ def _signatures(rows: DataFrame, count: int, least: int, parts: int) -> DataFram
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts_ = []
-            for low in range(0, len(batch), 1000):
-                part = batch.iloc[low : low + 1000]
-                at, key, *rest = windows_of(part["text"].tolist(), count, WIDTH, least)
-                doc, size = (part[x].to_numpy()[at].astype(np.int64) for x in ("doc", "size"))
-                parts_.append((key, doc, size, *rest))
-            if parts_:
-                own = dict(zip(WINDOW, (np.concatenate(x) for x in zip(*parts_))))
-                yield _packs(own, least, parts, True)
+            for part in pieces(batch, PIECE_CHARS):
+                own = []
+                for some in pieces(part, SPLIT_CHARS):
+                    at, key, *rest = windows_of(some["text"].tolist(), count, WIDTH, least)
+                    doc, size = (some[x].to_numpy()[at].astype(np.int64) for x in ("doc", "size"))
+                    own.append((key, doc, size, *rest))
+                whole = (np.concatenate(x) for x in zip(*own))
+                yield _packs(dict(zip(WINDOW, whole)), least, parts, True)
 
     return rows.mapInPandas(found, PACK_SCHEMA)
 
@@ -629,35 +652,43 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step
 def _packed_again(checked: DataFrame, kind: int, least: int, parts: int) -> DataFrame:
     """The places of one kind, of all checked pairs, as windows that only their key restricts.
 
-    A text's place that several pairs of a batch name is one window; those of further batches meet
+    A text's place that several pairs of a piece name is one window; those of further pieces meet
     as windows of one text do, without a link."""
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.asarray(x) == kind for x in batch["kind"]]
-            sizes = [int(x.sum()) for x in own]
-            if not sum(sizes):
-                continue
-            column = lambda n: np.concatenate([np.asarray(x, np.int64)[i] for x, i in zip(batch[n], own)])
-            w = {n: column(n) for n in ("key", "c", "l", "r")}
-            second = column("of_b") == 1
-            for name, a, b in (("doc", "a", "b"), ("size", "size_a", "size")):
-                first, other = (np.repeat(batch[x].to_numpy(np.int64), sizes) for x in (a, b))
-                w[name] = np.where(second, other, first)
-            order = np.lexsort((w["c"], w["doc"], w["key"]))
-            w = {n: x[order] for n, x in w.items()}
-            new = np.ones(len(order), bool)
-            new[1:] = np.any([w[n][1:] != w[n][:-1] for n in ("key", "doc", "c")], axis=0)
-            start = np.flatnonzero(new)
-            l, r = (np.maximum.reduceat(w[n], start) for n in "lr")  # noqa: E741
-            w = {n: x[start] for n, x in w.items()}
-            zero = np.zeros(len(start), np.int64)
-            w |= {"l": w["c"] - l, "r": w["c"] + r, "before": zero, "after": zero - 1}
-            w["key"] = w["key"].view(np.uint64)
-            yield _packs({n: w[n] for n in WINDOW}, least, parts, False)
+            counts = pa.compute.list_value_length(batch["kind"]).to_numpy(zero_copy_only=False)
+            for low, high in cuts(counts, PIECE_KEYS):
+                windows = again(batch.slice(low, high - low), counts[low:high])
+                if len(windows["key"]):
+                    packs = _packs(windows, least, parts, False)
+                    yield pa.RecordBatch.from_pandas(packs, schema, preserve_index=False)
+
+    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("packs", pa.list_(pa.binary()))])
+
+    def again(batch: pa.RecordBatch, counts: np.ndarray) -> dict[str, np.ndarray]:
+        flat = {n: batch[n].flatten().to_numpy() for n in ("kind", "of_b", "key", "c", "l", "r")}
+        own = flat["kind"] == kind
+        w = {n: flat[n][own].astype(np.int64) for n in ("key", "c", "l", "r")}
+        row, second = np.repeat(np.arange(len(batch)), counts)[own], flat["of_b"][own] == 1
+        for name, a, b in (("doc", "a", "b"), ("size", "size_a", "size")):
+            first, other = (batch[x].to_numpy()[row] for x in (a, b))
+            w[name] = np.where(second, other, first)
+        order = np.lexsort((w["c"], w["doc"], w["key"]))
+        w = {n: x[order] for n, x in w.items()}
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([w[n][1:] != w[n][:-1] for n in ("key", "doc", "c")], axis=0)
+        start = np.flatnonzero(new)
+        if len(start):
+            w["l"], w["r"] = (np.maximum.reduceat(w[n], start) for n in "lr")
+        w |= {n: w[n][start] for n in ("key", "doc", "size", "c")}
+        zero = np.zeros(len(start), np.int64)
+        w |= {"l": w["c"] - w["l"], "r": w["c"] + w["r"], "before": zero, "after": zero - 1}
+        w["key"] = w["key"].view(np.uint64)
+        return {n: w[n] for n in WINDOW}
 
     columns = ("a", "b", "size", "size_a", "kind", "of_b", "key", "c", "l", "r")
-    return checked.select(*columns).mapInPandas(found, PACK_SCHEMA)
+    return checked.select(*columns).mapInArrow(found, PACK_SCHEMA)
 
 
 def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -205,6 +206,14 @@ def test_no_repeated_passage_of_the_sample_is_lost(sample):
     assert len(set(spans) - shared) <= 0.05 * len(texts)  # near copies have no run that long
 
 
+def test_pieces_bound_the_texts_read_together():
+    sizes = [3, 4, 3, 1, 30, 0, 2, 9, 1]
+    batch = pd.DataFrame({"doc": range(9), "size": sizes})
+    cut = [p["doc"].tolist() for p in substrings.pieces(batch, 10)]
+    assert cut == [[0, 1, 2], [3], [4], [5, 6], [7, 8]]
+    assert not list(substrings.pieces(batch.iloc[:0], 10))
+
+
 def test_windows_without_room_leave_a_batch_only_as_firsts():
     """Half of the windows of one key extend to one side of the shingle, half to the other."""
     n = 400
