@@ -620,33 +620,38 @@ def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step
             parts.append(_stepped(0, sums_a, first[:, 0], first[:, 2:4], none, least, step))
         return [np.concatenate(x) for x in zip(*parts)]
 
-    @F.pandas_udf(
-        "spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>, size_a long,"
-        " kind array<int>, of_b array<int>, key array<long>, c array<long>, l array<long>, r array<long>"
+    names = ["a_start", "a_end", "b_start", "b_end"]
+    columns = ["a", "b", "size", "spans", "size_a", "kind", "of_b", "key", "c", "l", "r"]
+
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out, held, last = [], 0, None
+            for a, b, size, text_a, text_b, *own_places in zip(*(batch[n] for n in batch.columns)):
+                if last is None or text_a != last[0]:  # pairs come by their first text
+                    plain = plain_text(text_a)
+                    own_a = words(plain)
+                    sums = prefix_sums(hashes(own_a)) if step else None
+                    last = (text_a, Words(own_a), own_a, len(plain), set(), sums)
+                own = words(plain_text(text_b))
+                at = list(zip(*(x.tolist() for x in own_places)))
+                pair = Pair(last[1], Words(own))
+                spans, failed = verified_places(pair, {p[:2] for p in at}, least)
+                keys = again(pair, last[2], own, last[5], at, set(failed), last[4])
+                keys[2] = keys[2].view(np.int64)
+                out.append((a, b, size, [dict(zip(names, map(int, s))) for s in spans], last[3], *keys))
+                held += len(keys[2])
+                if held > PIECE_KEYS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out, held = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+
+    taken = pairs.select("a", "b", "size", "text_a", "text_b", *(F.col(f"places.{n}").alias(n) for n in place))
+    return taken.mapInPandas(
+        verified,
+        "a long, b long, size long, spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>, size_a long,"
+        " kind array<int>, of_b array<int>, key array<long>, c array<long>, l array<long>, r array<long>",
     )
-    def verified(
-        text_a: pd.Series, text_b: pd.Series, places: pd.Series, *columns: pd.Series
-    ) -> pd.DataFrame:
-        names = ["a_start", "a_end", "b_start", "b_end"]
-        out, last = [], None
-        for a, b, *own_places in zip(text_a, text_b, places, *columns):
-            if last is None or a != last[0]:  # pairs come by their first text
-                plain = plain_text(a)
-                own_a = words(plain)
-                sums = prefix_sums(hashes(own_a)) if step else None
-                last = (a, Words(own_a), own_a, len(plain), set(), sums)
-            own = words(plain_text(b))
-            at = list(zip(*(x.tolist() for x in own_places)))
-            pair = Pair(last[1], Words(own))
-            spans, failed = verified_places(pair, {p[:2] for p in at}, least)
-            kind, of_b, key, c, l, r = again(pair, last[2], own, last[5], at, set(failed), last[4])  # noqa: E741
-            key = key.view(np.int64)
-            out.append(([dict(zip(names, map(int, s))) for s in spans], last[3], kind, of_b, key, c, l, r))
-        return pd.DataFrame(out, columns=["spans", "size_a", "kind", "of_b", "key", "c", "l", "r"])
-
-    args = "text_a", "text_b", *(F.col(f"places.{n}") for n in place)
-    done = pairs.select("a", "b", "size", verified(*args).alias("v"))
-    return done.select("a", "b", "size", "v.*")
 
 
 def _packed_again(checked: DataFrame, kind: int, least: int, parts: int) -> DataFrame:
