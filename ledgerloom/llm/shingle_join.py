@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    checkpointed, dropped_table, free_shuffles, hashes, mixed, place, plain_text, shared_table, words,
+    checkpointed, dropped_table, hashes, mixed, place, plain_text, shared_table, words,
 )
 from ledgerloom.llm.components import components
 
@@ -173,8 +173,7 @@ def _chunks(batches, width: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]
 
 
 def _members(nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, str]:
-    """A table of rows (sig, node, least) of the signatures that several nodes have, and its path;
-    least is one of the nodes.
+    """A table of rows (sig, node) of the signatures that several nodes have, and its path.
 
     A signature that many nodes of a chunk have leaves the chunk once, for the first of them; the
     others go to groups of their own with it, so that a signature of a third of all sets is a few
@@ -192,44 +191,57 @@ def _members(nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, str
             start = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1]]))
             size = np.diff(start, append=len(sigs))
             hot = np.repeat(size > HOT, size)
-            first = np.repeat(own[start], size)
-            lead = pd.array(np.where(hot, first, 0), dtype="Int64")
-            lead[~hot] = pd.NA
-            again = start[size > HOT]
-            yield pd.DataFrame({"sig": sigs, "lead": lead, "node": own})
-            if len(again):
-                none = pd.array([pd.NA] * len(again), dtype="Int64")
-                yield pd.DataFrame({"sig": sigs[again], "lead": none, "node": own[again]})
-
-    rows = nodes.select("node", "data").mapInPandas(run, "sig long, lead long, node long")
+            lead = pd.array(np.repeat(own[start], size), dtype="Int64")
+            alone = ~hot
+            alone[start] = True
+            lead[alone] = pd.NA
+            yield pd.DataFrame({"sig": sigs, "lead": lead, "node": own, "hot": hot})
+
+    rows = nodes.select("node", "data").mapInPandas(run, "sig long, lead long, node long, hot boolean")
     group = Window.partitionBy("sig", "lead")
     rows = rows.withColumn("least", F.min("node").over(group))
     rows = rows.withColumn("most", F.max("node").over(group))
-    rows = rows.where(F.col("lead").isNotNull() | (F.col("least") < F.col("most")))
-    return shared_table(rows.select("sig", "node", F.coalesce("lead", "least").alias("least")), True)
+    rows = rows.where(F.col("hot") | (F.col("least") < F.col("most")))
+    return shared_table(rows.select("sig", "node"), True)
 
 
 def _sieved(rows: DataFrame, needs: DataFrame) -> DataFrame:
-    """The rows (sig, node, ...) of nodes that share as many signatures with others as each linked
-    set would share with them."""
+    """The rows (sig, node) of nodes that share as many signatures with others as each linked set
+    would share with them, and how many nodes have the signature."""
     enough = rows.groupBy("node").agg(F.count("*").alias("have")).join(needs, "node")
     enough = enough.where("have >= need").select("node")
-    rows = rows.join(enough, "node")
-    again = rows.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    return rows.join(again.where("low < high").select("sig"), "sig")
+    rows = rows.select("sig", "node").join(enough, "node")
+    again = rows.groupBy("sig").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("times")
+    )
+    return rows.join(again.where("low < high").select("sig", "times"), "sig")
+
+
+def _with_hubs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (sig, node) with the hub of each signature, one of its nodes.
+
+    Of near copies, the one with the least edits of its own has the signatures that most others have.
+    It is the most similar to all of them, and few differences from it are shared. So the hub is
+    the node whose signatures have the most nodes, by its size: the cosine of its set and all others.
+    """
+    weight = rows.groupBy("node").agg(F.sum("times").alias("total")).join(nodes.select("node", "n"), "node")
+    weight = weight.select("node", (F.col("total") / F.sqrt("n")).alias("weight"))
+    hubs = rows.join(weight, "node").groupBy("sig")
+    hubs = hubs.agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    return rows.select("sig", "node").join(hubs, "sig")
 
 
 def _cross_pairs(
     rows: DataFrame, nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
-    """Distinct pairs a < b of nodes of different components, out of rows (sig, node, comp), that
+    """Distinct pairs a < b of nodes of different components, out of rows (sig, node, comp, hub), that
     include all linked ones, or others that connect them.
 
     A linked pair of different components shares ``need`` signatures at least, so one that is among
     all but ``need`` - 1 of either node's signatures. Taken from the rarest on, as all nodes order
     them alike, these are the only ones that nodes are paired by. Of a signature with more than
-    CROWD nodes even then, the nodes are told apart by what they lack of one of them, or have beyond
-    it (``_crowd_pairs``).
+    CROWD nodes even then, the nodes are told apart by what they lack of its hub, or have beyond it
+    (``_crowd_pairs``).
     """
     open_ = rows.groupBy("sig").agg(
         F.count("*").alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")
@@ -239,15 +251,15 @@ def _cross_pairs(
     rows = rows.join(open_, "sig").join(nodes.select("node", "need"), "node")
     rows = rows.withColumn("rank", F.row_number().over(own.orderBy("times", "sig")))
     rows = rows.withColumn("have", F.count("*").over(own)).where("rank <= have - need + 1")
-    rows = checkpointed(rows.select("sig", "node", "comp"))
-    size = rows.groupBy("sig").agg(F.count("*").alias("times"), F.min("node").alias("lead"))
+    rows = checkpointed(rows.select("sig", "node", "comp", "hub"))
+    size = rows.groupBy("sig").agg(F.count("*").alias("times"))
     small = rows.join(size.where(F.col("times").between(2, CROWD)).select("sig"), "sig")
     small = checkpointed(small)
     right = small.select("sig", F.col("node").alias("b"), F.col("comp").alias("other"))
     pairs = small.join(right, "sig").where("node < b and comp <> other")
     pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
-    crowds = rows.join(size.where(F.col("times") > CROWD).select("sig", "lead"), "sig")
-    crowds = checkpointed(crowds.select("lead", "node", "comp").distinct())
+    crowds = rows.join(size.where(F.col("times") > CROWD).select("sig"), "sig")
+    crowds = checkpointed(crowds.select(F.col("hub").alias("lead"), "node", "comp").distinct())
     if crowds.isEmpty():
         return pairs
     return pairs.union(_crowd_pairs(crowds, nodes, width, percent)).distinct()
@@ -355,25 +367,27 @@ def node_links(nodes: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     similar pairs connect.
 
     Nodes that share too few signatures with any others have no partner. Of the rest, each first
-    meets the node that it shares the most signatures with, out of one for each signature; what that
-    links are components. Then nodes of different components are compared, by the rarest signatures
+    meets the node that it shares the most signatures with, out of the hubs of its signatures; what
+    that links are components. Then nodes of different components are compared, by the rarest signatures
     that they share. Each pair over the least similarity is compared or connected by other links.
     """
     spark = nodes.sparkSession
     needs = nodes.select("node", "need")
     members, path = _members(nodes, width, percent)
-    rows = members
+    rows = members.withColumn("times", F.lit(2))
     for _ in range(SIEVES):
         rows = _sieved(rows, needs)
-    rows, rows_path = shared_table(rows, True)
+    rows, sieved_path = shared_table(rows, True)
     dropped_table(spark, path)
-    partner = rows.where("node <> least").groupBy("node", "least").agg(F.count("*").alias("shared"))
-    partner = partner.groupBy("node").agg(F.max_by("least", F.struct("shared", "least")).alias("least"))
-    star = partner.select(F.least("node", "least").alias("a"), F.greatest("node", "least").alias("b"))
+    rows, rows_path = shared_table(_with_hubs(rows, nodes), True)
+    dropped_table(spark, sieved_path)
+    partner = rows.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("shared"))
+    partner = partner.groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+    star = partner.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     star = checkpointed(star.distinct())
     first = components(_verified(star, nodes, width, percent))
-    named = rows.select("sig", "node").distinct().join(first, "node", "left")
-    named = named.select("sig", "node", F.coalesce("root", "node").alias("comp"))
+    named = rows.join(first, "node", "left")
+    named = named.select("sig", "node", F.coalesce("root", "node").alias("comp"), "hub")
     pairs = _cross_pairs(checkpointed(named), nodes, width, percent)
     dropped_table(spark, rows_path)
     more = _verified(pairs.join(star, ["a", "b"], "left_anti"), nodes, width, percent)
@@ -405,7 +419,7 @@ def similar_documents(
     base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
 
-    def read(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for at in range(0, len(batch), PIECE):
@@ -415,24 +429,22 @@ def similar_documents(
                 key = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 columns = {"id": piece["id"], "key": pa.array(key, pa.binary())}
                 columns["n"] = pa.array([len(s) for s in sets], pa.int64())
-                if with_text:
-                    data = [compress(t.encode()) if k else None for k, t in zip(key, texts)]
-                    columns["data"] = pa.array(data, pa.binary())
-                    columns["need"] = pa.array(part_enum(sets, percent)[2], pa.int64())
-                out = pa.RecordBatch.from_pydict(columns)
-                yield out.filter(pa.compute.is_valid(out["key"])) if with_text else out
-
-    keyed = base.mapInArrow(lambda b: read(b, False), f"id {kind}, key binary, n long")
-    keyed = shared_table(keyed)
-    nodes = base.mapInArrow(lambda b: read(b, True), f"id {kind}, key binary, n long, data binary, need long")
-    nodes = nodes.groupBy("key").agg(
+                data = [compress(t.encode()) if k else None for k, t in zip(key, texts)]
+                columns["data"] = pa.array(data, pa.binary())
+                columns["need"] = pa.array(part_enum(sets, percent)[2], pa.int64())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    rows = base.mapInArrow(read, f"id {kind}, key binary, n long, data binary, need long")
+    rows, rows_path = shared_table(rows, with_path=True)
+    keyed = shared_table(rows.select("id", "key", "n"))
+    nodes = rows.where("key is not null").groupBy("key").agg(
         F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n", "need", "data"))
     )
     # Written before use: the numbers must not change when a task runs again.
     nodes, path = shared_table(
         nodes.withColumn("node", F.monotonically_increasing_id()), with_path=True
     )
-    free_shuffles(df.sparkSession)
+    dropped_table(df.sparkSession, rows_path)
     roots = components(node_links(nodes, width, percent))
     rooted = nodes.select("key", "node", "least").join(roots, "node", "left")
     rooted = checkpointed(rooted.select("key", "least", F.coalesce("root", "node").alias("root")))
