@@ -252,8 +252,11 @@ def _cross_pairs(
     rows = rows.withColumn("rank", F.row_number().over(own.orderBy("times", "sig")))
     rows = rows.withColumn("have", F.count("*").over(own)).where("rank <= have - need + 1")
     rows = checkpointed(rows.select("sig", "node", "comp", "hub"))
-    size = rows.groupBy("sig").agg(F.count("*").alias("times"))
-    small = rows.join(size.where(F.col("times").between(2, CROWD)).select("sig"), "sig")
+    size = rows.groupBy("sig").agg(
+        F.count("*").alias("times"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+    size = size.where("low < high")
+    small = rows.join(size.where(F.col("times") <= CROWD).select("sig"), "sig")
     small = checkpointed(small)
     right = small.select("sig", F.col("node").alias("b"), F.col("comp").alias("other"))
     pairs = small.join(right, "sig").where("node < b and comp <> other")
@@ -269,10 +272,15 @@ def _crowd_pairs(crowds: DataFrame, nodes: DataFrame, width: int, percent: int)
     """Pairs of nodes of different components out of rows (lead, node, comp): nodes of one lead.
 
     Let a node's differences be the shingles that it or its lead has alone. Two nodes differ in those
-    that only one of them has among its own. Two that are linked with the lead are connected by it.
-    A node that is not, with d differences, and a linked one, with e differences, share more than
-    (e - c * (its size - the lead's size)) / 2 of them, and d less than the most that may be in one
-    only, where c is (1 - t) / (1 + t); it is at least one. So nodes meet by their rarest differences
+    that only one of them has among its own. With d and e <= d differences, sizes n and m, and s
+    differences shared, they are linked if d + e - 2 * s <= c * (n + m), where c is (1 - t) / (1 + t).
+    Then n and m are not further apart than t, d - e is c * (n + m) at most, and
+
+    * s is e - m * (1 - t) / (2 * t) at least, and d less the most that may be in one set only;
+    * a node whose partner is not linked with the lead has more than half of its differences in s,
+      less c / 2 for each shingle that it has more than the lead.
+
+    Two that are linked with the lead are connected by it. Others meet by their rarest differences
     alone, as many of them as one more than they need not share. In a crowd of near copies these
     are the edits that a few of them have, not the text that all of them share.
     """
@@ -290,8 +298,9 @@ def _crowd_pairs(crowds: DataFrame, nodes: DataFrame, width: int, percent: int)
                 twice = d * (100 + percent) - (100 - percent) * (len(own) - len(first))
                 index = d - max(1, twice // (2 * (100 + percent)) + 1) + 1
                 allowed = int(most_differences(np.array([len(own)]), percent)[0])
-                probe = 0 if near else d - max(1, d - allowed) + 1
-                out.append((keys.view(np.int64), lead, node, comp, d, probe, index, near))
+                more = d - max(1, d - allowed) + 1
+                less = d - max(1, d - len(own) * (100 - percent) // (2 * percent)) + 1
+                out.append((keys.view(np.int64), lead, node, comp, len(own), d, less, more, index, near))
                 size += d
                 if size > CHUNK:
                     yield rows_of(out)
@@ -302,7 +311,7 @@ def _crowd_pairs(crowds: DataFrame, nodes: DataFrame, width: int, percent: int)
     def rows_of(out: list[tuple]) -> pd.DataFrame:
         keys, *rest = zip(*out)
         sizes = [len(k) for k in keys]
-        names = ("lead", "node", "comp", "d", "probe", "index", "near")
+        names = ("lead", "node", "comp", "n", "d", "less", "more", "index", "near")
         frame = {"key": np.concatenate(keys)}
         return pd.DataFrame(frame | {n: np.repeat(x, sizes) for n, x in zip(names, rest)})
 
@@ -310,7 +319,8 @@ def _crowd_pairs(crowds: DataFrame, nodes: DataFrame, width: int, percent: int)
     right = nodes.select("node", F.col("data").alias("q"))
     rows = crowds.where("lead <> node").join(right, "node").join(left, "lead")
     rows = rows.mapInPandas(
-        run, "key long, lead long, node long, comp long, d long, probe long, index long, near boolean"
+        run,
+        "key long, lead long, node long, comp long, n long, d long, less long, more long, index long, near boolean",
     )
     rows, path = shared_table(rows, True)
     often = rows.groupBy("lead", "key").agg(F.count("*").alias("times")).where("times > 1")
@@ -318,12 +328,18 @@ def _crowd_pairs(crowds: DataFrame, nodes: DataFrame, width: int, percent: int)
     met = rows.join(often, ["lead", "key"])
     met = met.withColumn("rank", F.row_number().over(own.orderBy("times", "key")))
     met = met.withColumn("place", F.col("rank") + F.col("d") - F.count("*").over(own))
-    columns = ["lead", "key", "node", "comp"]
-    asks = met.where("place <= probe").select(columns)
-    told = met.where("place <= index").select(
-        "lead", "key", F.col("node").alias("other"), F.col("comp").alias("other_comp")
+    columns = ["node", "comp", "n", "d", "index", "near", "place"]
+    # One with a linked partner only has its differences by ``index`` if it is linked itself.
+    known = "(not near or place <= index)"
+    large = met.where(f"place <= more and {known}").select("lead", "key", *columns)
+    small = met.where(f"place <= less and {known}")
+    small = small.select("lead", "key", *(F.col(c).alias(f"{c}_2") for c in columns)).withColumnRenamed("node_2", "other")
+    pairs = large.join(small, ["lead", "key"]).where(
+        "node <> other and comp <> comp_2 and d >= d_2 and not (near and near_2)"
+        " and (near_2 or place <= index) and (near or place_2 <= index_2)"
+        f" and 100 * least(n, n_2) >= {percent} * greatest(n, n_2)"
+        f" and {100 + percent} * (d - d_2) <= {100 - percent} * (n + n_2)"
     )
-    pairs = asks.join(told, ["lead", "key"]).where("node <> other and comp <> other_comp")
     pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     near = rows.where("near").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
     found = checkpointed(pairs.union(near).distinct())

@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import shingle_join
@@ -165,3 +166,47 @@ def test_a_third_of_all_rows_in_one_group_and_a_long_text(spark):
     assert (got[5000], got[5001], got[5002]) == (5000, 5000, 5002)
     sample = [rows[0], *rows[600:]]
     assert {i: c for i, _, c in plain_rows(sample[:-3])}.items() <= got.items()
+
+
+def compared(monkeypatch, df):
+    """The components, and how many pairs of texts were compared for them."""
+    counts = []
+    verified = shingle_join._verified
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(shingle_join, "_verified", counted)
+    return found(df), sum(counts)
+
+
+def test_far_copies_of_one_text_are_not_compared_with_each_other(documents, monkeypatch):
+    """Copies that meet in crowds are compared with few others each, and no link is lost."""
+    monkeypatch.setattr(shingle_join, "CROWD", 1)
+    rng = random.Random(21)
+    base = [f"h{i}" for i in range(150)]
+
+    def copy(words):
+        own = list(base)
+        for at in rng.sample(range(150), words):
+            own[at] = f"r{rng.randrange(10**9)}"
+        return " ".join(own)
+
+    texts = [copy(1) for _ in range(40)] + [copy(rng.randrange(4, 13)) for _ in range(160)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got, pairs = compared(monkeypatch, documents(texts).repartition(4))
+    assert got == plain_rows(rows)
+    assert pairs < 8 * len(texts)
+
+
+def test_each_signature_of_a_set_leaves_its_chunk_once(documents, monkeypatch):
+    """A text that stands first of many with a signature is no likelier to be taken for their hub."""
+    monkeypatch.setattr(shingle_join, "HOT", 3)
+    base = " ".join(f"m{i}" for i in range(60))
+    texts = [f"{base} end{i}" for i in range(30)]
+    data = [(i, zstandard.compress(t.encode())) for i, t in enumerate(texts)]
+    nodes = documents([]).sparkSession.createDataFrame(data, "node long, data binary").repartition(3)
+    rows = [tuple(r) for r in shingle_join._members(nodes, 5, 80)[0].select("sig", "node").collect()]
+    assert len(rows) == len(set(rows)) and {n for _, n in rows} == set(range(30))
