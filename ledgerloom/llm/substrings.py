@@ -5,14 +5,12 @@ from __future__ import annotations
 import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from functools import cached_property, reduce
+from functools import cached_property, lru_cache, reduce
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +41,15 @@ PART_BYTES = 16 << 20
 SPLIT_CHARS, PIECE_CHARS = 1 << 20, 6 << 20
 #: Keys by which windows meet again that one call lets meet; those of one pair are not cut.
 PIECE_KEYS = 500_000
+#: Words of the texts that a task of the verification keeps for further pairs, or works out keys of.
+KEPT_WORDS = 200_000
 _SALT = 0xC2B2AE3D27D4EB4F
 #: An odd number and its inverse modulo 2**64.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+#: Of each byte, whether it belongs to a word; its lower case plus one, which is never 0 in UTF-8.
+_IN_WORD = bytes(chr(x) not in " \t\n\r\x0b\x0c" for x in range(256))
+_LOWER = bytes((x + 1) % 256 for x in bytes(range(256)).lower())
 
 
 def shingles(h: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -70,13 +73,35 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def _nearest(values: np.ndarray, step: int) -> np.ndarray:
+    """Place of the nearest smaller value after each, or, with step -1, of the nearest one before it
+    that is no larger; counted from 1, with 0 and one more than there are for none."""
+    n = len(values)
+    own = np.concatenate([values[:1], values, values[:1]])
+    to = np.arange(n + 2) + step
+    left = np.arange(1, n + 1)
+    for _ in range(16):  # each place goes on to where the one that it has come to has come to
+        at = to[left]
+        low = own[at] >= own[left] if step > 0 else own[at] > own[left]
+        left = left[low & (at > 0) & (at <= n)]
+        to[left] = to[to[left]]
+    if len(left):  # a few have a long way; those nearer to where they go have come there before
+        own, to = own.tolist(), to.tolist()
+        for i in left[::-step].tolist():
+            at = to[i]
+            while 0 < at <= n and (own[at] >= own[i] if step > 0 else own[at] > own[i]):
+                at = to[at]
+            to[i] = at
+    return np.array(to[1:-1], np.int64)
+
+
 def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(centre, left, right) of the compact windows of at least ``least`` values, by centre:
     values[centre] is the least of left..right, of equals the first, and neither end can move out.
 
     They are the Cartesian tree's nodes with subtrees of that size. A node's value is the least of
-    some run of that length, and so is a smaller value beside it; one pass with a stack over those
-    values alone finds the ends of all windows.
+    some run of that length, and so is a smaller value beside it: those values alone have the ends of
+    all windows.
     """
     n = len(values)
     if n < least:
@@ -85,15 +110,9 @@ def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
     low = np.concatenate([pad, sliding_least(values, least), pad])
     greatest = ~sliding_least(~low, least)  # of the least values of the runs over each place
     centres = np.flatnonzero(values == greatest)
-    left, right = np.zeros(len(centres), np.int64), np.full(len(centres), n - 1, np.int64)
-    stack: list[int] = []
-    at, own = centres.tolist(), values[centres].tolist()
-    for i, value in enumerate(own):
-        while stack and own[stack[-1]] > value:
-            right[stack.pop()] = at[i] - 1
-        if stack:
-            left[i] = at[stack[-1]] + 1
-        stack.append(i)
+    at = np.concatenate([[-1], centres, [n]])
+    left = at[_nearest(values[centres], -1)] + 1
+    right = at[_nearest(values[centres], 1)] - 1
     keep = right - left + 1 >= least
     return centres[keep], left[keep], right[keep]
 
@@ -136,7 +155,7 @@ def windows_of(texts: list[str | None], count: int, width: int, least: int) -> l
 
 WINDOW = ("key", "doc", "size", "c", "l", "r", "before", "after")
 #: al, ar, bl, br: words beside the shingle that lie in the windows, as far as a shortest passage.
-LINK = ("a", "b", "ac", "bc", "size", "al", "ar", "bl", "br")
+LINK = ("a", "b", "ac", "bc", "al", "ar", "bl", "br")
 
 
 def meet(w: dict[str, np.ndarray], rows: np.ndarray, side: str, least: int, roomy: bool = True):
@@ -198,7 +217,7 @@ def meetings(w: dict[str, np.ndarray], side: str, least: int, roomy: bool):
 def _as_links(w: dict[str, np.ndarray], pairs: list[tuple], least: int) -> dict[str, np.ndarray]:
     none = np.empty(0, np.int64)
     a, b = (np.concatenate([none, *x]) for x in zip(*pairs, (none, none)))
-    out = {"a": w["doc"][a], "b": w["doc"][b], "ac": w["c"][a], "bc": w["c"][b], "size": w["size"][b]}
+    out = {"a": w["doc"][a], "b": w["doc"][b], "ac": w["c"][a], "bc": w["c"][b]}
     reach = [np.minimum(x, least - WIDTH) for x in (w["c"] - w["l"], w["r"] - w["c"])]
     return out | {"al": reach[0][a], "ar": reach[1][a], "bl": reach[0][b], "br": reach[1][b]}
 
@@ -281,8 +300,38 @@ def _signatures(rows: DataFrame, count: int, least: int, parts: int) -> DataFram
     return rows.mapInPandas(found, PACK_SCHEMA)
 
 
+def _by_pair(links: dict[str, np.ndarray]) -> pd.DataFrame:
+    """One row (a, b, places) for each pair of texts; places are bytes of two integers each, of bc and
+    ac by 32 bits and of the reaches by 16, in order."""
+    reach = reduce(lambda x, n: x << 16 | links[n], ("ar", "bl", "br"), links["al"])
+    columns = links["a"], links["b"], links["bc"] << 32 | links["ac"], reach
+    order = np.lexsort(columns[::-1])
+    a, b, place, reach = columns = tuple(x[order] for x in columns)
+    other = np.ones((2, len(a)), bool)  # another pair; another place
+    other[0, 1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    other[1, 1:] = other[0, 1:] | (place[1:] != place[:-1]) | (reach[1:] != reach[:-1])
+    a, b, place, reach = (x[other[1]] for x in columns)
+    start = np.flatnonzero(other[0, other[1]])
+    data = np.column_stack([place, reach]).astype("<i8").tobytes()
+    ends = [*start[1:].tolist(), len(a)]
+    packs = [data[16 * low : 16 * high] for low, high in zip(start.tolist(), ends)]
+    return pd.DataFrame({"a": a[start], "b": b[start], "places": pd.Series(packs, dtype=object)})
+
+
+def _places(packs: list[bytes]) -> np.ndarray:
+    """Rows (bc, ac, al, ar, bl, br) of a pair as columns, in order and each once."""
+    place, reach = rows = np.frombuffer(b"".join(packs), "<i8").reshape(-1, 2).T
+    if len(packs) > 1:
+        place, reach = rows = rows[:, np.lexsort((reach, place))]
+        new = np.ones(len(place), bool)
+        new[1:] = (place[1:] != place[:-1]) | (reach[1:] != reach[:-1])
+        place, reach = rows[:, new]
+    shifts = np.array([[48], [32], [16], [0]])
+    return np.concatenate([[place >> 32, place & 0xFFFFFFFF], reach >> shifts & 0xFFFF])
+
+
 def _links(packs: DataFrame, least: int, roomy: bool) -> DataFrame:
-    """Links (a, b, ac, bc, size, ...): text b has at bc the shingle that text a has at ac."""
+    """Rows (a, b, places) of linked texts: b has at bc the shingle that a has at ac."""
 
     def found(group: pd.DataFrame) -> pd.DataFrame:
         kind = group["kind"].to_numpy()
@@ -291,10 +340,9 @@ def _links(packs: DataFrame, least: int, roomy: bool) -> DataFrame:
         out = [_unpacked([p for p, k in zip(packs, kind) if k == 1], LINK)]
         for side in ("before", "after"):
             out.append(_as_links(windows, meetings(windows, side, least, roomy)[0], least))
-        rows = {name: np.concatenate([x[name] for x in out]) for name in LINK}
-        return pd.DataFrame(rows)
+        return _by_pair({name: np.concatenate([x[name] for x in out]) for name in LINK})
 
-    return packs.groupBy("part").applyInPandas(found, ", ".join(f"{n} long" for n in LINK))
+    return packs.groupBy("part").applyInPandas(found, "a long, b long, places binary")
 
 
 def _run(a: np.ndarray, b: np.ndarray, i: int, j: int, step: int) -> int:
@@ -314,9 +362,31 @@ def _run(a: np.ndarray, b: np.ndarray, i: int, j: int, step: int) -> int:
     return n
 
 
-def _word_values(own: list[bytes]) -> np.ndarray:
-    """A number for each word, the same for equal words within one process."""
-    return np.fromiter(map(hash, own), np.int64, len(own)).view(np.uint64)
+def prefix_sums(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by which the hash of any stretch of words is one subtraction, and the powers in them:
+    sums[high] - sums[low] * powers[high - low] is the same for equal words wherever they stand."""
+    n = len(h)
+    powers, inverse = _powers(1 << n.bit_length())
+    # sums[n] = sum of h[i] * STEP**(n - 1 - i), by way of the powers' inverses.
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(np.multiply(h, inverse[:n], dtype=np.uint64), out=total[1:])
+    total[1:] *= powers[:n]
+    return total, powers
+
+
+@lru_cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the step, and more than as many of its inverse."""
+    return np.cumprod(np.full(n + 1, _STEP)) * _BACK, np.cumprod(np.full(n + 1, _BACK)) * _STEP
+
+
+def word_values(text: bytes) -> np.ndarray:
+    """A number for each word of a text, as ``words`` cuts it; the same for equal ones."""
+    inside = np.frombuffer(b"\0" + text.translate(_IN_WORD) + b"\0", bool)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    low, high = edges[::2], edges[1::2]
+    sums, powers = prefix_sums(np.frombuffer(text.translate(_LOWER), np.uint8))
+    return mixed(sums[high] - sums[low] * powers[high - low])
 
 
 def _joined(h: np.ndarray) -> np.ndarray:
@@ -332,49 +402,97 @@ def _joined(h: np.ndarray) -> np.ndarray:
 class Words:
     """Numbers of a text's words and of its shingles."""
 
-    def __init__(self, own: list[bytes]) -> None:
-        self.values = _word_values(own)
+    def __init__(self, text: bytes | list[bytes], size: int = 0) -> None:
+        self.size = size
+        self.values = word_values(text if isinstance(text, bytes) else b" ".join(text))
         self.numbers = _joined(self.values)
-        self.shingles = self.numbers.tolist()
 
     @cached_property
-    def places(self) -> dict[int, list[int]]:
-        """Places of each shingle, in order."""
-        out: dict[int, list[int]] = {}
-        for i, value in enumerate(self.shingles):
-            out.setdefault(value, []).append(i)
-        return out
+    def places(self) -> tuple[list[int], list[int]]:
+        """Places by the rank of their shingle and in order, and where those of each rank begin."""
+        rank = self.ranks[1]
+        begin = np.cumsum(np.bincount(rank, minlength=1))
+        return np.argsort(rank, kind="stable").tolist(), [0, *begin.tolist()]
+
+    def starts(self, least: int) -> tuple[np.ndarray, int]:
+        """For each place, the first stretch of ``least`` shingles in which it is the first place of
+        its shingle; the fewest distinct shingles of any such stretch."""
+        if least not in self._starts:
+            own = self.ranks[2] + 1
+            own = np.maximum(own, np.arange(1 - least, len(own) + 1 - least))
+            begun = np.cumsum(np.bincount(own, minlength=len(own)))[: max(0, len(own) - least + 1)]
+            self._starts[least] = own, int((begun - np.arange(len(begun))).min(initial=len(own)))
+        return self._starts[least]
 
     @cached_property
-    def before(self) -> np.ndarray:
-        """For each place, the one before it with the same shingle, or -1."""
-        order = np.argsort(self.numbers, kind="stable")
-        same = self.numbers[order[1:]] == self.numbers[order[:-1]]
-        out = np.full(len(order), -1)
-        out[order[1:][same]] = order[:-1][same]
-        return out
+    def _starts(self) -> dict[int, tuple[np.ndarray, int]]:
+        return {}
 
     @cached_property
-    def once(self) -> np.ndarray:
-        """Whether no other place has the shingle."""
-        out = self.before < 0
-        out[self.before[self.before >= 0]] = False
-        return out
+    def ranks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct shingles in order; of each place the rank of its shingle among them, the place
+        before it with the same one, or -1, and minus one if no other place has it, or zero."""
+        order = np.argsort(self.numbers)
+        ordered = self.numbers[order]
+        new = np.ones(len(order) + 1, bool)
+        np.not_equal(ordered[1:], ordered[:-1], out=new[1:-1])
+        several = np.flatnonzero(~(new[:-1] & new[1:]))
+        if len(several):  # places of one shingle in order
+            own = np.sort(np.cumsum(new)[several] << 32 | order[several])
+            order[several] = own & 0xFFFFFFFF
+        rank, before = np.empty((2, len(order)), np.int64)
+        lone = np.empty(len(order))
+        rank[order] = np.cumsum(new[:-1]) - 1
+        before[order[:1]] = -1
+        before[order[1:]] = np.where(new[1:-1], -1, order[:-1])
+        lone[order] = -1.0 * (new[:-1] & new[1:])
+        return ordered[new[:-1]], rank, before, lone
 
 
 class Side:
     """One text of a pair: which of its shingles the other one has, and how far a passage can go."""
 
-    def __init__(self, text: Words, other: Words, limit: float) -> None:
-        self.before = text.before
-        self.shared = np.isin(text.numbers, other.numbers)
-        # Of a passage's shingles, those of one side only are at most (1 - limit) / limit times those
-        # of both. Here each side gives half of that for a shingle that the other text has, and
-        # takes one for a shingle that stands once and not in the other text at all.
-        gain = self.shared * ((1 - limit) / limit / 2) - (~self.shared & text.once)
-        self.level = np.concatenate([[0.0], np.cumsum(gain)])
-        self.least = np.minimum.accumulate(self.level)
-        self.most = np.maximum.accumulate(self.level[::-1])[::-1]
+    def __init__(self, text: Words, shared: np.ndarray, limit: float) -> None:
+        _, _, self.before, lone = text.ranks
+        self.text, self.shared = text, shared
+        self.lone, self.gain = lone, (1 - limit) / limit / 2
+
+    @cached_property
+    def level(self) -> np.ndarray:
+        """Of a passage's shingles, those of one side only are at most (1 - limit) / limit times those
+        of both. Here each side gives half of that for a shingle that the other text has, and takes
+        one for a shingle that stands once and not in the other text at all."""
+        level = np.zeros(len(self.shared) + 1)
+        np.cumsum(np.where(self.shared, self.gain, self.lone), out=level[1:])
+        return level
+
+    @cached_property
+    def least(self) -> np.ndarray:
+        return np.minimum.accumulate(self.level)
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        return np.maximum.accumulate(self.level[::-1])[::-1]
+
+    def foreign(self, at: np.ndarray, least: int) -> np.ndarray:
+        """For each place, the fewest distinct shingles that the other text does not have, of the
+        stretches of ``least`` shingles that hold it."""
+        n, own = len(self.shared), np.flatnonzero(~self.shared)
+        begun = np.cumsum(np.bincount(self.text.starts(least)[0][own], minlength=n))
+        ended = np.cumsum(~self.shared) - ~self.shared
+        count = np.full(n + least - 1, n)  # by the start of the stretch
+        count[least - 1 : n] = (begun - ended)[: n - least + 1]
+        return sliding_least(count, least)[at]
+
+    def room(self, at: np.ndarray, least: int) -> np.ndarray:
+        """For each place, the most that the level rises over a stretch of ``least`` shingles or more
+        that holds it."""
+        n = len(self.shared)
+        rise = np.full(n + least - 1, np.inf)  # by the start of the stretch, negative
+        rise[least - 1 : n] = self.level[: n - least + 1] - self.most[least:]
+        near = -sliding_least(rise, least)[at]
+        far = np.where(at >= least, self.most[at + 1] - self.least[np.maximum(at - least, 0)], -np.inf)
+        return np.maximum(near, far)
 
     def counts(self, start: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles of the words from ``start`` to each of the ``ends``, and how many of
@@ -385,37 +503,63 @@ class Side:
         return np.cumsum(new)[last], np.cumsum(new & self.shared[window])[last]
 
 
+def shared_shingles(a: Words, b: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text's places, whether the other text has their shingle anywhere; of each of those of
+    the second text, the rank of its shingle in the first one."""
+    (of_a, rank_a, *_), (of_b, rank_b, *_) = a.ranks, b.ranks
+    if not (len(of_a) and len(of_b)):
+        return np.zeros(len(rank_a), bool), np.zeros(len(rank_b), bool), rank_b[:0]
+    at = np.minimum(of_a.searchsorted(of_b), len(of_a) - 1)
+    both = of_a[at] == of_b
+    in_b = np.zeros(len(of_a), bool)
+    in_b[at[both]] = True
+    shared = both[rank_b]
+    return in_b[rank_a], shared, at[rank_b[shared]]
+
+
 class Pair:
     """Two texts and the search for passages that they share."""
 
     def __init__(self, a: Words, b: Words, limit: float = SIMILARITY) -> None:
         self.a, self.b, self.limit = a.values, b.values, limit
-        self.sa, self.sb = a.shingles, b.shingles
-        self.first = a
-        self.sides = Side(a, b, limit), Side(b, a, limit)
+        self.first, self.second = a, b
+        in_a, in_b, self.in_first = shared_shingles(a, b)
+        self.sides = Side(a, in_a, limit), Side(b, in_b, limit)
         #: A passage with a larger edit has too few shared shingles for its similarity.
         self.budget = math.ceil(min(len(self.a), len(self.b)) * (1 - limit) / limit)
         self.steps: dict[tuple[int, int, int], tuple[int, int, int, int, int] | None] = {}
 
+    @cached_property
+    def common(self) -> list[int]:
+        """Places of the second text whose shingles the first one has."""
+        return np.flatnonzero(self.sides[1].shared).tolist()
+
+    @cached_property
+    def ranks(self) -> list[int]:
+        """The ranks of their shingles in the first text."""
+        return self.in_first.tolist()
+
     def beyond(self, i: int, j: int, step: int) -> tuple[int, int] | None:
         """Words between (i, j) and the nearest shared shingle in that direction, if the edit is
         within the budget."""
         best, least = None, self.budget + 1
-        for q in range(self.budget + 1):
-            at = j + q if step > 0 else j - WIDTH - q
-            if q >= least or not 0 <= at < len(self.sb):
-                return best
-            places = self.first.places.get(self.sb[at])
-            if places is None:
-                continue
+        common, ranks, (places, begin) = self.common, self.ranks, self.first.places
+        x = bisect_left(common, j) if step > 0 else bisect_right(common, j - WIDTH) - 1
+        while 0 <= x < len(common):
+            at = common[x]
+            q = at - j if step > 0 else j - WIDTH - at
+            if q >= least:
+                break
+            low, high = begin[ranks[x]], begin[ranks[x] + 1]
             if step > 0:
-                k = bisect_left(places, i)
-                p = places[k] - i if k < len(places) else least
+                k = bisect_left(places, i, low, high)
+                p = places[k] - i if k < high else least
             else:
-                k = bisect_right(places, i - WIDTH)
-                p = i - WIDTH - places[k - 1] if k else least
+                k = bisect_right(places, i - WIDTH, low, high)
+                p = i - WIDTH - places[k - 1] if k > low else least
             if p + q < least:
                 best, least = (p, q), p + q
+            x += step
         return best
 
     def next_run(self, i: int, j: int, step: int):
@@ -460,10 +604,32 @@ class Pair:
 
     def similarity(self, i: int, k: int, j: int, m: int) -> float:
         """Jaccard similarity of the shingles of the words a[i:k] and b[j:m]."""
-        a, b = set(self.sa[i : k - WIDTH + 1]), set(self.sb[j : m - WIDTH + 1])
+        a = set(self.first.numbers[i : k - WIDTH + 1].tolist())
+        b = set(self.second.numbers[j : m - WIDTH + 1].tolist())
         both = len(a & b)
         return both / max(1, len(a) + len(b) - both)
 
+    def possible(self, ac: np.ndarray, bc: np.ndarray, least: int) -> np.ndarray:
+        """For each place, whether the levels of both texts, and the shingles near it that one text
+        lacks, let any passage hold it."""
+        least -= WIDTH - 1
+        if min(len(x.shared) for x in self.sides) < least:
+            return np.zeros(len(ac), bool)
+        # A passage has no more shared shingles than the texts, which leave room for few others: it is
+        # no smaller than the poorest stretch, and holds no stretch with more others.
+        n_shared = np.count_nonzero(np.bincount(self.in_first))
+        if any(n_shared < self.limit * x.text.starts(least)[1] - 1e-6 for x in self.sides):
+            return np.zeros(len(ac), bool)
+        spare = n_shared * (1 - self.limit) / self.limit + 1e-6
+        few = self.sides[1].foreign(bc, least)
+        if few.min(initial=spare) <= spare:
+            few = few + self.sides[0].foreign(ac, least)
+        few = few <= spare
+        if spare >= least and few.any():  # else the stretches near the places tell
+            i, j = ac[few], bc[few]
+            few[few] = self.sides[0].room(i, least) + self.sides[1].room(j, least) >= -1e-6
+        return few
+
     def passage(self, ac: int, bc: int, least: int = LEAST):
         """The passage (a_start, a_end, b_start, b_end) around a shingle at ac and bc, or None.
 
@@ -476,6 +642,8 @@ class Pair:
         after, before = self.ends(ac, bc, 1, place), self.ends(ac, bc, -1, place)
         if min(after[-1, :2] - before[-1, :2]) < least:
             return None
+        if len(after) + len(before) == 2:  # equal words alone
+            return int(before[0, 0]), int(after[0, 0]), int(before[0, 1]), int(after[0, 1])
         k, m = after[:, 0], after[:, 1]
         gain = after[:, 2] - after[:, 4]
 
@@ -494,14 +662,16 @@ class Pair:
             y = int(np.where(good, score, score.min() - 1).argmax())
             return -int(score[y]), x, y
 
-        heap = [top for x in range(len(before)) if (top := best_of(x)) is not None]
+        # An end before the place is looked into once no other one can have a higher score.
+        heap = [(-x, i, -1) for i, x in enumerate((before[:, 2] - before[:, 4] + gain.max()).tolist())]
         heapify(heap)
         while heap:
             score, x, y = heappop(heap)
-            (i, j), end = before[x, :2].tolist(), (int(k[y]), int(m[y]))
-            if x + y == 0 or self.similarity(i, end[0], j, end[1]) >= self.limit:
-                return i, end[0], j, end[1]
-            if (top := best_of(x, (-score, y))) is not None:
+            if y >= 0:
+                (i, j), end = before[x, :2].tolist(), (int(k[y]), int(m[y]))
+                if x + y == 0 or self.similarity(i, end[0], j, end[1]) >= self.limit:
+                    return i, end[0], j, end[1]
+            if (top := best_of(x, (-score, y) if y >= 0 else None)) is not None:
                 heappush(heap, top)
         return None
 
@@ -509,44 +679,44 @@ class Pair:
 def verify(a: Words, own: list[bytes], places, least: int):
     """Passages shared by two texts (the first one's numbers, the words of the second) around the
     places, and the places in none."""
-    return verified_places(Pair(a, Words(own)), places, least)
+    ac, bc = np.array(sorted(places, key=lambda p: (p[1], p[0])), np.int64).reshape(-1, 2).T
+    spans, failed = verified_places(Pair(a, Words(own)), ac, bc, least)
+    return spans, [*zip(ac[failed].tolist(), bc[failed].tolist())]
 
 
-def verified_places(pair: Pair, places, least: int):
-    spans, failed, tried = [], [], {}
-    for ac, bc in sorted(places, key=lambda p: (p[1], p[0])):
-        if any(s[0] <= ac < s[1] and s[2] <= bc < s[3] for s in spans):
+def verified_places(pair: Pair, ac: np.ndarray, bc: np.ndarray, least: int) -> tuple[list, np.ndarray]:
+    """Passages around places, by bc, and which of the places are in none that an earlier one has."""
+    spans, tried = [], {}
+    failed = np.ones(len(ac), bool)
+    for n in np.flatnonzero(pair.possible(ac, bc, least)).tolist():
+        if not failed[n]:
             continue
+        i, j = int(ac[n]), int(bc[n])
         # All places in one run of equal words lead to the same passage.
-        if bc >= tried.get(ac - bc, 0):
-            got = pair.passage(ac, bc, least)
+        if j >= tried.get(i - j, 0):
+            got = pair.passage(i, j, least)
             if got is not None:
                 spans.append(got)
+                inside = (got[0] <= ac[n:]) & (ac[n:] < got[1]) & (got[2] <= bc[n:]) & (bc[n:] < got[3])
+                failed[n:][inside] = False
                 continue
-            tried[ac - bc] = bc + _run(pair.a, pair.b, ac, bc, 1)
-        failed.append((ac, bc))
+            tried[i - j] = j + _run(pair.a, pair.b, i, j, 1)
     return spans, failed
 
 
-def side_keys(own: list[bytes], at: int, context: int) -> list[int]:
-    """Keys of the shingle at a place with ``context`` words on either side."""
-    sides = ((1, at, at + WIDTH + context), (2, at - context, at + WIDTH))
-    return [
-        xxhash.xxh64_intdigest(b" ".join(own[low:high]), side)
-        for side, low, high in sides
-        if low >= 0 and high <= len(own)
-    ]
-
-
-def prefix_sums(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums by which the hash of any stretch of words is one subtraction, and the powers in them:
-    sums[high] - sums[low] * powers[high - low] is the same for equal words wherever they stand."""
-    powers = np.cumprod(np.full(len(h) + 1, _STEP)) * _BACK
-    # sums[n] = sum of h[i] * STEP**(n - 1 - i), by way of the powers' inverses.
-    inverse = np.cumprod(np.full(len(h) + 1, _BACK)) * _STEP
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * inverse[: len(h)], dtype=np.uint64)])
-    total[1:] *= powers[: len(h)]
-    return total, powers
+def equal_words(
+    sums: tuple[np.ndarray, np.ndarray], i: np.ndarray, j: np.ndarray, most: np.ndarray, step: int
+) -> np.ndarray:
+    """How many words are equal from i and j on, or, with step -1, right before them; ``most`` at most."""
+    total, powers = sums
+    n, between = np.zeros(len(i), np.int64), total[i] - total[j]
+    for bit in range(int(most.max(initial=0)).bit_length())[::-1]:
+        more = n + (1 << bit)
+        m = np.where(more <= most, more, 0)
+        far = total[i + step * m] - total[j + step * m]
+        same = far == between * powers[m] if step > 0 else between == far * powers[m]
+        n = np.where(same & (more <= most), more, n)
+    return n
 
 
 def step_keys(
@@ -564,136 +734,189 @@ def step_keys(
     hi = np.minimum(lo + step - 1, total)
     before, after = (x[:, None] for x in reach.T)
     run_before, run_after = (x[:, None] for x in run.T)
-    low, high = at[:, None] - lo, at[:, None] + WIDTH + total - hi
     good = (lo <= before) & (total - hi <= after) & ~((hi <= run_before) & (total - lo <= run_after))
-    good &= (low >= 0) & (high < len(sums[0]))
     place, column = np.nonzero(good)
-    low, high = low[place, column], high[place, column]
+    low, high = at[place] - lo[0, column], at[place] + WIDTH + total - hi[0, column]
     value = sums[0][high] - sums[0][low] * sums[1][high - low]
     return mixed(value + (1000 * step + lo[0, column]).astype(np.uint64)), place
 
 
-def _stepped(of_b: int, sums, at, reach, run, least: int, step: int) -> list[np.ndarray]:
-    key, place = step_keys(sums, at, reach, run, least, step)
-    n = len(key)
-    return [np.ones(n, np.int64), np.full(n, of_b), key, at[place], reach[place, 0], reach[place, 1]]
+class Again:
+    """The windows by which the places of verified pairs meet again, by kind.
 
-
-def _verified(links: DataFrame, texts: DataFrame, least: int, context: int, step: int) -> DataFrame:
-    """Rows (a, b, spans, keys), one for each pair of linked texts.
-
-    keys: (kind, key, doc, size, c, l, r) by which windows meet again. Kind 0 has ``context`` words
-    on a side, for places in no passage; kind 1 has words on both sides, for all places where others
-    can share a passage that the partner lacks. The first text of a pair has those for all places:
-    whatever the others share with it and with no one else, they find it there.
+    Kind 0 has ``context`` words on a side, for places in no passage; kind 1 has words on both sides,
+    for all places where others can share a passage that the partner lacks. The first text of a
+    pair has those for all places: whatever the others share with it and with no one else, they find
+    it there. Without ``context`` or ``step`` there are none of that kind.
     """
-    place = ("ac", "bc", "al", "ar", "bl", "br")
-    pairs = links.groupBy("a", "b").agg(
-        F.collect_set(F.struct(*place)).alias("places"), F.first("size").alias("size")
-    )
+
+    def __init__(self, least: int, context: int, step: int) -> None:
+        self.least, self.context, self.step = least, context, step
+        self.cells = len(range(0, least - WIDTH + 1, step)) if step else 2
+        self.windows: tuple[list, list] = [], []
+        self.held = 0
+        self._new()
+
+    def _new(self) -> None:
+        self.rows: list[tuple] = []
+        self.starts: dict[int, int] = {}
+        self.texts: list[Words] = []
+        self.words = self.places = 0
+
+    def _start(self, text: Words) -> int:
+        if id(text) not in self.starts:
+            self.starts[id(text)] = self.words
+            self.texts.append(text)
+            self.words += len(text.values)
+        return self.starts[id(text)]
+
+    def add(
+        self, a: int, b: int, first: Words, second: Words, places: np.ndarray, failed: np.ndarray
+    ) -> None:
+        """Takes in a pair, its places as columns; their keys are worked out with those of others."""
+        if self.step or self.context and failed.any():
+            ends = (x for t in (first, second) for x in (self._start(t), len(t.values), t.size))
+            self.rows.append((places, failed, a, b, *ends))
+            self.places += len(failed)
+            if self.places * self.cells > PIECE_KEYS or self.words > KEPT_WORDS:
+                self.work()
+
+    def work(self) -> None:
+        """Works out the keys of all pairs taken in."""
+        if not self.rows:
+            return
+        places, failed, *pair = zip(*self.rows)
+        counts = [len(x) for x in failed]
+        places, failed = np.concatenate(places, axis=1), np.concatenate(failed)
+        places[:2] = places[1::-1].copy()  # ac, bc
+        a, b, *ends = (np.repeat(np.array(x, np.int64), counts) for x in pair)
+        sums = prefix_sums(np.concatenate([t.values for t in self.texts]))
+        i, j = places[0] + ends[0], places[1] + ends[3]
+        sides = (
+            (i, a, places[0], places[2:4], *ends[:3]),
+            (j, b, places[1], places[4:6], *ends[3:]),
+        )
+        reach = self.least - WIDTH
+        if self.step:
+            back = equal_words(sums, i, j, np.minimum(np.minimum(places[0], places[1]), reach), -1)
+            left = np.minimum(ends[1] - places[0], ends[4] - places[1])
+            on = equal_words(sums, i, j, np.minimum(left, self.least), 1) - WIDTH
+        for n, (at, doc, c, own, start, count, size) in enumerate(sides):
+            code = np.stack([at, *own])
+            if self.step:
+                # What a first text's places have depends on no partner: once is enough.
+                new = np.unique(code, axis=1, return_index=True)[1] if n == 0 else np.arange(len(at))
+                run = np.full((len(at), 2), -1) if n == 0 else np.stack([back, on], axis=1)
+                for low in range(0, len(new), max(1, PIECE_KEYS // self.cells)):
+                    some = new[low : low + max(1, PIECE_KEYS // self.cells)]
+                    key, which = step_keys(sums, at[some], own[:, some].T, run[some], self.least, self.step)
+                    self._keep(1, key, some[which], doc, size, c, own)
+            if self.context and failed.any():
+                some = np.flatnonzero(failed)
+                some = some[np.unique(at[some], return_index=True)[1]]
+                for side, before, after in ((1, 0, self.context), (2, self.context, 0)):
+                    fit = some[(c[some] >= before) & (c[some] + WIDTH + after <= count[some])]
+                    low, high = at[fit] - before, at[fit] + WIDTH + after
+                    value = sums[0][high] - sums[0][low] * sums[1][high - low]
+                    self._keep(0, mixed(value + np.uint64(side)), fit, doc, size, c, own)
+        self._new()
+
+    def _keep(self, kind: int, key, which, doc, size, c, reach) -> None:
+        if len(key):
+            own = (x[which] for x in (doc, size, c, *reach))
+            self.windows[kind].append((key, *own))
+            self.held += len(key)
+
+    def taken(self) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+        """(kind, windows) of all pairs taken in, which are dropped here. A text's place that several
+        pairs name is one window."""
+        self.work()
+        for kind, own in enumerate(self.windows):
+            if own:
+                key, doc, size, c, before, after = (np.concatenate(x) for x in zip(*own))
+                own.clear()
+                order = np.lexsort((c, doc, key))
+                key, doc, size, c, before, after = (x[order] for x in (key, doc, size, c, before, after))
+                new = np.ones(len(order), bool)
+                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (c[1:] != c[:-1])
+                start = np.flatnonzero(new)
+                before, after = (np.maximum.reduceat(x, start) for x in (before, after))
+                key, doc, size, c = (x[start] for x in (key, doc, size, c))
+                zero = np.zeros(len(start), np.int64)
+                yield kind, dict(zip(WINDOW, (key, doc, size, c, c - before, c + after, zero, zero - 1)))
+        self.held = 0
+
+
+SPAN = ("a", "b", "a_start", "a_end", "b_start", "b_end")
+#: Rows of a span, or of a pack of the windows of kind ``again``.
+CHECKED = pa.schema(
+    [("again", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("packs", pa.list_(pa.binary()))]
+    + [(n, pa.int64()) for n in SPAN]
+)
+
+
+def _verified(
+    links: DataFrame, texts: DataFrame, least: int, context: int, step: int, parts: int
+) -> DataFrame:
+    """Rows of ``CHECKED``: the passages of all pairs of linked texts, and the packed windows by which
+    their places meet again."""
+    pairs = links.groupBy("a", "b").agg(F.collect_list("places").alias("places"))
     side = lambda n: texts.select(F.col("doc").alias(f"{n}_doc"), F.col("text").alias(f"text_{n}"))
     pairs = pairs.join(side("b"), F.col("b") == F.col("b_doc")).drop("b_doc")
     pairs = pairs.join(side("a"), F.col("a") == F.col("a_doc")).drop("a_doc")
 
-    def again(pair: Pair, own_a: list[bytes], own: list[bytes], sums_a, places, failed, done: set):
-        """Arrays (kind, of the second text, key, place, reach before and after)."""
-        both = []
-        for ac, bc, *reach in places if context else ():
-            if (ac, bc) in failed:
-                both += [(0, 1, k, bc, *reach[2:]) for k in side_keys(own, bc, context)]
-                if (0, ac) not in done:
-                    both += [(0, 0, k, ac, *reach[:2]) for k in side_keys(own_a, ac, context)]
-                    done.add((0, ac))
-        columns = [np.array(x) for x in zip(*both)] if both else [np.empty(0, np.int64)] * 6
-        columns[2] = columns[2].astype(np.uint64)
-        parts = [columns]
-        if step:
-            every = np.array(places, np.int64)
-            run = np.array(
-                [(_run(pair.a, pair.b, i, j, -1), _run(pair.a, pair.b, i, j, 1) - WIDTH) for i, j in every[:, :2]]
-            )
-            parts.append(_stepped(1, prefix_sums(hashes(own)), every[:, 1], every[:, 4:], run, least, step))
-            new = [i for i, p in enumerate(places) if (1, p[0], *p[2:4]) not in done]
-            done.update((1, p[0], *p[2:4]) for p in places)
-            first = every[new]
-            none = np.full((len(new), 2), -1)
-            parts.append(_stepped(0, sums_a, first[:, 0], first[:, 2:4], none, least, step))
-        return [np.concatenate(x) for x in zip(*parts)]
-
-    names = ["a_start", "a_end", "b_start", "b_end"]
-    columns = ["a", "b", "size", "spans", "size_a", "kind", "of_b", "key", "c", "l", "r"]
-
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out, held, last = [], 0, None
-            for a, b, size, text_a, text_b, *own_places in zip(*(batch[n] for n in batch.columns)):
-                if last is None or text_a != last[0]:  # pairs come by their first text
-                    plain = plain_text(text_a)
-                    own_a = words(plain)
-                    sums = prefix_sums(hashes(own_a)) if step else None
-                    last = (text_a, Words(own_a), own_a, len(plain), set(), sums)
-                own = words(plain_text(text_b))
-                at = list(zip(*(x.tolist() for x in own_places)))
-                pair = Pair(last[1], Words(own))
-                spans, failed = verified_places(pair, {p[:2] for p in at}, least)
-                keys = again(pair, last[2], own, last[5], at, set(failed), last[4])
-                keys[2] = keys[2].view(np.int64)
-                out.append((a, b, size, [dict(zip(names, map(int, s))) for s in spans], last[3], *keys))
-                held += len(keys[2])
-                if held > PIECE_KEYS:
-                    yield pd.DataFrame(out, columns=columns)
-                    out, held = [], 0
-            if out:
-                yield pd.DataFrame(out, columns=columns)
-
-    taken = pairs.select("a", "b", "size", "text_a", "text_b", *(F.col(f"places.{n}").alias(n) for n in place))
-    return taken.mapInPandas(
-        verified,
-        "a long, b long, size long, spans array<struct<a_start:int,a_end:int,b_start:int,b_end:int>>, size_a long,"
-        " kind array<int>, of_b array<int>, key array<long>, c array<long>, l array<long>, r array<long>",
-    )
-
+    def out(spans: list[tuple], again: Again) -> Iterator[pa.RecordBatch]:
+        if spans:
+            rows = dict(zip(SPAN, zip(*spans)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[n], t) if n in rows else pa.nulls(len(spans), t)
+                 for n, t in zip(CHECKED.names, CHECKED.types)], schema=CHECKED,
+            )
+        for kind, windows in again.taken():
+            # Only their keys restrict these windows.
+            packs = _packs(windows, least, parts, False).assign(again=kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(packs[n], t) if n in packs else pa.nulls(len(packs), t)
+                 for n, t in zip(CHECKED.names, CHECKED.types)], schema=CHECKED,
+            )
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again, spans = Again(least, context, step), []
+        kept: dict[int, Words] = {}
+        n_kept = 0
+
+        def text(doc: int, data: pa.Scalar) -> Words:
+            """Texts stay for further pairs while there is room, the last ones longest."""
+            nonlocal n_kept
+            own = kept.pop(doc, None)
+            if own is None:
+                plain = plain_text(data.as_py())
+                own = Words(plain.encode(), len(plain))
+                n_kept += len(own.values)
+            kept[doc] = own
+            while n_kept > KEPT_WORDS and len(kept) > 2:
+                n_kept -= len(kept.pop(next(iter(kept))).values)
+            return own
 
-def _packed_again(checked: DataFrame, kind: int, least: int, parts: int) -> DataFrame:
-    """The places of one kind, of all checked pairs, as windows that only their key restricts.
-
-    A text's place that several pairs of a piece name is one window; those of further pieces meet
-    as windows of one text do, without a link."""
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = pa.compute.list_value_length(batch["kind"]).to_numpy(zero_copy_only=False)
-            for low, high in cuts(counts, PIECE_KEYS):
-                windows = again(batch.slice(low, high - low), counts[low:high])
-                if len(windows["key"]):
-                    packs = _packs(windows, least, parts, False)
-                    yield pa.RecordBatch.from_pandas(packs, schema, preserve_index=False)
-
-    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("packs", pa.list_(pa.binary()))])
-
-    def again(batch: pa.RecordBatch, counts: np.ndarray) -> dict[str, np.ndarray]:
-        flat = {n: batch[n].flatten().to_numpy() for n in ("kind", "of_b", "key", "c", "l", "r")}
-        own = flat["kind"] == kind
-        w = {n: flat[n][own].astype(np.int64) for n in ("key", "c", "l", "r")}
-        row, second = np.repeat(np.arange(len(batch)), counts)[own], flat["of_b"][own] == 1
-        for name, a, b in (("doc", "a", "b"), ("size", "size_a", "size")):
-            first, other = (batch[x].to_numpy()[row] for x in (a, b))
-            w[name] = np.where(second, other, first)
-        order = np.lexsort((w["c"], w["doc"], w["key"]))
-        w = {n: x[order] for n, x in w.items()}
-        new = np.ones(len(order), bool)
-        new[1:] = np.any([w[n][1:] != w[n][:-1] for n in ("key", "doc", "c")], axis=0)
-        start = np.flatnonzero(new)
-        if len(start):
-            w["l"], w["r"] = (np.maximum.reduceat(w[n], start) for n in "lr")
-        w |= {n: w[n][start] for n in ("key", "doc", "size", "c")}
-        zero = np.zeros(len(start), np.int64)
-        w |= {"l": w["c"] - w["l"], "r": w["c"] + w["r"], "before": zero, "after": zero - 1}
-        w["key"] = w["key"].view(np.uint64)
-        return {n: w[n] for n in WINDOW}
-
-    columns = ("a", "b", "size", "size_a", "kind", "of_b", "key", "c", "l", "r")
-    return checked.select(*columns).mapInArrow(found, PACK_SCHEMA)
+            pairs = zip(batch["a"].to_pylist(), batch["b"].to_pylist(), *(batch[n] for n in given[2:]))
+            for a, b, text_a, text_b, places in pairs:
+                first, second = text(a, text_a), text(b, text_b)
+                at = _places(places.as_py())
+                bc, ac = at[:2]
+                new = np.ones(len(bc), bool)
+                new[1:] = (bc[1:] != bc[:-1]) | (ac[1:] != ac[:-1])
+                found, failed = verified_places(Pair(first, second), ac[new], bc[new], least)
+                spans += [(a, b, *s) for s in found]
+                again.add(a, b, first, second, at, failed[np.cumsum(new) - 1])
+                if again.held > PIECE_KEYS or len(spans) > 10_000:
+                    yield from out(spans, again)
+                    spans = []
+        yield from out(spans, again)
+
+    given = ("a", "b", "text_a", "text_b", "places")
+    schema = ", ".join(f"{n} long" for n in SPAN)
+    return pairs.select(*given).mapInArrow(verified, f"again int, {PACK_SCHEMA}, {schema}")
 
 
 def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) -> DataFrame:
@@ -715,18 +938,20 @@ def shared_passages(rows: DataFrame, least: int = LEAST, count: int = HASHES) ->
 
     def compared(packs: DataFrame, roomy: bool, context: int, step: int) -> DataFrame:
         links = _links(packs, least, roomy)
-        checked, path = shared_table(_verified(links, texts, least, context, step), True)
-        spans = checked.select("a", "b", F.explode("spans").alias("s")).select("a", "b", "s.*")
-        found.append(checkpointed(spans))
+        checked, path = shared_table(_verified(links, texts, least, context, step, parts), True)
+        found.append(checkpointed(checked.where(F.col("a").isNotNull()).select(*SPAN)))
         paths.append(path)
         return checked
 
+    def again(checked: DataFrame, kind: int) -> DataFrame:
+        return checked.where(F.col("again") == kind).select("kind", "part", "packs")
+
     paths: list[str] = []
     packs = _signatures(rows.select("doc", "text", "size"), count, least, parts)
     checked = compared(packs, True, CONTEXTS[1], STEPS[0])
-    compared(_packed_again(checked, 0, least, parts), False, 0, 0)
-    checked = compared(_packed_again(checked, 1, least, parts), False, 0, STEPS[1])
-    compared(_packed_again(checked, 1, least, parts), False, 0, 0)
+    compared(again(checked, 0), False, 0, 0)
+    checked = compared(again(checked, 1), False, 0, STEPS[1])
+    compared(again(checked, 1), False, 0, 0)
     for path in paths:
         dropped_table(rows.sparkSession, path)
     return reduce(DataFrame.union, found)

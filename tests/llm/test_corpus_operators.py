@@ -615,3 +615,70 @@ def test_many_tiny_texts_are_several_chunks(spark):
     assert sorted(map(tuple, interpolation.score_texts(few, chunk_rows=100).collect()), key=repr) == sorted(
         map(tuple, interpolation.score_texts(few).collect()), key=repr
     )
+
+
+def test_places_that_no_passage_can_hold_are_not_searched(monkeypatch):
+    """Two texts share 60 lines of 9 words, each between 30 words of their own, which one repeats."""
+    filler = [w.encode() for w in prose(30, 9000)]
+    lines = [[w.encode() for w in prose(9, 9100 + i)] for i in range(60)]
+    a = [w for line in lines for w in filler + line]
+    b = [w for i, line in enumerate(lines) for w in [x.encode() for x in prose(30, 9200 + i)] + line]
+    places = {(39 * i + 30 + j, 39 * i + 30 + j) for i in range(60) for j in range(5)}
+    searched, search = [], substrings.Pair.passage
+    monkeypatch.setattr(substrings.Pair, "passage", lambda *x: searched.append(x) or search(*x))
+    spans, failed = substrings.verify(substrings.Words(a), b, places, 50)
+    assert not spans and set(failed) == places and not searched
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_places_left_unsearched_are_in_no_passage(seed):
+    """Texts of lines, whole and edited: each place of a shared shingle is searched all the same."""
+    rng = random.Random(seed)
+    lines = [[b"w%d" % rng.randrange(12 if seed % 3 == 0 else 900) for _ in range(18)] for _ in range(9)]
+    a, b = ([w for _ in range(9) for w in rng.choice(lines)] for _ in range(2))
+    b = a[30:150] + b if seed % 2 else b
+    b = [b"z" if rng.random() < 0.02 else w for w in b]
+    pair = substrings.Pair(substrings.Words(a), substrings.Words(b))
+    at = [(i, j) for i in range(len(a) - 4) for j in range(len(b) - 4) if a[i : i + 5] == b[j : j + 5]]
+    possible = pair.possible(*np.array(at, np.int64).reshape(-1, 2).T, 50)
+    found = np.array([pair.passage(i, j, 50) is not None for i, j in at], bool)
+    assert not (found & ~possible).any()
+
+
+def test_places_of_a_pair_are_packed_once():
+    rng = np.random.default_rng(3)
+    rows = {n: rng.integers(0, 4, 300) for n in substrings.LINK}
+    rows["a"][:100] = -(2**62)
+    packed = [substrings._by_pair({n: x[part::2] for n, x in rows.items()}) for part in (0, 1)]
+    got = set()
+    pairs = {(a, b) for p in packed for a, b in zip(p["a"], p["b"])}
+    for a, b in pairs:
+        own = substrings._places([x for p in packed for x in p.loc[(p["a"] == a) & (p["b"] == b), "places"]])
+        columns = list(map(tuple, own.T.tolist()))
+        assert columns == sorted(set(columns))
+        got |= {(a, b, ac, bc, *reach) for bc, ac, *reach in columns}
+    assert got == set(zip(*(rows[n].tolist() for n in substrings.LINK)))
+
+
+def test_windows_meet_again_by_equal_words_alone():
+    """A place's keys of a step stand for the words around it, wherever the text lies in a piece; the
+    words that a partner shares have none."""
+    line = [w.encode() for w in prose(60, 9500)]
+    texts = [[b"x%d_%d" % (i, j) for j in range(20 + 7 * i)] + line + [b"y%d" % i] * 9 for i in range(4)]
+    own = [substrings.Words(t) for t in texts]
+    again = substrings.Again(50, 16, 6)
+    for i, j in ((0, 1), (2, 3)):
+        at = np.array([[50 + 7 * j], [50 + 7 * i], [45], [34], [45], [34]])
+        again.add(i, j, own[i], own[j], at, np.ones(1, bool))
+    keys = {(kind, doc): set() for kind in (0, 1) for doc in range(4)}
+    for kind, windows in again.taken():
+        for key, doc, c in zip(windows["key"].tolist(), windows["doc"].tolist(), windows["c"].tolist()):
+            assert c == 50 + 7 * doc
+            keys[kind, doc].add(key)
+    assert keys[0, 0] == keys[0, 1] == keys[0, 2] == keys[0, 3] and len(keys[0, 0]) == 2
+    # Of the first text's keys, those that begin 18, 24 and 30 words before lie within the line; the
+    # second of these lies within the run of words that the partners share.
+    assert len(keys[1, 0]) == 7 and len(keys[1, 0] & keys[1, 2]) == 3
+    assert len(keys[1, 1]) == 6 and len(keys[1, 0] & keys[1, 1]) == 2
+    assert keys[1, 1] & keys[1, 3] == keys[1, 0] & keys[1, 1]
+    assert again.held == 0 and not list(again.taken())
