@@ -436,18 +436,27 @@ class Words:
         ordered = self.numbers[order]
         new = np.ones(len(order) + 1, bool)
         np.not_equal(ordered[1:], ordered[:-1], out=new[1:-1])
+        rank, before = np.empty(len(order), np.int64), np.full(len(order), -1)
+        rank[order] = np.cumsum(new[:-1]) - 1
+        lone = np.full(len(order), -1.0)
         several = np.flatnonzero(~(new[:-1] & new[1:]))
         if len(several):  # places of one shingle in order
-            own = np.sort(np.cumsum(new)[several] << 32 | order[several])
-            order[several] = own & 0xFFFFFFFF
-        rank, before = np.empty((2, len(order)), np.int64)
-        lone = np.empty(len(order))
-        rank[order] = np.cumsum(new[:-1]) - 1
-        before[order[:1]] = -1
-        before[order[1:]] = np.where(new[1:-1], -1, order[:-1])
-        lone[order] = -1.0 * (new[:-1] & new[1:])
+            own = np.sort(rank[order[several]] << 32 | order[several]) & 0xFFFFFFFF
+            lone[own] = 0
+            later = np.flatnonzero(~new[several])
+            before[own[later]] = own[later - 1]
         return ordered[new[:-1]], rank, before, lone
 
+    def too_few(self, other: Words, least: int, limit: float = SIMILARITY) -> bool:
+        """Whether the other text has so few of the shingles that no stretch of ``least`` of them, nor a
+        longer one, can be that similar to any of its own."""
+        own, theirs = self.ranks[0], np.sort(other.numbers)
+        if len(self.numbers) < least:
+            return True
+        both = theirs[own[np.minimum(own.searchsorted(theirs), len(own) - 1)] == theirs]
+        n_shared = np.count_nonzero(both[1:] != both[:-1]) + (len(both) > 0)
+        return n_shared < limit * self.starts(least)[1] - 1e-6
+
 
 class Side:
     """One text of a pair: which of its shingles the other one has, and how far a passage can go."""
@@ -477,12 +486,16 @@ class Side:
     def foreign(self, at: np.ndarray, least: int) -> np.ndarray:
         """For each place, the fewest distinct shingles that the other text does not have, of the
         stretches of ``least`` shingles that hold it."""
-        n, own = len(self.shared), np.flatnonzero(~self.shared)
-        begun = np.cumsum(np.bincount(self.text.starts(least)[0][own], minlength=n))
-        ended = np.cumsum(~self.shared) - ~self.shared
+        begin = max(0, int(at.min()) - least + 1)
+        near = slice(begin, int(at.max()) + least)
+        other = ~self.shared[near]
+        n = len(other)
+        first = np.maximum(self.text.starts(least)[0][near][other] - begin, 0)
+        change = np.bincount(first, minlength=n)
+        change[1:] -= other[:-1]
         count = np.full(n + least - 1, n)  # by the start of the stretch
-        count[least - 1 : n] = (begun - ended)[: n - least + 1]
-        return sliding_least(count, least)[at]
+        count[least - 1 : n] = np.cumsum(change)[: n - least + 1]
+        return sliding_least(count, least)[at - begin]
 
     def room(self, at: np.ndarray, least: int) -> np.ndarray:
         """For each place, the most that the level rises over a stretch of ``least`` shingles or more
@@ -618,7 +631,7 @@ class Pair:
         # A passage has no more shared shingles than the texts, which leave room for few others: it is
         # no smaller than the poorest stretch, and holds no stretch with more others.
         n_shared = np.count_nonzero(np.bincount(self.in_first))
-        if any(n_shared < self.limit * x.text.starts(least)[1] - 1e-6 for x in self.sides):
+        if n_shared < self.limit * self.second.starts(least)[1] - 1e-6 or not len(ac):
             return np.zeros(len(ac), bool)
         spare = n_shared * (1 - self.limit) / self.limit + 1e-6
         few = self.sides[1].foreign(bc, least)
@@ -680,14 +693,19 @@ def verify(a: Words, own: list[bytes], places, least: int):
     """Passages shared by two texts (the first one's numbers, the words of the second) around the
     places, and the places in none."""
     ac, bc = np.array(sorted(places, key=lambda p: (p[1], p[0])), np.int64).reshape(-1, 2).T
-    spans, failed = verified_places(Pair(a, Words(own)), ac, bc, least)
+    spans, failed = verified_places(a, Words(own), ac, bc, least)
     return spans, [*zip(ac[failed].tolist(), bc[failed].tolist())]
 
 
-def verified_places(pair: Pair, ac: np.ndarray, bc: np.ndarray, least: int) -> tuple[list, np.ndarray]:
+def verified_places(
+    a: Words, b: Words, ac: np.ndarray, bc: np.ndarray, least: int
+) -> tuple[list, np.ndarray]:
     """Passages around places, by bc, and which of the places are in none that an earlier one has."""
     spans, tried = [], {}
     failed = np.ones(len(ac), bool)
+    if a.too_few(b, least - WIDTH + 1):
+        return spans, failed
+    pair = Pair(a, b)
     for n in np.flatnonzero(pair.possible(ac, bc, least)).tolist():
         if not failed[n]:
             continue
@@ -906,7 +924,7 @@ def _verified(
                 bc, ac = at[:2]
                 new = np.ones(len(bc), bool)
                 new[1:] = (bc[1:] != bc[:-1]) | (ac[1:] != ac[:-1])
-                found, failed = verified_places(Pair(first, second), ac[new], bc[new], least)
+                found, failed = verified_places(first, second, ac[new], bc[new], least)
                 spans += [(a, b, *s) for s in found]
                 again.add(a, b, first, second, at, failed[np.cumsum(new) - 1])
                 if again.held > PIECE_KEYS or len(spans) > 10_000:

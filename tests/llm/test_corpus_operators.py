@@ -682,3 +682,16 @@ def test_windows_meet_again_by_equal_words_alone():
     assert len(keys[1, 1]) == 6 and len(keys[1, 0] & keys[1, 1]) == 2
     assert keys[1, 1] & keys[1, 3] == keys[1, 0] & keys[1, 1]
     assert again.held == 0 and not list(again.taken())
+
+
+def test_texts_that_share_too_few_shingles_are_told_without_a_pair(monkeypatch):
+    """Sharing 36 distinct shingles is too few for a passage of 46, sharing 46 is not."""
+    line = [w.encode() for w in prose(50, 9700)]
+    fillers = [[b"f%d_%d" % (i, j) for j in range(60)] for i in range(3)]
+    a = substrings.Words(fillers[0] + line)
+    made, pair = [], substrings.Pair
+    monkeypatch.setattr(substrings, "Pair", lambda *x: made.append(x) or pair(*x))
+    for n, passages in ((40, 0), (50, 1)):
+        copy = fillers[1] + line[:n] + fillers[2]
+        spans, failed = substrings.verify(a, copy, {(60, 60), (70, 70)}, 50)
+        assert len(spans) == len(made) == passages and len(failed) == 2 * (not passages)
